@@ -110,10 +110,12 @@ def _build_fact(
     if mode == EVENT_WATERMARK:
         enriched = int_orders_enriched(orders, customers)
         rows = fct_orders(past_watermark(enriched, fact), run_ts)
+        rows = wh.keep("fact_rows", rows, run)
         return wh.replace_keys(name, schema, rows, "order_id", run)
     order_keys = unprocessed(wh, ORDERS).select(record_key("order_id").alias("order_id"))
     customer_keys = unprocessed(wh, CUSTOMERS).select(record_key("customer_id").alias("customer_id"))
     affected = affected_orders(order_keys, customer_keys, orders, fact)
+    affected = wh.keep("affected_orders", affected, run)
     touched_keys = affected.select(F.col("order_id").alias("_touched"))
     changed = orders.join(
         touched_keys, F.col("order_id").eqNullSafe(F.col("_touched")), "left_semi"
@@ -126,6 +128,7 @@ def _snapshot(wh: Warehouse, run: int, run_ts: datetime, customers: DataFrame) -
     name, schema = "customers_snapshot", SCHEMAS["customers_snapshot"]
     open_rows = wh.read(name, schema).filter(F.col(SCD_TO).isNull())
     delta = snapshot_delta(open_rows, customers.select(*SNAPSHOT_COLUMNS), "customer_id", run_ts)
+    delta = wh.keep("snapshot_delta", delta, run)
     return wh.replace_keys(name, schema, delta, SCD_ID, run, bucket_key="customer_id")
 
 

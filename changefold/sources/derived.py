@@ -119,7 +119,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).selectExpr(
         "o_orderkey AS k",
         "o_custkey AS customer",
-        "if(o_orderkey % 307 = 0, -1, 1) * cast(o_totalprice AS decimal(12,2)) AS price",
+        "if(o_orderkey % 307 = 0, -o_totalprice, o_totalprice) AS price",
         "o_orderdate AS placed",
         "unix_millis(cast(o_orderdate AS timestamp)) AS t0",
         "if(o_orderkey % 401 = 0, NULL, element_at("

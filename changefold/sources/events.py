@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefold.config import LogConfig
-from changefold.functions.payload import event_date
 from changefold.operators.fold import first_arrivals
 from changefold.operators.joins import unseen
 
@@ -27,7 +26,7 @@ RAW_SCHEMA = (
     "event_id string, op string, ts_ms bigint, source_table string, lsn bigint, "
     "before_json string, after_json string, _loaded_at timestamp"
 )
-RAW_PARTITIONS = "load_id bigint, event_date date"
+RAW_PARTITIONS = "load_id bigint"
 # The position of a line in its files: file, offset of the split, row in the task.
 ARRIVAL = ["_file", "_offset", "_row"]
 
@@ -154,15 +153,7 @@ def land(
     history = read_raw(spark, path).filter(F.col("load_id") != load_id)
     rows = new_events(parse_events(lines, ARRIVAL), history, ARRIVAL, size.bytes)
     rows = rows.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp"))
-    (
-        rows.select(*RAW_COLUMNS)
-        .withColumn("event_date", event_date())
-        # Files per date follow the data: small dates are merged, a hot one is split.
-        .hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .partitionBy("event_date")
-        .parquet(f"{path}/load_id={load_id}")
-    )
+    rows.select(*RAW_COLUMNS).write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
     inserted = read_raw(spark, path).filter(F.col("load_id") == load_id).count()
     return LoadResult(config.raw_table, size.n, inserted)
 

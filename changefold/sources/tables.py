@@ -33,6 +33,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, base: str, buckets: int = 64):
         self.spark, self.base, self.buckets = spark, base.rstrip("/"), buckets
+        self._seen, self._last, self._map = False, None, []
 
     def raw_path(self, raw_table: str) -> str:
         return f"{self.base}/raw/{raw_table}"
@@ -48,17 +49,26 @@ class Warehouse:
     def _published(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.base}/published", f"{MAP_SCHEMA}, run bigint")
 
+    def refresh(self) -> None:
+        """Look at the newest publication from now on. Until then all reads of this
+        object see one and the same run, whatever is published meanwhile."""
+        published = self._published()
+        # Folder names alone tell the newest run.
+        last = published.agg(F.max("run")).first()[0]
+        rows = [] if last is None else published.filter(F.col("run") == last).collect()
+        self._last, self._map = last, [(r.table_name, r.bucket, r.at_run) for r in rows]
+        self._seen = True
+
     def last_run(self) -> int | None:
-        """The newest published run; read from folder names alone."""
-        return self._published().agg(F.max("run")).first()[0]
+        """The published run this object reads."""
+        if not self._seen:
+            self.refresh()
+        return self._last
 
     def current_map(self) -> list[tuple[str, int, int]]:
-        """(table, bucket, run) of the last publication: at most tables x buckets rows."""
-        last = self.last_run()
-        if last is None:
-            return []
-        rows = self._published().filter(F.col("run") == last).collect()
-        return [(r.table_name, r.bucket, r.at_run) for r in rows]
+        """(table, bucket, run) of that publication: at most tables x buckets rows."""
+        self.last_run()
+        return self._map
 
     def publish(self, run: int, written: Mapping[str, Sequence[int] | None]) -> None:
         """Make the buckets ``written`` by ``run`` current (None: the whole table)."""
@@ -74,6 +84,7 @@ class Warehouse:
             self.spark.createDataFrame(rows, MAP_SCHEMA)
             .coalesce(1).write.mode("overwrite").parquet(f"{self.base}/published/run={run}")
         )
+        self.refresh()
 
     # -- reading -----------------------------------------------------------
 
@@ -109,6 +120,13 @@ class Warehouse:
 
     # -- writing -----------------------------------------------------------
 
+    def keep(self, name: str, df: DataFrame, run: int) -> DataFrame:
+        """Write an interim result of a run and go on from the written rows, where
+        several steps would otherwise compute it again."""
+        path = f"{self.base}/interim/run={run}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def bucket_of(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 

@@ -38,7 +38,7 @@ def fold_batch(wh: Warehouse, name: str, config: LogConfig) -> Callable[[DataFra
             return
         touched = wh.touched(batch.select(record_key(config.key).alias(config.key)), config.key)
         stored = wh.read(name, SCHEMAS[name], touched)
-        events = batch.drop("load_id", "event_date")
+        events = batch.drop("load_id")
         wh.write_buckets(name, merge_state(stored, events, config), config.key, run)
         wh.publish(run, {name: touched})
 

@@ -14,8 +14,7 @@ ORDER_LOG = """
 ob AS (
   SELECT o_orderkey AS k, o_custkey AS cust, o_orderdate AS placed,
          epoch_ms(o_orderdate) AS t0,
-         CASE WHEN o_orderkey % 307 = 0 THEN -CAST(o_totalprice AS DECIMAL(12,2))
-              ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS price,
+         CASE WHEN o_orderkey % 307 = 0 THEN -o_totalprice ELSE o_totalprice END AS price,
          CASE WHEN o_orderkey % 401 = 0 THEN NULL
               WHEN o_orderkey % 4 = 0 THEN 'delivered' WHEN o_orderkey % 4 = 1 THEN 'cancelled'
               WHEN o_orderkey % 4 = 2 THEN 'shipped' ELSE 'refunded' END AS later
@@ -262,7 +261,7 @@ DIM_AND_DAILY = DIM + DAILY[len(FACT):]
 
 USER_EVENTS = """
 SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type,
-       max((ts, event_id)).ts AS ts, arg_max(value, (ts, event_id)) AS value
+       max(ts) AS ts, arg_max(value, (ts, event_id)) AS value
 FROM events GROUP BY user_id
 """
 
