@@ -19,12 +19,12 @@ def keyed_events(raw: DataFrame, config: LogConfig) -> DataFrame:
 
 def typed_rows(events: DataFrame, config: LogConfig) -> DataFrame:
     """Read the typed attributes of each event's new image; tombstones have none."""
-    fields = text_fields("after_json", config.fields)
-    out = [typed(F.col(f"_p.{f.name}"), f) for f in config.fields]
-    return events.withColumn("_p", fields).select(
-        config.key, *out, event_time().alias("_cdc_ts"), F.col("op").alias("_last_op"),
-        *LOG_ORDER,
+    texts = events.select(
+        config.key, F.col("op").alias("_last_op"), *LOG_ORDER,
+        text_fields("after_json", config.fields),
     )
+    out = [typed(F.col(f.name), f) for f in config.fields]
+    return texts.select(config.key, *out, event_time().alias("_cdc_ts"), "_last_op", *LOG_ORDER)
 
 
 def fold(raw: DataFrame, config: LogConfig) -> DataFrame:

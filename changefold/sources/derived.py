@@ -18,12 +18,14 @@ from changefold.sources.events import envelope_line
 HOUR = 3_600_000
 DAY = 24 * HOUR
 CUSTOMERS_SINCE = 788_918_400_000  # 1995-01-01
+ORDER_COLUMNS = "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
+CUSTOMER_COLUMNS = "c_custkey bigint, c_name string, c_nationkey int"
 SOURCE_DB, CONNECTOR = "derived", "tables"
 
 
 
 def _events(names: str, *rows: tuple[str, str]) -> str:
-    """SQL text of an array of event structs: (condition, values) per event."""
+    """SQL text of an array with one struct per event, NULL where its condition fails."""
     fields = names.split(", ")
 
     def struct(values: str) -> str:
@@ -31,7 +33,7 @@ def _events(names: str, *rows: tuple[str, str]) -> str:
         return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in pairs) + ")"
 
     events = (f"if({condition}, {struct(values)}, NULL)" for condition, values in rows)
-    return f"array_compact(array({', '.join(events)}))"
+    return f"array({', '.join(events)})"
 
 
 # The events of one order. Late updates carry an older time than the create; a
@@ -49,9 +51,9 @@ ORDER_IMAGE = """
            ',"amount":', CASE WHEN k % 211 = 0 THEN '"n/a"'
                               WHEN k % 20 = 0 THEN '"' || price || '"'
                               ELSE string(price) END,
-           ',"created_at":"', date_format(placed, "yyyy-MM-dd'T'HH:mm:ss"), '+00:00',
+           ',"created_at":"', replace(string(placed), ' ', 'T'), '+00:00',
            '","updated_at":"',
-           date_format(timestamp_millis(ts_ms), "yyyy-MM-dd'T'HH:mm:ss"), '+00:00"',
+           replace(string(timestamp_millis(ts_ms)), ' ', 'T'), '+00:00"',
            CASE WHEN placed < TIMESTAMP_NTZ '1998-12-15 00:00:00' THEN ''
                 WHEN k % 3 = 0 THEN ',"currency":"INR"'
                 WHEN k % 3 = 1 THEN ',"currency":"USD"'
@@ -78,9 +80,9 @@ CUSTOMER_IMAGE = """
                array('IN', 'US', 'GB', 'AE', 'SG', 'AU', 'DE', 'CA'), nation % 8 + 1)), '"',
            ',"tier":"', tier, '"',
            ',"created_at":"',
-           date_format(timestamp_millis(t0), "yyyy-MM-dd'T'HH:mm:ss"), '+00:00',
+           replace(string(timestamp_millis(t0)), ' ', 'T'), '+00:00',
            '","updated_at":"',
-           date_format(timestamp_millis(ts_ms), "yyyy-MM-dd'T'HH:mm:ss"), '+00:00"}')
+           replace(string(timestamp_millis(ts_ms)), ' ', 'T'), '+00:00"}')
 """
 
 
@@ -97,6 +99,7 @@ def _raw(rows: DataFrame, table: str, events: str, copies: str, before: str, ima
     """Raw columns plus ``_copy``, which numbers the copies of one event as they arrive."""
     return (
         rows.selectExpr("*", f"inline({events})")
+        .filter("op IS NOT NULL")
         .selectExpr("*", f"explode(sequence(1, {copies})) AS _copy")
         .selectExpr(
             f"substring(sha1(concat_ws('|', '{table}', k, op, ts_ms, lsn)), 1, 16) AS event_id",
@@ -113,10 +116,7 @@ def _raw(rows: DataFrame, table: str, events: str, copies: str, before: str, ima
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw columns of the order log, copies of redelivered events included."""
-    rows = _spread(
-        spark.read.parquet(f"{sf_dir}/orders.parquet")
-        .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    ).selectExpr(
+    rows = _spread(spark.read.schema(ORDER_COLUMNS).parquet(f"{sf_dir}/orders.parquet")).selectExpr(
         "o_orderkey AS k",
         "o_custkey AS customer",
         "if(o_orderkey % 307 = 0, -o_totalprice, o_totalprice) AS price",
@@ -136,8 +136,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw columns of the customer log. Some customers never appear in it."""
     rows = _spread(
-        spark.read.parquet(f"{sf_dir}/customer.parquet")
-        .select("c_custkey", "c_name", "c_nationkey")
+        spark.read.schema(CUSTOMER_COLUMNS).parquet(f"{sf_dir}/customer.parquet")
         .filter("c_custkey % 41 <> 0")
     ).selectExpr(
         "c_custkey AS k", "c_name AS name", "c_nationkey AS nation",

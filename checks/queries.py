@@ -10,7 +10,7 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,19 +95,27 @@ def daily_now(spark: SparkSession, sf: str) -> DataFrame:
     return marts.agg_daily_revenue(enriched_now(spark, sf))
 
 
-def first_batch(log: DataFrame, late_every: int) -> DataFrame:
-    """What the first of two batches holds; all other events come with the second."""
+def in_first_batch(late_every: int) -> Column:
+    """Which events the first of two batches holds; all others come with the second."""
     key = F.floor(F.col("lsn") / 10)
     late = (F.col("op") != "c") & (key % late_every == 0)
-    return log.filter((F.col("ts_ms") < BATCH_2_FROM) & ~late)
+    return (F.col("ts_ms") < BATCH_2_FROM) & ~late
 
 
 def first_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return first_batch(derived.order_log(spark, sf), 3)
+    return derived.order_log(spark, sf).filter(in_first_batch(3))
+
+
+def later_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return derived.order_log(spark, sf).filter(~in_first_batch(3))
 
 
 def first_customers(spark: SparkSession, sf: str) -> DataFrame:
-    return first_batch(derived.customer_log(spark, sf), 2)
+    return derived.customer_log(spark, sf).filter(in_first_batch(2))
+
+
+def later_customers(spark: SparkSession, sf: str) -> DataFrame:
+    return derived.customer_log(spark, sf).filter(~in_first_batch(2))
 
 
 def first_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -266,10 +274,8 @@ def events_payload_attribute(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def incremental_state_merge(spark: SparkSession, sf: str) -> DataFrame:
     """State of the first batch, then the rest of the log folded into it."""
-    state = materialize(staging.fold(first_orders(spark, sf).drop("_copy"), ORDERS), "state")
-    log = derived.order_log(spark, sf)
-    rest = events.new_events(log, first_orders(spark, sf), ["_copy"], None)
-    merged = incremental.merge_state(state, rest, ORDERS)
+    state = materialize(staging.fold(first_orders(spark, sf), ORDERS), "state")
+    merged = incremental.merge_state(state, later_orders(spark, sf), ORDERS)
     return merged.select("order_id", "customer_id", "status", "amount", "_last_op", "_cdc_ts")
 
 
@@ -290,14 +296,10 @@ def incremental_fact_affected_keys(spark: SparkSession, sf: str) -> DataFrame:
     orders = materialize(orders_now(spark, sf), "orders")
     customers = customers_now(spark, sf)
 
-    def changed_keys(log: DataFrame, first: DataFrame, key: str) -> DataFrame:
-        rest = log.join(first.select("event_id"), "event_id", "left_anti")
-        return rest.select(record_key(key).alias(key)).distinct()
-
     affected = materialize(
         incremental.affected_orders(
-            changed_keys(derived.order_log(spark, sf), first_orders(spark, sf), "order_id"),
-            changed_keys(derived.customer_log(spark, sf), first_customers(spark, sf), "customer_id"),
+            later_orders(spark, sf).select(record_key("order_id").alias("order_id")),
+            later_customers(spark, sf).select(record_key("customer_id").alias("customer_id")),
             orders, fact,
         ),
         "affected",
@@ -307,17 +309,17 @@ def incremental_fact_affected_keys(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def tier_log(spark: SparkSession, sf: str) -> DataFrame:
-    landed = landed_customers(spark, sf)
-    return landed.select(
+def tier_versions(spark: SparkSession, sf: str) -> DataFrame:
+    log = landed_customers(spark, sf).select(
         record_key("customer_id").alias("customer_id"), "op", "ts_ms", "lsn", "event_id",
         json_text("after_json", "tier").alias("tier"),
     )
+    return versions_from_log(materialize(log, "tiers"), "customer_id", ["tier"])
 
 
 @query
 def history_customer_versions(spark: SparkSession, sf: str) -> DataFrame:
-    return versions_from_log(tier_log(spark, sf), "customer_id", ["tier"])
+    return tier_versions(spark, sf)
 
 
 @query
@@ -328,7 +330,7 @@ def history_tier_at_order(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("created_at"),
     )
-    versions = versions_from_log(tier_log(spark, sf), "customer_id", ["tier"])
+    versions = materialize(tier_versions(spark, sf), "versions")
     return as_of(placed, "created_at", versions, "customer_id", ["tier"])
 
 
@@ -355,8 +357,8 @@ def dq_check_report(spark: SparkSession, sf: str) -> DataFrame:
     customers = materialize(customers_now(spark, sf), "customers")
     fact = materialize(marts.int_orders_enriched(orders, customers), "fact")
     tables = {
-        ORDERS.raw_table: landed_orders(spark, sf),
-        CUSTOMERS.raw_table: landed_customers(spark, sf),
+        ORDERS.raw_table: materialize(landed_orders(spark, sf).select("event_id"), "ids"),
+        CUSTOMERS.raw_table: materialize(landed_customers(spark, sf).select("event_id"), "ids"),
         "stg_orders": orders,
         "stg_customers": customers,
         "fct_orders": fact,
