@@ -9,22 +9,24 @@ from pyspark.sql import functions as F
 BROADCAST_BATCH_BYTES = 256 * 1024 * 1024
 
 
-def parent_join(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Left join children to the one parent with the same ``key``.
+def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """Equi join on ``key`` in which a hot key on the left can be split over tasks.
 
-    A key that owns a third of all children is split by adaptive execution,
-    which only does so when both join inputs come straight from a shuffle. A
-    freshly folded parent is already partitioned by ``key`` and would be read in
+    Adaptive execution only splits a key that owns, say, a third of the left rows
+    when both inputs come straight from a shuffle. A right side that was just
+    folded or grouped by ``key`` is already partitioned by it and would be read in
     place, so the join also compares a hash of the key: that asks for a shuffle
-    of its own (of the parents, one narrow row per key) and keeps the split
-    possible. The hash follows from the key, so it never changes a match.
+    of its own (of one narrow row per key) and keeps the split possible. The hash
+    follows from the key, so it never changes a match.
     """
-    probe = F.xxhash64(child[key])
-    build = parent.withColumn("_key_hash", F.xxhash64(key))
-    joined = child.join(
-        build, (child[key] == build[key]) & (probe == build["_key_hash"]), "left"
-    )
-    return joined.drop("_key_hash")
+    hashed = right.withColumn("_key_hash", F.xxhash64(key))
+    same = (left[key] == hashed[key]) & (F.xxhash64(left[key]) == hashed["_key_hash"])
+    return left.join(hashed, same, how).drop("_key_hash")
+
+
+def parent_join(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Left join children to the one parent with the same ``key``."""
+    return splittable_join(child, parent, key, "left")
 
 
 def unseen(
@@ -40,6 +42,9 @@ def unseen(
     ids = ids.select(key)
     if ids_bytes is not None and ids_bytes <= BROADCAST_BATCH_BYTES:
         ids = F.broadcast(ids)
+    else:
+        # One row per id and task before the shuffle, however many copies came.
+        ids = ids.distinct()
     seen = history.select(key).join(ids, key, "left_semi")
     return batch.join(seen, key, "left_anti")
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from changefold.config import EARLIEST, LogConfig
 from changefold.operators.fold import latest_per_key
-from changefold.operators.joins import replace_by_key
+from changefold.operators.joins import replace_by_key, splittable_join
 from changefold.plans.staging import fold
 
 EVENT_WATERMARK, AFFECTED_KEYS = "event_watermark", "affected_keys"
@@ -54,9 +54,10 @@ def affected_orders(
     """Ids of orders to rebuild: changed themselves, or owned (before or after) by
     a changed customer. The few changed customers meet the orders as a semi join."""
     customers = customer_keys.select("customer_id").distinct()
-    owned = orders_now.select("order_id", "customer_id").unionByName(
+    pairs = orders_now.select("order_id", "customer_id").unionByName(
         fact.select("order_id", "customer_id")
-    ).join(customers, "customer_id", "left_semi")
+    )
+    owned = splittable_join(pairs, customers, "customer_id", "left_semi")
     return order_keys.select("order_id").union(owned.select("order_id")).distinct()
 
 

@@ -14,19 +14,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
     Only a local session may go without it; it then gets a new temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="changefold-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = context.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="changefold-")
+    return _own_dirs[app]
 
 
 def new_run_dir(spark: SparkSession, purpose: str) -> str:

@@ -23,16 +23,18 @@ TABLES = [
 ]
 
 
-def session(cores: str = "8") -> SparkSession:
-    spark = (
+def session(cores: str = "8", settings: dict[str, str] | None = None) -> SparkSession:
+    builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("changefold")
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
-        .getOrCreate()
     )
+    for key, value in (settings or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

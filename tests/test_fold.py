@@ -1,0 +1,139 @@
+from __future__ import annotations
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from changefold.config import CUSTOMERS, ORDERS
+from changefold.functions.payload import to_money, to_naive_timestamp
+from changefold.plans.incremental import merge_state
+from changefold.plans.staging import fold, live, stg_customers, stg_orders
+from tests.conftest import event, raw, rows
+
+
+def test_newest_event_wins_by_time_then_position(spark):
+    log = raw(spark, [
+        event(1, "u", 20, lsn=5, status="shipped"),
+        event(1, "c", 10, lsn=9, status="pending"),
+        event(2, "u", 30, lsn=2, status="later"),
+        event(2, "u", 30, lsn=1, status="earlier"),
+    ])
+    assert rows(stg_orders(log), "order_id", "status", "_last_op") == [(1, "shipped", "u"), (2, "later", "u")]
+
+
+def test_tombstones_hide_a_key_and_a_rewound_one_does_not(spark):
+    log = raw(spark, [
+        event(1, "c", 10), event(1, "d", 20),
+        event(2, "c", 10, lsn=1), event(2, "d", 5, lsn=2),
+        event(3, "c", 10), event(3, "d", 20), event(3, "u", 30, status="back"),
+    ])
+    assert rows(stg_orders(log), "order_id", "status") == [(2, None), (3, "back")]
+    # The delete is kept in the state, so an older update cannot revive the key.
+    assert rows(fold(log, ORDERS), "order_id", "_last_op") == [(1, "d"), (2, "c"), (3, "u")]
+
+
+def test_snapshot_reads_count_as_state_and_a_null_op_is_dropped(spark):
+    log = raw(spark, [event(1, "r", 10, status="confirmed"), {**event(2, "c", 10), "op": None}])
+    assert rows(stg_orders(log), "order_id", "status") == [(1, "confirmed")]
+
+
+def test_events_without_a_key_become_one_row(spark):
+    log = raw(spark, [
+        event(None, "u", ts, after={"status": str(ts)}, before={"x": 1}) for ts in range(5)
+    ])
+    assert rows(stg_orders(log), "order_id", "status") == [(None, "4")]
+
+
+def test_key_comes_from_the_old_image_if_the_new_one_lacks_it(spark):
+    log = raw(spark, [event(7, "u", 1, after={"status": "x"}, before={"order_id": 7})])
+    assert rows(stg_orders(log), "order_id") == [(7,)]
+
+
+def test_a_bad_id_stops_the_job(spark):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        stg_orders(raw(spark, [event("abc", "c", 1)])).collect()
+
+
+def test_money_is_read_leniently(spark):
+    cases = {
+        "12.5": "12.50", "12.345": "12.35", " 12 ": "12.00", "1e3": "1000.00", "+5": "5.00",
+        ".5": "0.50", "5.": "5.00", "-3": "-3.00", "": None, "NaN": None, "1,000": None,
+        "abc": None, "0x10": None, "99999999999": None,
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", to_money(F.col("t")).alias("v"))
+    got = {r.t: r.v for r in df.collect()}
+    assert got == {k: None if v is None else Decimal(v) for k, v in cases.items()}
+
+
+def test_timestamps_are_read_leniently_and_without_zone(spark):
+    full = datetime(2026, 1, 1, 0, 37)
+    cases = {
+        "2026-01-01T00:37:00+05:30": full, "2026-01-01T00:37:00Z": full, "2026-1-1 00:37:00": full,
+        "2026-01-01": datetime(2026, 1, 1), "2026": None, " 2026-01-01": None, "2026-01-01 ": None,
+        "12:30": None, "": None, "soon": None, "2026-13-01": None,
+        "2026-01-01T00:37:00.123456": full.replace(microsecond=123456),
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").select(
+        "t", to_naive_timestamp(F.col("t")).alias("v"))
+    assert {r.t: r.v for r in df.collect()} == cases
+
+
+def test_number_and_text_amounts_give_the_same(spark):
+    log = raw(spark, [event(1, "c", 1, amount=12.5), event(2, "c", 1, amount="12.50"),
+                      event(3, "c", 1, amount="n/a"), event(4, "c", 1, amount=None)])
+    assert rows(stg_orders(log), "order_id", "amount") == [
+        (1, Decimal("12.50")), (2, Decimal("12.50")), (3, None), (4, None)]
+
+
+def test_staging_columns(spark):
+    empty = raw(spark, [])
+    assert stg_orders(empty).columns == [
+        "order_id", "customer_id", "status", "amount", "currency", "created_at", "updated_at",
+        "_cdc_ts", "_last_op"]
+    assert stg_customers(empty).columns == [
+        "customer_id", "full_name", "email", "country", "tier", "created_at", "updated_at", "_cdc_ts"]
+    types = dict(stg_orders(empty).dtypes)
+    assert (types["amount"], types["created_at"], types["_cdc_ts"]) == (
+        "decimal(12,2)", "timestamp_ntz", "timestamp")
+
+
+def test_event_time_keeps_milliseconds(spark):
+    log = raw(spark, [event(1, "c", 1_700_000_000_123, table="customers")])
+    got = stg_customers(log).select(F.unix_millis("_cdc_ts").alias("ms")).first()
+    assert got.ms == 1_700_000_000_123
+
+
+logs = st.lists(
+    st.tuples(st.integers(1, 4), st.sampled_from("cudr"), st.integers(0, 6), st.integers(0, 6)),
+    min_size=1, max_size=25, unique=True,
+)
+
+
+def expected_state(events):
+    best = {}
+    for k, op, ts, lsn in events:
+        place = (ts, lsn, f"orders-{k}-{op}-{ts}-{lsn}")
+        if k not in best or place > best[k][0]:
+            best[k] = (place, op)
+    return sorted(((k, b[0][0], b[0][1], b[1]) for k, b in best.items()), key=repr)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(events=logs, data=st.data())
+def test_order_copies_and_batches_of_a_log_do_not_matter(spark, events, data):
+    shuffled = data.draw(st.permutations(events)) + data.draw(st.lists(st.sampled_from(events), max_size=5))
+    cut = data.draw(st.integers(0, len(shuffled)))
+    made = [event(k, op, ts, lsn) for k, op, ts, lsn in shuffled]
+    whole = fold(raw(spark, made), ORDERS)
+    merged = merge_state(fold(raw(spark, made[:cut]), ORDERS), raw(spark, made[cut:]), ORDERS)
+    for state in (whole, merged, merge_state(merged, raw(spark, made[:cut]), ORDERS)):
+        assert rows(state, "order_id", "ts_ms", "lsn", "_last_op") == expected_state(events)
+
+
+def test_live_hides_the_columns_of_the_fold(spark):
+    state = fold(raw(spark, [event(1, "c", 1, table="customers")]), CUSTOMERS)
+    assert "_last_op" not in live(state, CUSTOMERS).columns
