@@ -62,7 +62,7 @@ def replace_by_key(
     else:
         gone = drop_keys.select(F.col(key).alias("_gone"))
         kept = target.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
-    return kept.unionByName(rows)
+    return kept.select(*target.columns).unionByName(rows)
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
