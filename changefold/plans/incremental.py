@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changefold.config import EARLIEST, LogConfig
+from changefold.functions.payload import record_key
 from changefold.operators.fold import latest_per_key
 from changefold.operators.joins import replace_by_key, splittable_join
 from changefold.plans.staging import fold
+from changefold.sources.tables import BROADCAST_KEYS, Warehouse
 
 EVENT_WATERMARK, AFFECTED_KEYS = "event_watermark", "affected_keys"
 
@@ -32,6 +34,27 @@ def merge_state(state: DataFrame, batch: DataFrame, config: LogConfig) -> DataFr
     return latest_per_key(state.unionByName(fold(batch, config)), [config.key])
 
 
+def advance_state(
+    wh: Warehouse, name: str, schema: str, config: LogConfig, batch: DataFrame, run: int
+) -> list[int]:
+    """Fold a batch of events into a state table; returns the buckets written.
+
+    Only the stored rows of the batch's own keys compete with it.
+    """
+    keys = wh.keep(
+        f"keys_{name}",
+        batch.select(record_key(config.key).alias(config.key)).distinct(), run,
+    )
+    stored = wh.read(name, schema, wh.touched(keys, config.key))
+    few = keys.count() <= BROADCAST_KEYS
+    asked = keys.select(F.col(config.key).alias("_asked"))
+    rivals = stored.join(
+        F.broadcast(asked) if few else asked,
+        F.col(config.key).eqNullSafe(F.col("_asked")), "left_semi",
+    )
+    return wh.replace_keys(name, schema, merge_state(rivals, batch, config), keys, config.key, run)
+
+
 def loaded_watermark(fact: DataFrame) -> DataFrame:
     """One row: the newest event time in the fact, or long ago for an empty fact."""
     return fact.agg(

@@ -21,7 +21,7 @@ from changefold.operators.history import SCD_ID, SCD_TO, snapshot_delta
 from changefold.operators.quality import Check, require_pass
 from changefold.plans.gates import CHECKS, gate_report
 from changefold.plans.incremental import (
-    AFFECTED_KEYS, EVENT_WATERMARK, affected_orders, merge_state, past_watermark,
+    AFFECTED_KEYS, EVENT_WATERMARK, advance_state, affected_orders, past_watermark,
 )
 from changefold.plans.marts import agg_daily_revenue, dim_customers, fct_orders, int_orders_enriched
 from changefold.plans.staging import live
@@ -91,16 +91,6 @@ def unprocessed(wh: Warehouse, config: LogConfig) -> DataFrame:
     return raw if last is None else raw.filter(F.col("load_id") > last)
 
 
-def advance_state(wh: Warehouse, name: str, config: LogConfig, run: int) -> list[int]:
-    """Fold the unprocessed events into the touched buckets of a state table."""
-    batch = unprocessed(wh, config)
-    keys = batch.select(record_key(config.key).alias(config.key))
-    touched = wh.touched(keys, config.key)
-    stored = wh.read(name, SCHEMAS[name], touched)
-    wh.write_buckets(name, merge_state(stored, batch, config), config.key, run)
-    return touched
-
-
 def _build_fact(
     wh: Warehouse, run: int, run_ts: datetime, mode: str, orders: DataFrame, customers: DataFrame
 ) -> list[int]:
@@ -109,19 +99,18 @@ def _build_fact(
     fact = wh.read(name, schema)
     if mode == EVENT_WATERMARK:
         enriched = int_orders_enriched(orders, customers)
-        rows = fct_orders(past_watermark(enriched, fact), run_ts)
-        rows = wh.keep("fact_rows", rows, run)
-        return wh.replace_keys(name, schema, rows, "order_id", run)
+        rows = wh.keep("fact_rows", fct_orders(past_watermark(enriched, fact), run_ts), run)
+        keys = rows.select("order_id").filter(F.col("order_id").isNotNull())
+        return wh.replace_keys(name, schema, rows, keys, "order_id", run)
     order_keys = unprocessed(wh, ORDERS).select(record_key("order_id").alias("order_id"))
     customer_keys = unprocessed(wh, CUSTOMERS).select(record_key("customer_id").alias("customer_id"))
-    affected = affected_orders(order_keys, customer_keys, orders, fact)
-    affected = wh.keep("affected_orders", affected, run)
-    touched_keys = affected.select(F.col("order_id").alias("_touched"))
-    changed = orders.join(
-        touched_keys, F.col("order_id").eqNullSafe(F.col("_touched")), "left_semi"
+    affected = wh.keep(
+        "affected_orders", affected_orders(order_keys, customer_keys, orders, fact), run
     )
+    asked = affected.select(F.col("order_id").alias("_asked"))
+    changed = orders.join(asked, F.col("order_id").eqNullSafe(F.col("_asked")), "left_semi")
     rows = fct_orders(int_orders_enriched(changed, customers), run_ts)
-    return wh.replace_keys(name, schema, rows, "order_id", run, drop_keys=affected)
+    return wh.replace_keys(name, schema, rows, affected, "order_id", run)
 
 
 def _snapshot(wh: Warehouse, run: int, run_ts: datetime, customers: DataFrame) -> list[int]:
@@ -129,7 +118,8 @@ def _snapshot(wh: Warehouse, run: int, run_ts: datetime, customers: DataFrame) -
     open_rows = wh.read(name, schema).filter(F.col(SCD_TO).isNull())
     delta = snapshot_delta(open_rows, customers.select(*SNAPSHOT_COLUMNS), "customer_id", run_ts)
     delta = wh.keep("snapshot_delta", delta, run)
-    return wh.replace_keys(name, schema, delta, SCD_ID, run, bucket_key="customer_id")
+    keys = delta.select(SCD_ID, "customer_id")
+    return wh.replace_keys(name, schema, delta, keys, SCD_ID, run, bucket_key="customer_id")
 
 
 def run(
@@ -154,8 +144,8 @@ def run(
         for c in (ORDERS, CUSTOMERS) if c.source_table in logs
     )
     written: dict[str, list[int] | None] = {
-        "state_orders": advance_state(wh, "state_orders", ORDERS, number),
-        "state_customers": advance_state(wh, "state_customers", CUSTOMERS, number),
+        name: advance_state(wh, name, SCHEMAS[name], config, unprocessed(wh, config), number)
+        for name, config in (("state_orders", ORDERS), ("state_customers", CUSTOMERS))
     }
 
     def current(name: str) -> DataFrame:

@@ -111,14 +111,16 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def new_events(
-    events: DataFrame, history: DataFrame, arrival: Sequence[str], batch_bytes: int | None
+    events: DataFrame, history: DataFrame | None, arrival: Sequence[str], batch_bytes: int | None
 ) -> DataFrame:
-    """First copy of every event that the history does not hold yet.
+    """First copy of every event that the history (None: there is none) does not hold yet.
 
     Copies collapse first: they leave the map tasks as one row each, and the
     rows are then already partitioned for the comparison with the history.
     """
     first = first_arrivals(events, arrival).drop(*arrival)
+    if history is None:
+        return first
     return unseen(first, history, "event_id", ids=events, ids_bytes=batch_bytes)
 
 
@@ -151,6 +153,8 @@ def land(
     if size.n == 0:
         return LoadResult(config.raw_table, 0, 0)
     history = read_raw(spark, path).filter(F.col("load_id") != load_id)
+    if history.isEmpty():
+        history = None
     rows = new_events(parse_events(lines, ARRIVAL), history, ARRIVAL, size.bytes)
     rows = rows.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp"))
     rows.select(*RAW_COLUMNS).write.mode("overwrite").parquet(f"{path}/load_id={load_id}")

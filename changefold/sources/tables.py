@@ -16,10 +16,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefold.operators.joins import replace_by_key
 from changefold.sources.events import read_or_empty, read_raw
 
 MAP_SCHEMA = "table_name string, bucket int, at_run bigint"
+# Keys are bigints or 32-character ids, so this many take at most some 200 MB.
+BROADCAST_KEYS = 2_000_000
 LAYERS = {
     "state_orders": "state", "state_customers": "state",
     "fct_orders": "marts", "dim_customers": "marts", "agg_daily_revenue": "marts",
@@ -53,7 +54,6 @@ class Warehouse:
         """Look at the newest publication from now on. Until then all reads of this
         object see one and the same run, whatever is published meanwhile."""
         published = self._published()
-        # Folder names alone tell the newest run.
         last = published.agg(F.max("run")).first()[0]
         rows = [] if last is None else published.filter(F.col("run") == last).collect()
         self._last, self._map = last, [(r.table_name, r.bucket, r.at_run) for r in rows]
@@ -135,28 +135,34 @@ class Warehouse:
         rows = keys.select(self.bucket_of(key).alias("b")).distinct().collect()
         return sorted(r.b for r in rows)
 
-    def _write(self, table: str, df: DataFrame, bucket: Column, run: int) -> None:
-        (
-            df.withColumn("bucket", bucket)
-            .hint("rebalance", "bucket")
-            .write.mode("overwrite").partitionBy("bucket").parquet(f"{self._path(table)}/run={run}")
-        )
-
     def write_whole(self, table: str, df: DataFrame, run: int) -> None:
         """Full replacement of a table."""
         df.write.mode("overwrite").parquet(f"{self._path(table)}/run={run}/bucket=0")
 
-    def write_buckets(self, table: str, df: DataFrame, key: str, run: int) -> None:
-        self._write(table, df, self.bucket_of(key), run)
-
     def replace_keys(
-        self, table: str, schema: str, rows: DataFrame, key: str, run: int,
-        bucket_key: str | None = None, drop_keys: DataFrame | None = None,
+        self, table: str, schema: str, rows: DataFrame, keys: DataFrame, key: str, run: int,
+        bucket_key: str | None = None,
     ) -> list[int]:
-        """Delete + insert by key into the touched buckets; returns their numbers."""
-        bucket_key = bucket_key or key
-        gone = rows if drop_keys is None else drop_keys
-        touched = self.touched(gone, bucket_key)
-        kept = replace_by_key(self.read(table, schema, touched), rows, key, drop_keys)
-        self.write_buckets(table, kept, bucket_key, run)
+        """Delete ``keys`` from a table and add ``rows``, whose keys are among them.
+
+        ``keys`` should be a written frame of ``key`` (and ``bucket_key``). Rewrites
+        the buckets the keys fall in and returns their numbers. Few keys are sent
+        to the stored rows, which then stay in the files' own bucket order and are
+        neither shuffled nor sorted; only the added rows are. Many keys meet the
+        stored rows by shuffle, and everything is dealt out to its buckets anew.
+        """
+        bucket = self.bucket_of(bucket_key or key)
+        touched = self.touched(keys, bucket_key or key)
+        few = keys.count() <= BROADCAST_KEYS
+        gone = keys.select(F.col(key).alias("_gone"))
+        stored = self.read(table, schema, touched)
+        kept = stored.join(
+            F.broadcast(gone) if few else gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti"
+        ).withColumn("bucket", bucket)
+        added = rows.select(*stored.columns).withColumn("bucket", bucket)
+        if few:
+            out = kept.unionByName(added.hint("rebalance", "bucket"))
+        else:
+            out = kept.unionByName(added).hint("rebalance", "bucket")
+        out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self._path(table)}/run={run}")
         return touched

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changefold.config import LogConfig
 from changefold.functions.payload import record_key
-from changefold.plans.incremental import merge_state
+from changefold.plans.incremental import advance_state
 from changefold.plans.pipeline import SCHEMAS
 from changefold.sources.events import RAW_PARTITIONS, RAW_SCHEMA
 from changefold.sources.tables import Warehouse
@@ -36,10 +36,8 @@ def fold_batch(wh: Warehouse, name: str, config: LogConfig) -> Callable[[DataFra
         last = wh.last_run()
         if last is not None and last >= run:
             return
-        touched = wh.touched(batch.select(record_key(config.key).alias(config.key)), config.key)
-        stored = wh.read(name, SCHEMAS[name], touched)
         events = batch.drop("load_id")
-        wh.write_buckets(name, merge_state(stored, events, config), config.key, run)
+        touched = advance_state(wh, name, SCHEMAS[name], config, events, run)
         wh.publish(run, {name: touched})
 
     return fold_in

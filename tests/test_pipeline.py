@@ -9,6 +9,7 @@ from changefold.operators.quality import QualityGateError
 from changefold.plans import incremental, pipeline
 from changefold.plans.marts import agg_daily_revenue, dim_customers, int_orders_enriched
 from changefold.plans.staging import stg_customers, stg_orders
+from changefold.sources import tables
 from changefold.sources.tables import Warehouse
 from tests.conftest import event, line, raw, rows, write_lines
 
@@ -91,6 +92,26 @@ def test_two_runs_equal_one_rebuild(spark, chain):
     assert history.count() == 6 and history.filter(f"{SCD_TO} IS NOT NULL").count() == 1
 
 
+def test_few_keys_leave_the_stored_rows_where_they_are(spark, chain, monkeypatch):
+    chain.run(0, ORDERS_1, CUSTOMERS_1)
+    schema = pipeline.SCHEMAS["fct_orders"]
+    keys = spark.createDataFrame([(1,), (None,)], "order_id bigint")
+    rows_in = chain.table("fct_orders").filter("order_id = 1")
+    for run, limit in ((1, 10), (2, 0)):
+        monkeypatch.setattr(tables, "BROADCAST_KEYS", limit)
+        touched = chain.wh.replace_keys("fct_orders", schema, rows_in, keys, "order_id", run)
+        written = chain.wh.written("fct_orders", schema, run)
+        assert rows(written) == rows(chain.wh.read("fct_orders", schema, touched))
+
+
+def test_many_keys_give_the_same_tables(spark, chain, monkeypatch):
+    monkeypatch.setattr(tables, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(incremental, "BROADCAST_KEYS", 0)
+    chain.run(0, ORDERS_1, CUSTOMERS_1)
+    chain.run(1, ORDERS_1[:3] + ORDERS_2, CUSTOMERS_2)
+    assert built(chain) == expected(spark, ORDERS_1 + ORDERS_2, CUSTOMERS_1 + CUSTOMERS_2)
+
+
 def test_only_touched_buckets_are_written(spark, chain):
     chain.run(0, ORDERS_1, CUSTOMERS_1)
     chain.run(1, [order(1, "u", 9000, customer_id=1, status="shipped", amount=1)], [])
