@@ -2,21 +2,24 @@
 
 ``lag``, ``lead`` and running values need a key's events in order, and a window
 sorts a key's whole group in one task. Keys that hold a sizeable share of all
-rows are therefore cut into time slices: each slice is a window group of its own
-and takes what it needs across its border from a table of slice edges, which is
+rows are therefore cut into slices: each slice is a window group of its own and
+takes what it needs across its border from a table of slice edges, which is
 bounded by the number of slices. All other keys keep the plain window.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changefold.session import materialize
+
 # A key is heavy when it holds more than 1/HEAVY_PARTS of all rows, so there are
-# fewer than HEAVY_PARTS heavy keys and at most 2 * HEAVY_PARTS slices of them.
+# fewer than HEAVY_PARTS heavy keys, and few more slices than that.
 HEAVY_PARTS = 500
 # Below this many rows a group is no load for one task, whatever its share.
 HEAVY_MIN_ROWS = 1_000_000
@@ -36,39 +39,43 @@ class Sliced:
 def slice_heavy_keys(
     df: DataFrame,
     key: str,
-    at: str,
+    order: Sequence[str],
     parts: int = HEAVY_PARTS,
     min_rows: int = HEAVY_MIN_ROWS,
+    tie_break: Sequence[Column] = (),
 ) -> Sliced:
-    """Number the slices of heavy keys by the long column ``at``.
-
-    One counting pass with map-side combine over two narrow columns. What
-    reaches the driver, and later every task, is fewer than ``parts`` rows.
+    """Number the slices of heavy keys along ``order``.
+
+    One counting pass with map-side combine over the key column; fewer than
+    ``parts`` keys reach the driver and later every task. The rows of heavy keys
+    are range-partitioned by key and ``order`` (then ``tie_break``, where rows with
+    equal order may be separated), so slices are even however the rows lie in
+    time. The borders come from a sample, hence the numbered rows are written
+    once: every later pass sees the same slices.
     """
-    per_key = df.groupBy(key).agg(
-        F.count("*").alias("n"), F.min(at).alias("lo"), F.max(at).alias("hi")
-    )
-    heavy = (
+    per_key = df.groupBy(key).agg(F.count("*").alias("n"))
+    total = df.agg(F.count("*")).scalar()
+    found = (
         per_key.filter(F.col("n") >= min_rows)
-        .filter(F.col("n") * parts > df.agg(F.count("*")).scalar())
-        .select(key, "n", "lo", "hi")
+        .filter(F.col("n") * parts > total)
+        .select(F.col(key).alias("_heavy_key"), "n", total.alias("total"))
     )
-    found = heavy.collect()
-    if not found:
-        return Sliced(df.withColumn(SLICE, F.lit(0).cast("bigint")), key, False)
-    total = df.count()
-    bounds = df.sparkSession.createDataFrame(found, heavy.schema).withColumnRenamed(
-        key, "_heavy_key"
+    keys = found.collect()
+    if not keys:
+        return Sliced(df.withColumn(SLICE, F.lit(0)), key, False)
+    heavy = F.broadcast(df.sparkSession.createDataFrame(keys, found.schema).select("_heavy_key"))
+    is_heavy = F.col(key).eqNullSafe(F.col("_heavy_key"))
+    slices = math.ceil(sum(r.n for r in keys) * parts / keys[0].total)
+    numbered = (
+        df.join(heavy, is_heavy, "left_semi")
+        .repartitionByRange(slices, key, *order, *tie_break)
+        .withColumn(SLICE, F.spark_partition_id())
     )
-    cuts = F.ceil(F.col("n") * parts / F.lit(total))
-    numbered = F.floor((F.col(at) - F.col("lo")) * cuts / (F.col("hi") - F.col("lo") + 1))
-    out = (
-        df.join(F.broadcast(bounds), F.col(key).eqNullSafe(F.col("_heavy_key")), "left")
-        .withColumn(SLICED, F.col("n").isNotNull())
-        .withColumn(SLICE, F.coalesce(numbered, F.lit(0)).cast("bigint"))
-        .drop("_heavy_key", "n", "lo", "hi")
+    others = df.join(heavy, is_heavy, "left_anti").withColumn(SLICE, F.lit(0))
+    both = others.withColumn(SLICED, F.lit(False)).unionByName(
+        materialize(numbered, "slices").withColumn(SLICED, F.lit(True))
     )
-    return Sliced(out, key, True)
+    return Sliced(both, key, True)
 
 
 def _across(
@@ -96,7 +103,7 @@ def _across(
 
 
 def _with_edges(sliced: Sliced, df: DataFrame, edges: DataFrame) -> DataFrame:
-    # Edges: at most 2 * HEAVY_PARTS rows.
+    # Edges: one row per slice and heavy key in it, some 2 * HEAVY_PARTS at most.
     return df.join(
         F.broadcast(edges),
         F.col(sliced.key).eqNullSafe(F.col("_e_key")) & (F.col(SLICE) == F.col("_e_slice")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from changefold.config import LOG_ORDER
 from changefold.operators.history import as_of, versions_from_log
 from changefold.operators.joins import parent_join
 from changefold.operators.slices import SLICE, slice_heavy_keys
@@ -109,7 +110,7 @@ def in_millis(versions):
 
 @pytest.mark.parametrize("parts", [500, 20, 3])
 def test_versions_do_not_depend_on_slices(spark, tier_log, parts):
-    sliced = slice_heavy_keys(tier_log, "customer_id", "ts_ms", parts, min_rows=100)
+    sliced = slice_heavy_keys(tier_log, "customer_id", LOG_ORDER, parts, min_rows=100)
     assert sliced.any_heavy
     biggest = sliced.df.groupBy("customer_id", SLICE).count().agg(F.max("count")).first()[0]
     whole = tier_log.filter("customer_id = 1").count()
@@ -118,8 +119,31 @@ def test_versions_do_not_depend_on_slices(spark, tier_log, parts):
     assert in_millis(got) == brute_versions(tier_log)
 
 
+def test_a_hot_key_with_one_timestamp_is_sliced_too(spark):
+    log = spark.range(0, 3000, 1, 4).selectExpr(
+        "if(id < 2000, 1, id) AS customer_id", "'u' AS op", "5 * int(id / 1999.0) AS ts_ms", "id AS lsn",
+        "string(id) AS event_id", "if(id % 2 = 0, 'gold', 'silver') AS tier",
+    ).selectExpr("customer_id", "op", "bigint(ts_ms) AS ts_ms", "lsn", "event_id", "tier")
+    sliced = slice_heavy_keys(log, "customer_id", LOG_ORDER, parts=10, min_rows=100)
+    sizes = sliced.df.filter("customer_id = 1").groupBy(SLICE).count()
+    assert sizes.count() >= 5 and sizes.agg(F.max("count")).first()[0] < 800
+    got = versions_from_log(log, "customer_id", ["tier"], parts=10, min_rows=100)
+    assert in_millis(got) == brute_versions(log)
+
+
+def test_probes_of_one_instant_are_separated(spark):
+    versions = spark.sql(
+        "SELECT 1L AS customer_id, 'gold' AS tier, TIMESTAMP_NTZ'2020-01-01' AS valid_from, "
+        "CAST(NULL AS TIMESTAMP_NTZ) AS valid_to"
+    )
+    probe = spark.range(2000).selectExpr(
+        "id AS order_id", "1L AS customer_id", "TIMESTAMP_NTZ'2021-01-01' AS created_at")
+    got = as_of(probe, "created_at", versions, "customer_id", ["tier"], parts=10, min_rows=100)
+    assert got.filter("tier = 'gold'").count() == 2000
+
+
 def test_no_slices_without_a_heavy_key(spark, tier_log):
-    assert not slice_heavy_keys(tier_log, "customer_id", "ts_ms").any_heavy
+    assert not slice_heavy_keys(tier_log, "customer_id", LOG_ORDER).any_heavy
     assert in_millis(versions_from_log(tier_log, "customer_id", ["tier"])) == brute_versions(tier_log)
 
 
@@ -146,5 +170,4 @@ def test_as_of_matches_brute_force(spark, tier_log, min_rows):
         expected.append((p.order_id, p.customer_id, p.created_at, tier))
     assert rows(got) == sorted(expected, key=repr)
     if min_rows == 100:
-        assert slice_heavy_keys(probe.selectExpr("customer_id", "order_id AS ts_ms"),
-                                "customer_id", "ts_ms", 20, 100).any_heavy
+        assert slice_heavy_keys(probe, "customer_id", ["order_id"], 20, 100).any_heavy
