@@ -72,12 +72,6 @@ def rows_outside_range(
     return df.filter(outside(column, low, high))
 
 
-def _row_flag(check: Check) -> Column:
-    if check.kind == "not_null":
-        return F.col(check.column).isNull()
-    return outside(check.column, check.low, check.high)
-
-
 def _finish(counts: DataFrame) -> DataFrame:
     status = F.when(F.col("failures") == 0, "pass").when(
         F.col("severity") == WARN, "warn"
@@ -85,33 +79,51 @@ def _finish(counts: DataFrame) -> DataFrame:
     return counts.withColumn("status", status).select(*REPORT_COLUMNS)
 
 
-def row_check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All not-null and range rules of one table in a single pass over it."""
-    totals = df.agg(
-        *[F.count_if(_row_flag(c)).alias(f"n{i}") for i, c in enumerate(checks)]
-    )
+def _as_rows(totals: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row per check from the columns ``n0``, ``n1``, ... of a one-row frame."""
     rows = [
         F.struct(
             F.lit(c.name).alias("check_name"),
             F.lit(c.table).alias("table_name"),
             F.lit(c.severity).alias("severity"),
-            F.col(f"n{i}").alias("failures"),
+            F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("bigint").alias("failures"),
         )
         for i, c in enumerate(checks)
     ]
     return totals.select(F.inline(F.array(*rows)))
 
 
-def failing_groups(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """What breaks a rule that needs a shuffle of its own."""
-    df = tables[check.table]
-    if check.kind == "unique":
-        return repeated_values(df, check.column)
-    if check.kind == "accepted_values":
-        return unaccepted_values(df, check.column, check.values)
-    if check.kind == "relationships":
-        return orphan_keys(df, tables[check.parent], check.column)
-    raise ValueError(f"no such rule: {check.kind}")
+def row_check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Not-null and range rules of one table in a single pass over it."""
+    failing = [
+        F.col(c.column).isNull() if c.kind == "not_null" else outside(c.column, c.low, c.high)
+        for c in checks
+    ]
+    return _as_rows(
+        df.agg(*[F.count_if(f).alias(f"n{i}") for i, f in enumerate(failing)]), checks
+    )
+
+
+def value_check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Not-null, unique and accepted-values rules of one column, all from the rows
+    counted per value: one shuffle, after map-side combine."""
+    value, n = F.col(checks[0].column), F.col("n_rows")
+
+    def failures(c: Check) -> Column:
+        if c.kind == "not_null":
+            return F.sum(F.when(value.isNull(), n))
+        if c.kind == "unique":
+            return F.count_if(value.isNotNull() & (n > 1))
+        return F.count_if(~value.isin(*c.values))
+
+    per_value = df.groupBy(value).agg(F.count("*").alias("n_rows"))
+    return _as_rows(per_value.agg(*[failures(c).alias(f"n{i}") for i, c in enumerate(checks)]), checks)
+
+
+def parent_check_counts(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
+    return _as_rows(
+        orphan_keys(df, parent, check.column).agg(F.sum("child_rows").alias("n0")), [check]
+    )
 
 
 def as_count(check_name: str, table: str, severity: str, failing: Column, df: DataFrame) -> DataFrame:
@@ -132,16 +144,22 @@ def check_report(
 
     ``extra`` are further counts with the columns of ``as_count``.
     """
-    parts = []
-    by_table: dict[str, list[Check]] = {}
+    by_column: dict[tuple[str, str], list[Check]] = {}
     for c in checks:
-        if c.kind in ("not_null", "accepted_range"):
-            by_table.setdefault(c.table, []).append(c)
-            continue
-        groups = failing_groups(c, tables)
-        failing = F.coalesce(F.sum("child_rows"), F.lit(0)) if c.kind == "relationships" else F.count("*")
-        parts.append(as_count(c.name, c.table, c.severity, failing, groups))
-    parts += [row_check_counts(tables[t], cs) for t, cs in by_table.items()]
+        by_column.setdefault((c.table, c.column), []).append(c)
+    parts, by_row = [], {}
+    for (table, _), here in by_column.items():
+        parents = [c for c in here if c.kind == "relationships"]
+        per_row = [c for c in here if c.kind in ("not_null", "accepted_range")]
+        per_value = [c for c in here if c.kind in ("unique", "accepted_values")]
+        if per_value:
+            # The column is grouped anyway, so its NULLs are counted there too.
+            per_value += [c for c in per_row if c.kind == "not_null"]
+            per_row = [c for c in per_row if c.kind != "not_null"]
+            parts.append(value_check_counts(tables[table], per_value))
+        parts += [parent_check_counts(tables[table], tables[c.parent], c) for c in parents]
+        by_row.setdefault(table, []).extend(per_row)
+    parts += [row_check_counts(tables[t], cs) for t, cs in by_row.items() if cs]
     return _finish(reduce(DataFrame.unionByName, [*parts, *extra]))
 
 

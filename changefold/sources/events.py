@@ -42,7 +42,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def not_blank(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.trim(F.col("value"), F.lit(" \t\r\n\f\x0b")) != "")
+    return lines.filter(F.col("value").rlike(r"(?U)\S"))
 
 
 def with_arrival(lines: DataFrame) -> DataFrame:
@@ -69,10 +69,12 @@ def _required(value: Column, doc: Column, name: str) -> Column:
     """``value``, or a failed job if the document lacks the key ``name``.
 
     The keys are only looked up for a NULL value, as an explicit null is allowed.
+    (As two conditions in one ``and`` they would be looked up on every line.)
     """
     missing = F.coalesce(~F.array_contains(F.json_object_keys(doc), name), F.lit(True))
     message = F.concat(F.lit(f"change event without '{name}': "), F.col("value"))
-    return F.when(value.isNull() & missing, F.raise_error(message)).otherwise(value)
+    checked = F.when(missing, F.raise_error(message)).otherwise(value)
+    return F.when(value.isNull(), checked).otherwise(value)
 
 
 def parse_events(lines: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
