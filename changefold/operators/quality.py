@@ -81,16 +81,12 @@ def _finish(counts: DataFrame) -> DataFrame:
 
 def _as_rows(totals: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One row per check from the columns ``n0``, ``n1``, ... of a one-row frame."""
-    rows = [
-        F.struct(
-            F.lit(c.name).alias("check_name"),
-            F.lit(c.table).alias("table_name"),
-            F.lit(c.severity).alias("severity"),
-            F.coalesce(F.col(f"n{i}"), F.lit(0)).cast("bigint").alias("failures"),
-        )
+    rows = ", ".join(
+        f"named_struct('check_name', '{c.name}', 'table_name', '{c.table}', "
+        f"'severity', '{c.severity}', 'failures', bigint(coalesce(n{i}, 0)))"
         for i, c in enumerate(checks)
-    ]
-    return totals.select(F.inline(F.array(*rows)))
+    )
+    return totals.selectExpr(f"inline(array({rows}))")
 
 
 def row_check_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:

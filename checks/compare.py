@@ -31,6 +31,8 @@ def session(cores: str = "8", settings: dict[str, str] | None = None) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # No call-site capture for every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in (settings or {}).items():
         builder = builder.config(key, value)
