@@ -29,15 +29,14 @@ def parent_join(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return splittable_join(child, parent, key, "left")
 
 
-def unseen(
-    batch: DataFrame, history: DataFrame, key: str, ids: DataFrame, ids_bytes: int | None
+def recurring(
+    history: DataFrame, key: str, ids: DataFrame, ids_bytes: int | None
 ) -> DataFrame:
-    """Rows of ``batch`` whose ``key`` is nowhere in ``history``.
+    """Rows of ``history`` whose ``key`` is among the ``ids`` of a batch.
 
-    The batch is small against the history, so ``ids`` (the keys of the batch,
-    copies allowed) go to the history - as a broadcast while ``ids_bytes``, an
-    upper bound of their size, proves them small, by shuffle beyond that. Only
-    ids present on both sides come back to thin out the batch.
+    The batch is small against the history, so its ids (copies allowed) go to the
+    history: as a broadcast while ``ids_bytes``, an upper bound of their size,
+    proves them small, by shuffle beyond that.
     """
     ids = ids.select(key)
     if ids_bytes is not None and ids_bytes <= BROADCAST_BATCH_BYTES:
@@ -45,7 +44,15 @@ def unseen(
     else:
         # One row per id and task before the shuffle, however many copies came.
         ids = ids.distinct()
-    seen = history.select(key).join(ids, key, "left_semi")
+    return history.join(ids, key, "left_semi")
+
+
+def unseen(
+    batch: DataFrame, history: DataFrame, key: str, ids: DataFrame, ids_bytes: int | None
+) -> DataFrame:
+    """Rows of ``batch`` whose ``key`` is nowhere in ``history``; only ids present
+    on both sides come back to thin out the batch. See ``recurring`` for ``ids``."""
+    seen = recurring(history.select(key), key, ids, ids_bytes)
     return batch.join(seen, key, "left_anti")
 
 

@@ -19,7 +19,7 @@ from changefold.functions.measures import (
     MONEY_SUM, count_where, mean_money, mean_of_percents, money_where, percent, rounded,
 )
 from changefold.functions.payload import event_date, json_text
-from changefold.plans.gates import future_orders
+from changefold.plans.gates import future_orders, scorecard
 
 TOP_CUSTOMERS = 10
 # The lineage between the layers.
@@ -198,6 +198,43 @@ def lineage_edges(counts: DataFrame) -> DataFrame:
     )
 
 
+def reports(tables: Mapping[str, DataFrame], as_of: datetime) -> dict[str, DataFrame]:
+    """All reports over the named relations; each is computed when it is read."""
+    fact, dim, daily = (tables[t] for t in ("fct_orders", "dim_customers", "agg_daily_revenue"))
+    raw_orders, raw_customers = tables["raw_orders_cdc"], tables["raw_customers_cdc"]
+    counts = layer_counts({
+        "raw.orders": raw_orders,
+        "raw.customers": raw_customers,
+        "stg_orders": tables["stg_orders"],
+        "stg_customers": tables["stg_customers"],
+        "int_orders": tables["int_orders_enriched"],
+        "fct_orders": fact,
+        "dim_customers": dim,
+        "agg_daily": daily,
+    })
+    return {
+        "headline_kpis": headline_kpis(fact),
+        "raw_event_counts": raw_event_counts(raw_orders, raw_customers),
+        "orphan_rate": orphan_rate(fact),
+        "null_email_rate": null_email_rate(dim),
+        "future_orders": future_order_count(fact, as_of),
+        "daily_totals": daily_totals(daily),
+        "orders_by_status": orders_by_status(fact),
+        "customers_by_tier": customers_by_tier(dim),
+        "countries": country_labels(by_country(daily)),
+        "country_map": country_map(daily),
+        "cancellation_trend": cancellation_trend(daily),
+        "top_customers": top_customers(dim),
+        "drift_coverage": drift_coverage(fact),
+        "events_by_op": events_by_op(raw_orders, raw_customers),
+        "drift_onset": drift_onset(raw_orders),
+        "daily_event_volume": daily_event_volume(raw_orders),
+        "layer_counts": counts,
+        "lineage": lineage_edges(counts),
+        "scorecard": scorecard(fact, dim, as_of),
+    }
+
+
 def ad_hoc(spark: SparkSession, tables: Mapping[str, DataFrame], sql: str) -> DataFrame:
     """Run a query over the named relations, registered as temporary views."""
     for name, df in tables.items():

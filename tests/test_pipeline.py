@@ -6,7 +6,8 @@ import pytest
 
 from changefold.operators.history import SCD_TO
 from changefold.operators.quality import QualityGateError
-from changefold.plans import incremental, pipeline
+from changefold.operators import quality
+from changefold.plans import incremental, pipeline, serving
 from changefold.plans.marts import agg_daily_revenue, dim_customers, int_orders_enriched
 from changefold.plans.staging import stg_customers, stg_orders
 from changefold.sources import tables
@@ -192,6 +193,31 @@ def test_a_reader_keeps_its_run_until_it_refreshes(spark, chain):
     assert pipeline.table(reader, "fct_orders").filter("order_id = 50").count() == 1
 
 
+def test_raw_checks_see_a_repeated_id_of_a_new_load(spark, chain):
+    chain.run(0, ORDERS_1, CUSTOMERS_1)
+    # A load that went past the landing rules: one known id, one id twice.
+    raw_path = chain.wh.raw_path("raw_orders_cdc")
+    rogue = raw(spark, [ORDERS_1[0], ORDERS_2[2], ORDERS_2[2], ORDERS_2[0]])
+    number = pipeline.run_number(RUNS[1])
+    rogue.selectExpr("*", "current_timestamp() AS _loaded_at").write.parquet(f"{raw_path}/load_id={number}")
+    ids = pipeline.checked_ids(chain.wh, pipeline.ORDERS)
+    assert ids.count() == 5
+    repeated = {r.event_id: r.n_rows for r in quality.repeated_values(ids, "event_id").collect()}
+    assert repeated == {ORDERS_1[0]["event_id"]: 2, ORDERS_2[2]["event_id"]: 2}
+
+
+def test_reports_over_the_published_tables(spark, chain):
+    chain.run(0, ORDERS_1, CUSTOMERS_1)
+    published = pipeline.published_tables(Warehouse(spark, chain.wh.base, buckets=4))
+    reports = serving.reports(published, RUNS[0])
+    assert reports["headline_kpis"].first().orders == 40
+    layers = {r.layer: r.n_rows for r in reports["layer_counts"].collect()}
+    assert layers["int_orders"] == layers["fct_orders"] == 40 and layers["dim_customers"] == 5
+    assert {r.light for r in reports["scorecard"].collect()} == {"green", "red"}
+    got = serving.ad_hoc(spark, published, "SELECT count(*) AS n FROM fct_orders JOIN dim_customers USING (customer_id)")
+    assert got.first().n == 40
+
+
 def test_deleting_a_whole_bucket_leaves_it_empty(chain):
     chain.run(0, ORDERS_1, CUSTOMERS_1)
     chain.run(1, [order(k, "d", 9000 + k) for k in range(40)], [])
