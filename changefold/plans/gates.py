@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from changefold.config import CUSTOMER_TIERS, DEFAULT_CURRENCY, MAX_ORPHAN_PCT, ORDER_STATUSES
 from changefold.functions.measures import count_where, percent
+from changefold.functions.times import wall_clock
 from changefold.operators.quality import (
     ERROR, WARN, Check, as_count, check_report, traffic_light,
 )
@@ -45,10 +46,6 @@ CHECKS = (
 ORPHAN_RATE, FUTURE_ORDERS = "orphan_rate_under_threshold", "no_future_orders"
 
 
-def _now(as_of: datetime) -> Column:
-    return F.lit(as_of).cast("timestamp_ntz")
-
-
 def orphan_rate(fact: DataFrame, max_pct: float = MAX_ORPHAN_PCT) -> DataFrame:
     """One row if the share of orphan orders is above ``max_pct``, else none."""
     stats = fact.agg(
@@ -60,7 +57,7 @@ def orphan_rate(fact: DataFrame, max_pct: float = MAX_ORPHAN_PCT) -> DataFrame:
 
 
 def future_orders(fact: DataFrame, as_of: datetime) -> DataFrame:
-    return fact.filter(F.col("created_at") > _now(as_of)).select("order_id", "created_at")
+    return fact.filter(F.col("created_at") > wall_clock(as_of)).select("order_id", "created_at")
 
 
 def gate_report(
@@ -82,7 +79,7 @@ def scorecard(fact: DataFrame, customers: DataFrame, as_of: datetime) -> DataFra
     """The four health figures with their traffic light, from one pass per table."""
     of_fact = fact.agg(
         percent(count_where(F.col("is_orphan_order")), F.count("*"), 2).alias("orphan_rate"),
-        F.count_if(F.col("created_at") > _now(as_of)).cast("double").alias("future_orders"),
+        F.count_if(F.col("created_at") > wall_clock(as_of)).cast("double").alias("future_orders"),
         percent(count_where(F.col("currency") != DEFAULT_CURRENCY), F.count("*"), 1)
         .alias("drift_coverage"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from changefold.config import COMPLETED_STATUS, LOST_STATUSES
 from changefold.functions.measures import MONEY_SUM, count_where, money_where, percent
+from changefold.functions.times import instant
 from changefold.operators.joins import parent_join
 
 
@@ -42,7 +43,7 @@ def int_orders_enriched(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def fct_orders(enriched: DataFrame, run_ts: datetime) -> DataFrame:
-    return enriched.withColumn("_processed_at", F.lit(run_ts).cast("timestamp"))
+    return enriched.withColumn("_processed_at", instant(run_ts))
 
 
 def dim_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefold.config import CUSTOMERS, MAX_ORPHAN_PCT, ORDERS, LogConfig
 from changefold.functions.payload import record_key
+from changefold.functions.times import in_utc
 from changefold.operators.history import SCD_ID, SCD_TO, snapshot_delta
 from changefold.operators.joins import recurring
 from changefold.operators.quality import Check, require_pass
@@ -72,9 +73,7 @@ class RunResult:
 
 def run_number(run_ts: datetime) -> int:
     """Runs are numbered by their time, so a later run always has a higher number."""
-    if run_ts.tzinfo is None:
-        run_ts = run_ts.replace(tzinfo=timezone.utc)
-    return int(run_ts.timestamp() * 1000)
+    return int(in_utc(run_ts).timestamp() * 1000)
 
 
 def table(wh: Warehouse, name: str) -> DataFrame:

@@ -89,10 +89,10 @@ CUSTOMER_IMAGE = """
 def _spread(df: DataFrame) -> DataFrame:
     """Give every core a share when the whole table is one small file.
 
-    A table of many files is read by many tasks and stays as it is.
+    A table that is read by many tasks stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
 
 
 def _raw(rows: DataFrame, table: str, events: str, copies: str, before: str, image: str) -> DataFrame:

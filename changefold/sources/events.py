@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefold.config import LogConfig
+from changefold.functions.times import instant
 from changefold.operators.fold import first_arrivals
 from changefold.operators.joins import unseen
 
@@ -158,7 +159,7 @@ def land(
     if history.isEmpty():
         history = None
     rows = new_events(parse_events(lines, ARRIVAL), history, ARRIVAL, size.bytes)
-    rows = rows.withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp"))
+    rows = rows.withColumn("_loaded_at", instant(loaded_at))
     rows.select(*RAW_COLUMNS).write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
     inserted = read_raw(spark, path).filter(F.col("load_id") == load_id).count()
     return LoadResult(config.raw_table, size.n, inserted)
