@@ -11,7 +11,6 @@ shuffle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from changefold.sources.events import envelope_line
 

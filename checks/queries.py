@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changefold.config import CUSTOMERS, CUSTOMER_TIERS, ORDERS, SNAPSHOT_CHECK_COLUMNS
-from changefold.functions.payload import event_date, json_text, record_key
+from changefold.functions.payload import json_text, record_key
 from changefold.operators import quality
 from changefold.operators.fold import first_arrivals, latest_per_key
 from changefold.operators.history import SCD_ID, SCD_TO, as_of, empty_snapshot, snapshot_delta, versions_from_log

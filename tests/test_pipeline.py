@@ -214,7 +214,8 @@ def test_reports_over_the_published_tables(spark, chain):
     layers = {r.layer: r.n_rows for r in reports["layer_counts"].collect()}
     assert layers["int_orders"] == layers["fct_orders"] == 40 and layers["dim_customers"] == 5
     assert {r.light for r in reports["scorecard"].collect()} == {"green", "red"}
-    got = serving.ad_hoc(spark, published, "SELECT count(*) AS n FROM fct_orders JOIN dim_customers USING (customer_id)")
+    joined = "SELECT count(*) AS n FROM fct_orders JOIN dim_customers USING (customer_id)"
+    got = serving.ad_hoc(spark, published, joined)
     assert got.first().n == 40
 
 
