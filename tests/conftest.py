@@ -18,7 +18,11 @@ RAW = (
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    spark = session("4", {"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
+    spark = session("4", {
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.shuffle.partitions": "2",
+        "spark.default.parallelism": "2",
+    })
     yield spark
     spark.stop()
 

@@ -122,7 +122,7 @@ def expected_state(events):
     return sorted(((k, b[0][0], b[0][1], b[1]) for k, b in best.items()), key=repr)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(events=logs, data=st.data())
 def test_order_copies_and_batches_of_a_log_do_not_matter(spark, events, data):
     shuffled = data.draw(st.permutations(events)) + data.draw(st.lists(st.sampled_from(events), max_size=5))

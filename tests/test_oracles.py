@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks import queries as definitions
 from checks.compare import difference, duck
 
 SF = "/root/testdata/sf0.001"
@@ -17,6 +20,15 @@ def con():
     return duck(SF)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_chain():
+    """The queries over published tables share one pair of runs here."""
+    patch = pytest.MonkeyPatch()
+    patch.setattr(definitions, "published", lru_cache(definitions.published))
+    yield
+    patch.undo()
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_its_sql(spark, con, name):
     found = difference(queries()[name](spark, SF), con, oracle_sql()[name])
