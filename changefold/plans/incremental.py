@@ -19,7 +19,7 @@ from changefold.functions.payload import record_key
 from changefold.operators.fold import latest_per_key
 from changefold.operators.joins import replace_by_key, splittable_join
 from changefold.plans.staging import fold
-from changefold.sources.tables import BROADCAST_KEYS, Warehouse
+from changefold.sources.tables import Warehouse, rows_with_keys
 
 EVENT_WATERMARK, AFFECTED_KEYS = "event_watermark", "affected_keys"
 
@@ -39,19 +39,15 @@ def advance_state(
 ) -> list[int]:
     """Fold a batch of events into a state table; returns the buckets written.
 
-    Only the stored rows of the batch's own keys compete with it.
+    Only the stored rows of the batch's own keys compete with it. The keys are kept
+    as ``changed_<table>`` for later steps of the run.
     """
     keys = wh.keep(
-        f"keys_{name}",
+        f"changed_{name}",
         batch.select(record_key(config.key).alias(config.key)).distinct(), run,
     )
     stored = wh.read(name, schema, wh.touched(keys, config.key))
-    few = keys.count() <= BROADCAST_KEYS
-    asked = keys.select(F.col(config.key).alias("_asked"))
-    rivals = stored.join(
-        F.broadcast(asked) if few else asked,
-        F.col(config.key).eqNullSafe(F.col("_asked")), "left_semi",
-    )
+    rivals = rows_with_keys(stored, keys, config.key)
     return wh.replace_keys(name, schema, merge_state(rivals, batch, config), keys, config.key, run)
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefold.config import CUSTOMERS, MAX_ORPHAN_PCT, ORDERS, LogConfig
-from changefold.functions.payload import record_key
 from changefold.functions.times import in_utc
 from changefold.operators.history import SCD_ID, SCD_TO, snapshot_delta
 from changefold.operators.joins import recurring
@@ -28,7 +27,7 @@ from changefold.plans.incremental import (
 from changefold.plans.marts import agg_daily_revenue, dim_customers, fct_orders, int_orders_enriched
 from changefold.plans.staging import live
 from changefold.sources.events import LoadResult, land, read_lines
-from changefold.sources.tables import Warehouse
+from changefold.sources.tables import Warehouse, rows_with_keys
 
 FOLDED = "_cdc_ts timestamp, _last_op string, ts_ms bigint, lsn bigint, event_id string"
 SCHEMAS = {
@@ -133,21 +132,28 @@ def _build_fact(
         rows = wh.keep("fact_rows", fct_orders(past_watermark(enriched, fact), run_ts), run)
         keys = rows.select("order_id").filter(F.col("order_id").isNotNull())
         return wh.replace_keys(name, schema, rows, keys, "order_id", run)
-    order_keys = unprocessed(wh, ORDERS).select(record_key("order_id").alias("order_id"))
-    customer_keys = unprocessed(wh, CUSTOMERS).select(record_key("customer_id").alias("customer_id"))
     affected = wh.keep(
-        "affected_orders", affected_orders(order_keys, customer_keys, orders, fact), run
+        "affected_orders",
+        affected_orders(
+            wh.kept("changed_state_orders", run), wh.kept("changed_state_customers", run), orders, fact
+        ),
+        run,
     )
-    asked = affected.select(F.col("order_id").alias("_asked"))
-    changed = orders.join(asked, F.col("order_id").eqNullSafe(F.col("_asked")), "left_semi")
+    changed = rows_with_keys(orders, affected, "order_id")
     rows = fct_orders(int_orders_enriched(changed, customers), run_ts)
     return wh.replace_keys(name, schema, rows, affected, "order_id", run)
 
 
 def _snapshot(wh: Warehouse, run: int, run_ts: datetime, customers: DataFrame) -> list[int]:
+    """Compare the customers that had events since the last published run (no other
+    can differ) with their open rows."""
     name, schema = "customers_snapshot", SCHEMAS["customers_snapshot"]
-    open_rows = wh.read(name, schema).filter(F.col(SCD_TO).isNull())
-    delta = snapshot_delta(open_rows, customers.select(*SNAPSHOT_COLUMNS), "customer_id", run_ts)
+    changed = wh.kept("changed_state_customers", run)
+    open_rows = wh.read(name, schema, wh.touched(changed, "customer_id")).filter(
+        F.col(SCD_TO).isNull()
+    )
+    current = rows_with_keys(customers.select(*SNAPSHOT_COLUMNS), changed, "customer_id")
+    delta = snapshot_delta(open_rows, current, "customer_id", run_ts)
     delta = wh.keep("snapshot_delta", delta, run)
     keys = delta.select(SCD_ID, "customer_id")
     return wh.replace_keys(name, schema, delta, keys, SCD_ID, run, bucket_key="customer_id")

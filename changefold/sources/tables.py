@@ -28,6 +28,15 @@ LAYERS = {
 }
 
 
+def rows_with_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is in the written frame ``keys``; few keys travel
+    to the rows, many meet them by shuffle. A NULL key finds NULL."""
+    asked = keys.select(F.col(key).alias("_asked"))
+    if keys.count() <= BROADCAST_KEYS:
+        asked = F.broadcast(asked)
+    return df.join(asked, F.col(key).eqNullSafe(F.col("_asked")), "left_semi")
+
+
 class Warehouse:
     """Tables of one base path. ``buckets`` is fixed for the life of the path:
     choose it so that a bucket of the largest keyed table fills a few tasks."""
@@ -118,6 +127,10 @@ class Warehouse:
         kept = sorted(set(range(self.buckets)) - set(touched))
         return self.read(table, schema, kept).unionByName(self.written(table, schema, run))
 
+    def kept(self, name: str, run: int) -> DataFrame:
+        """An interim result of a run, see ``keep``."""
+        return self.spark.read.parquet(f"{self.base}/interim/run={run}/{name}")
+
     # -- writing -----------------------------------------------------------
 
     def keep(self, name: str, df: DataFrame, run: int) -> DataFrame:

@@ -107,7 +107,6 @@ def test_few_keys_leave_the_stored_rows_where_they_are(spark, chain, monkeypatch
 
 def test_many_keys_give_the_same_tables(spark, chain, monkeypatch):
     monkeypatch.setattr(tables, "BROADCAST_KEYS", 0)
-    monkeypatch.setattr(incremental, "BROADCAST_KEYS", 0)
     chain.run(0, ORDERS_1, CUSTOMERS_1)
     chain.run(1, ORDERS_1[:3] + ORDERS_2, CUSTOMERS_2)
     assert built(chain) == expected(spark, ORDERS_1 + ORDERS_2, CUSTOMERS_1 + CUSTOMERS_2)
