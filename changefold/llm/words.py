@@ -75,6 +75,14 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
 
 
+def sequence_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the values in spans, in their order."""
+    up, down = _powers(len(values) + 1)
+    total = np.zeros(len(values) + 1, _U)
+    np.cumsum(mix(values) * up[:len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
+
+
 class Words:
     """Words of a column: ``starts``/``ends`` in ``data``; text i has words first[i]:first[i+1]."""
 
