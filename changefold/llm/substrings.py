@@ -6,7 +6,7 @@ could match there. The anchor of a window is the smallest hash of its ``GRAM``-w
 equal windows have equal anchors. Stretches whose anchor occurs in two documents go to the
 shard of that anchor, equal ones once. A shard builds a suffix automaton of its stretches,
 streams them through it for matching statistics, and tells for each window the smallest id
-that has it. Words compare by 64-bit hashes.
+that has it. Windows compare by the 64 bits of their anchor and 40 bits of each word.
 """
 
 from __future__ import annotations
@@ -22,7 +22,9 @@ from changefold.llm.words import PLAIN, Words, covered, lists, mix, per_text, ro
 from changefold.session import materialize
 
 WINDOW = 13
-GRAM = 7
+GRAM = 6
+#: Bytes by which a word is named within a shard, whose windows agree in an anchor's 64 bits.
+SYMBOL = 5
 
 
 class Automaton:
@@ -135,17 +137,25 @@ def stretches(column: pa.Array, asked: pa.Array) -> list:
     doc = words.doc[begin]
     per = per_text(doc, n)
     cut = np.concatenate([[0], np.cumsum(per)])
-    parts = [hashes[b:s].tobytes() for b, s in zip(begin, stop, strict=True)]
+    short = hashes.view(np.uint8).reshape(-1, 8)[:, :SYMBOL]
+    parts = [short[b:s].tobytes() for b, s in zip(begin, stop, strict=True)]
     return [
         lists(begin - words.first[doc], per, pa.int32()), lists(found[begin].view(np.int64), per, pa.int64()),
         lists(keys.view(np.int64), per, pa.int64()), [parts[a:b] for a, b in zip(cut, cut[1:], strict=False)],
     ]
 
 
+def symbols(words: bytes) -> list[int]:
+    """The words of a stretch, which came as ``SYMBOL`` bytes of their hashes each."""
+    out = np.zeros((len(words) // SYMBOL, 8), np.uint8)
+    out[:, :SYMBOL] = np.frombuffer(words, np.uint8).reshape(-1, SYMBOL)
+    return out.view(np.uint64)[:, 0].tolist()
+
+
 def shard(cols: dict) -> list[tuple]:
     """(anchor, key, least owners of its windows) of the stretches of one anchor. Stretches
     with nothing smaller than the largest id that has them are left out."""
-    words = [np.frombuffer(x, np.uint64).tolist() for x in cols["words"]]
+    words = [symbols(x) for x in cols["words"]]
     owners, tops = cols["owner"].tolist(), cols["top"].tolist()
     if len(words) == 1:
         found = [[owners[0]] * (len(words[0]) - WINDOW + 1)]
@@ -161,20 +171,20 @@ def shard(cols: dict) -> list[tuple]:
 
 
 def removable(docs: DataFrame) -> DataFrame:
-    """(doc_id, starts) for the documents of (doc_id, text) that have windows which also start
+    """(of_id, starts) for the documents of (doc_id, text) that have windows which also start
     in a document with a smaller id: the first words of those windows."""
-    named = docs.filter("doc_id IS NOT NULL")
-    pairs = annotate(named, anchors, "anchor array<bigint>", keep=["doc_id"]).select(
+    pairs = annotate(docs.filter("doc_id IS NOT NULL"), anchors, "anchor array<bigint>", keep=["doc_id"]).select(
         "doc_id", F.explode("anchor").alias("anchor"))
     same = Window.partitionBy("anchor")
     often = pairs.select("doc_id", "anchor", F.min("doc_id").over(same).alias("lo"),
                          F.max("doc_id").over(same).alias("hi")).filter("lo < hi")
-    asked = often.groupBy("doc_id").agg(F.collect_set("anchor").alias("asked")).withColumnRenamed("doc_id", "of_id")
-    met = named.join(asked, F.col("doc_id") == F.col("of_id"))
+    asked = materialize(often.groupBy(F.col("doc_id").alias("of_id")).agg(
+        F.collect_set("anchor").alias("asked")), "anchors")
+    # The texts are dealt by id once: both uses here and the caller's share that exchange.
+    met = docs.join(asked, F.col("doc_id") == F.col("of_id"), "left")
     fields = "first array<int>, anchor array<bigint>, key array<bigint>, words array<binary>"
     found = annotate(met, stretches, fields, keep=["doc_id"], also=["asked"]).select(
         "doc_id", F.explode(F.arrays_zip("first", "anchor", "key", "words")).alias("s")).select("doc_id", "s.*")
-    found = materialize(found, "stretches")
     # Equal stretches go to their shard once, however many documents have them.
     distinct = found.groupBy("anchor", "key", "words").agg(
         F.min("doc_id").alias("owner"), F.max("doc_id").alias("top"))
@@ -183,8 +193,8 @@ def removable(docs: DataFrame) -> DataFrame:
     places = F.filter(
         F.transform("least", lambda owner, i: F.when(owner < F.col("doc_id"), F.col("first") + i)),
         lambda x: x.isNotNull())
-    return back.select("doc_id", places.alias("starts")).filter(F.size("starts") > 0).groupBy("doc_id").agg(
-        F.flatten(F.collect_list("starts")).alias("starts"))
+    return back.select(F.col("doc_id").alias("of_id"), places.alias("starts")).filter(
+        F.size("starts") > 0).groupBy("of_id").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
 def without(column: pa.Array, starts: pa.Array) -> list:
@@ -216,8 +226,9 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     names = [c for c in (keep or docs.columns) if c != text]
     added = [free_name(docs.columns, c) for c in ("n_words", "n_removed", "left", "of_id", "starts")]
     asked = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    starts = removable(asked).withColumnsRenamed({"doc_id": added[3], "starts": added[4]})
-    met = docs.join(starts, F.col(f"`{doc_id}`").cast("long") == F.col(added[3]), "left")
+    starts = removable(asked).withColumnsRenamed({"of_id": added[3], "starts": added[4]})
+    rows = asked if set(names) <= {"doc_id"} and doc_id == "doc_id" and text == "text" else docs
+    met = rows.join(starts, F.col(f"`{doc_id}`").cast("long") == F.col(added[3]), "left")
     fields = f"`{added[0]}` bigint, `{added[1]}` bigint, `{added[2]}` string"
     out = annotate(met, without, fields, keep=names, text=text, also=[added[4]])
     return out.select(*[F.col(f"`{added[2]}`").alias(c) if c == text else F.col(f"`{c}`")
