@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefold.llm import bpe, decontam, licenses, lines, minhash, quality, secret_scan, substrings, warc
+from changefold.llm import bpe, decontam, licenses, lines, minhash, quality, secret_scan, substrings, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,14 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         sha256(F.array_join(F.array_sort(items), ",")).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held = F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.dedup(table(spark, sf_dir, "documents"), keep=["doc_id", "text"])
     return found.select("doc_id", "n_words", "n_removed", sha256(F.col("text")).alias("kept_sha256"))
@@ -83,6 +91,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_byte_bpe, op2_license_scan, op3_decontamination, op5_substring_dedup, op6_minhash, op7_line_dedup,
+        op1_byte_bpe, op2_license_scan, op3_decontamination, op4_toxicity, op5_substring_dedup, op6_minhash, op7_line_dedup,
         op8_secret_scan, op9_warc, op10_quality_rules, pipeline)
 }
