@@ -23,9 +23,10 @@ def _column(column: pa.ChunkedArray):
 
 
 def in_groups(df: DataFrame, keys: Sequence[str], work: Callable[[dict], list[tuple]],
-              fields: str, *, order: Sequence[str] = ()) -> DataFrame:
+              fields: str, *, dealt: bool = False) -> DataFrame:
     """What ``work`` makes of each group of equal ``keys`` (integers without nulls).
 
+    ``dealt``: the rows are partitioned by the keys already.
     Groups are dealt by a shuffle on the keys and come sorted, so a task holds one Arrow
     batch and one group at a time. ``work`` gets a dict of columns and returns rows; its
     groups must be bounded by how the keys are made.
@@ -76,4 +77,5 @@ def in_groups(df: DataFrame, keys: Sequence[str], work: Callable[[dict], list[tu
             each(rest, True)
         yield out(ready)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+    by_key = df if dealt else df.repartition(*keys)
+    return by_key.sortWithinPartitions(*keys).mapInArrow(run, schema)

@@ -11,12 +11,14 @@ that has it. Windows compare by the 64 bits of their anchor and 40 bits of each
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changefold.llm.frames import annotate, free_name
+from changefold.llm.frames import annotate, chunks, free_name, texts
 from changefold.llm.groups import in_groups
 from changefold.llm.words import PLAIN, Words, covered, lists, mix, per_text, rolled, runs, sequence_hashes
 from changefold.session import materialize
@@ -25,6 +27,8 @@ WINDOW = 13
 GRAM = 6
 #: Bytes by which a word is named within a shard, whose windows agree in an anchor's 64 bits.
 SYMBOL = 5
+#: Distinct stretches a task holds before it hands them on (about 60 MB).
+HELD = 200_000
 
 
 class Automaton:
@@ -116,9 +120,9 @@ def anchors(column: pa.Array) -> list:
     return [lists(found[at].view(np.int64), per_text(words.doc[at], len(column)), pa.int64())]
 
 
-def stretches(column: pa.Array, asked: pa.Array) -> list:
-    """The stretches of each text whose windows have one of the ``asked`` anchors: first
-    word, anchor, two hashes of the words, and the words' hashes as bytes."""
+def stretches(column: pa.Array, asked: pa.Array) -> tuple:
+    """The stretches of all texts whose windows have one of the text's ``asked`` anchors: the
+    text's place, first word, anchor, a hash of the words, and a short hash of each word."""
     n = len(column)
     words = Words(column, PLAIN, lower=False)
     hashes = words.hashes()
@@ -134,15 +138,45 @@ def stretches(column: pa.Array, asked: pa.Array) -> list:
     begin, end = runs(ok, np.flatnonzero(border))
     stop = end + WINDOW - 1  # words of the stretch are begin:stop
     keys = sequence_hashes(hashes, begin, stop)
-    doc = words.doc[begin]
-    per = per_text(doc, n)
-    cut = np.concatenate([[0], np.cumsum(per)])
     short = hashes.view(np.uint8).reshape(-1, 8)[:, :SYMBOL]
-    parts = [short[b:s].tobytes() for b, s in zip(begin, stop, strict=True)]
-    return [
-        lists(begin - words.first[doc], per, pa.int32()), lists(found[begin].view(np.int64), per, pa.int64()),
-        lists(keys.view(np.int64), per, pa.int64()), [parts[a:b] for a, b in zip(cut, cut[1:], strict=False)],
-    ]
+    doc = words.doc[begin]
+    return (doc, begin - words.first[doc], found[begin].view(np.int64), keys.view(np.int64),
+            (short[b:s].tobytes() for b, s in zip(begin, stop, strict=True)))
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(anchor, key, words, owner, top): a task's equal stretches as one row, with the least
+    and the greatest id that has them. ``batches``: doc_id, text, asked."""
+    held: dict[tuple[int, int], list] = {}
+
+    def ready() -> pa.RecordBatch:
+        cols = ([a for a, _ in held], [k for _, k in held], *([v[i] for v in held.values()] for i in range(3)))
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)],
+            names=["anchor", "key", "words", "owner", "top"])
+        held.clear()
+        return out
+
+    for batch in batches:
+        for part in chunks(batch, 1):
+            ids = part.column(0).to_pylist()
+            doc, _, anchor, key, words = stretches(texts(part.column(1)), part.column(2))
+            for i, *which, w in zip(doc.tolist(), anchor.tolist(), key.tolist(), words, strict=True):
+                known = held.get(at := tuple(which))
+                if known is None:
+                    held[at] = [w, ids[i], ids[i]]
+                else:
+                    known[1], known[2] = min(known[1], ids[i]), max(known[2], ids[i])
+            if len(held) > HELD:
+                yield ready()
+    yield ready()
+
+
+def _places(column: pa.Array, asked: pa.Array) -> list:
+    """First word, anchor and hash of each stretch."""
+    doc, first, anchor, key, _ = stretches(column, asked)
+    per = per_text(doc, len(column))
+    return [lists(first, per, pa.int32()), lists(anchor, per, pa.int64()), lists(key, per, pa.int64())]
 
 
 def symbols(words: bytes) -> list[int]:
@@ -182,14 +216,17 @@ def removable(docs: DataFrame) -> DataFrame:
         F.collect_set("anchor").alias("asked")), "anchors")
     # The texts are dealt by id once: both uses here and the caller's share that exchange.
     met = docs.join(asked, F.col("doc_id") == F.col("of_id"), "left")
-    fields = "first array<int>, anchor array<bigint>, key array<bigint>, words array<binary>"
-    found = annotate(met, stretches, fields, keep=["doc_id"], also=["asked"]).select(
-        "doc_id", F.explode(F.arrays_zip("first", "anchor", "key", "words")).alias("s")).select("doc_id", "s.*")
-    # Equal stretches go to their shard once, however many documents have them.
-    distinct = found.groupBy("anchor", "key", "words").agg(
-        F.min("doc_id").alias("owner"), F.max("doc_id").alias("top"))
-    least = in_groups(distinct, ["anchor"], shard, "anchor bigint, key bigint, least array<bigint>")
-    back = found.select("doc_id", "first", "anchor", "key").join(least, ["anchor", "key"])
+    # Equal stretches are one row for each task, so a passage of a third of all documents
+    # is no load for its shard.
+    distinct = met.select("doc_id", "text", "asked").mapInArrow(
+        _distinct, "anchor bigint, key bigint, words binary, owner bigint, top bigint")
+    distinct = distinct.repartition("anchor").groupBy("anchor", "key", "words").agg(
+        F.min("owner").alias("owner"), F.max("top").alias("top"))
+    least = in_groups(distinct, ["anchor"], shard, "anchor bigint, key bigint, least array<bigint>", dealt=True)
+    found = annotate(met, _places, "first array<int>, anchor array<bigint>, key array<bigint>",
+                     keep=["doc_id"], also=["asked"]).select(
+        "doc_id", F.explode(F.arrays_zip("first", "anchor", "key")).alias("s")).select("doc_id", "s.*")
+    back = found.join(least, ["anchor", "key"])
     places = F.filter(
         F.transform("least", lambda owner, i: F.when(owner < F.col("doc_id"), F.col("first") + i)),
         lambda x: x.isNotNull())
