@@ -47,7 +47,7 @@ def _gnu() -> list[Rule]:
             body = f"(?:gnu )?{name} (?:as published by the free software foundation )?(?:either )?(?:version |v ?)"
             out += [
                 Rule(f"{kind}-{short}-or-later", keyword,
-                     f"{body}{exact} (?:of the license )?or (?:at your option )?any later(?: version)?", EXACT),
+                     f"{body}{exact} (?:of the license )?or (?:at your option )?(?:any )?later(?: version)?", EXACT),
                 Rule(f"{kind}-{short}-only", keyword, f"{body}{exact} only", EXACT),
                 Rule(f"{kind}-{short}", keyword, f"{body}{exact}", EXACT),
                 Rule(f"{kind}-{short}", kind, f"(?:gnu )?{kind} ?(?:version |v ?)?{exact}", EXACT),
