@@ -131,7 +131,8 @@ def _build_fact(
         enriched = int_orders_enriched(orders, customers)
         rows = wh.keep("fact_rows", fct_orders(past_watermark(enriched, fact), run_ts), run)
         keys = rows.select("order_id").filter(F.col("order_id").isNotNull())
-        return wh.replace_keys(name, schema, rows, keys, "order_id", run)
+        # A row without a key replaces nothing, but its bucket is published as well.
+        return wh.replace_keys(name, schema, rows, keys, "order_id", run, wh.touched(rows, "order_id"))
     affected = wh.keep(
         "affected_orders",
         affected_orders(

@@ -236,7 +236,11 @@ def reports(tables: Mapping[str, DataFrame], as_of: datetime) -> dict[str, DataF
 
 
 def ad_hoc(spark: SparkSession, tables: Mapping[str, DataFrame], sql: str) -> DataFrame:
-    """Run a query over the named relations, registered as temporary views."""
+    """Run a query over the named relations, registered as temporary views.
+
+    The text is taken as a subquery, so only a query that reads can be parsed: a
+    statement that would write, define or drop anything is refused before it is run.
+    """
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(sql)
+    return spark.sql(f"SELECT * FROM (\n{sql.strip().removesuffix(';')}\n)")

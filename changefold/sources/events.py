@@ -153,12 +153,13 @@ def land(
     twice; its own earlier rows do not count as seen.
     """
     size = lines.agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes")).first()
-    if size.n == 0:
+    raw = read_raw(spark, path)
+    if size.n == 0 and raw.filter(F.col("load_id") == load_id).isEmpty():
         return LoadResult(config.raw_table, 0, 0)
-    history = read_raw(spark, path).filter(F.col("load_id") != load_id)
+    history = raw.filter(F.col("load_id") != load_id)
     if history.isEmpty():
         history = None
-    rows = new_events(parse_events(lines, ARRIVAL), history, ARRIVAL, size.bytes)
+    rows = new_events(parse_events(lines, ARRIVAL), history, ARRIVAL, size.bytes or 0)
     rows = rows.withColumn("_loaded_at", instant(loaded_at))
     rows.select(*RAW_COLUMNS).write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
     inserted = read_raw(spark, path).filter(F.col("load_id") == load_id).count()

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from changefold.sources.events import read_or_empty, read_raw
 
 MAP_SCHEMA = "table_name string, bucket int, at_run bigint"
+# The entry of a publication that holds the number of buckets.
+BUCKETS = "#buckets"
 # Keys are bigints or 32-character ids, so this many take at most some 200 MB.
 BROADCAST_KEYS = 2_000_000
 LAYERS = {
@@ -65,7 +67,12 @@ class Warehouse:
         published = self._published()
         last = published.agg(F.max("run")).first()[0]
         rows = [] if last is None else published.filter(F.col("run") == last).collect()
-        self._last, self._map = last, [(r.table_name, r.bucket, r.at_run) for r in rows]
+        for r in rows:
+            if r.table_name == BUCKETS and r.bucket != self.buckets:
+                raise ValueError(
+                    f"{self.base} was made with {r.bucket} buckets and is opened with {self.buckets}")
+        self._last = last
+        self._map = [(r.table_name, r.bucket, r.at_run) for r in rows if r.table_name != BUCKETS]
         self._seen = True
 
     def last_run(self) -> int | None:
@@ -88,7 +95,7 @@ class Warehouse:
         for table, touched in written.items():
             buckets = [0] if touched is None else touched
             entries.update({(table, b): run for b in buckets})
-        rows = [(t, b, r) for (t, b), r in entries.items()]
+        rows = [(t, b, r) for (t, b), r in entries.items()] + [(BUCKETS, self.buckets, run)]
         (
             self.spark.createDataFrame(rows, MAP_SCHEMA)
             .coalesce(1).write.mode("overwrite").parquet(f"{self.base}/published/run={run}")
@@ -154,18 +161,19 @@ class Warehouse:
 
     def replace_keys(
         self, table: str, schema: str, rows: DataFrame, keys: DataFrame, key: str, run: int,
-        bucket_key: str | None = None,
+        more: Sequence[int] = (), bucket_key: str | None = None,
     ) -> list[int]:
-        """Delete ``keys`` from a table and add ``rows``, whose keys are among them.
+        """Delete ``keys`` from a table and add ``rows``, whose keys are among them or fall
+        into the buckets ``more``.
 
         ``keys`` should be a written frame of ``key`` (and ``bucket_key``). Rewrites
-        the buckets the keys fall in and returns their numbers. Few keys are sent
+        the buckets the keys fall in and ``more``, and returns their numbers. Few keys are sent
         to the stored rows, which then stay in the files' own bucket order and are
         neither shuffled nor sorted; only the added rows are. Many keys meet the
         stored rows by shuffle, and everything is dealt out to its buckets anew.
         """
         bucket = self.bucket_of(bucket_key or key)
-        touched = self.touched(keys, bucket_key or key)
+        touched = sorted({*self.touched(keys, bucket_key or key), *more})
         few = keys.count() <= BROADCAST_KEYS
         gone = keys.select(F.col(key).alias("_gone"))
         stored = self.read(table, schema, touched)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 ORDER_LOG = """
 ob AS (
-  SELECT o_orderkey AS k, o_custkey AS cust, o_orderdate AS placed,
+  SELECT o_orderkey AS k, CASE WHEN o_custkey % 41 = 0 THEN -o_custkey ELSE o_custkey END AS cust, o_orderdate AS placed,
          epoch_ms(o_orderdate) AS t0,
          CASE WHEN o_orderkey % 307 = 0 THEN -o_totalprice ELSE o_totalprice END AS price,
          CASE WHEN o_orderkey % 401 = 0 THEN NULL
@@ -61,7 +61,7 @@ cb AS (
   SELECT c_custkey AS k, c_name AS name, 788918400000 + 60000 * c_custkey AS t0,
          CASE WHEN c_nationkey = 24 THEN 'ZZ'
               ELSE ['IN','US','GB','AE','SG','AU','DE','CA'][c_nationkey % 8 + 1] END AS country
-  FROM customer WHERE c_custkey % 41 <> 0),
+  FROM customer),
 ce AS (
   SELECT k, 'c' AS op, t0 AS ts, 10*k+1 AS lsn,
          CASE WHEN k % 149 = 0 THEN 'vip' ELSE 'bronze' END AS tier, name AS full_name FROM cb
@@ -352,15 +352,15 @@ verdict AS (
   FROM sc1 x),
 hist AS (
   SELECT x.customer_id, full_name, email, country, tier, updated_at, a AS since,
-         CASE WHEN changed THEN b END AS until, CASE WHEN changed THEN b ELSE a END AS touched
+         CASE WHEN changed THEN b END AS until
   FROM sc1 x JOIN verdict USING (customer_id), t1
   UNION ALL
-  SELECT y.customer_id, full_name, email, country, tier, updated_at, b, NULL, b
+  SELECT y.customer_id, full_name, email, country, tier, updated_at, b, NULL
   FROM sc y LEFT JOIN verdict v ON v.customer_id = y.customer_id, t1
   WHERE v.changed IS NULL OR v.changed)
 SELECT customer_id, full_name, email, country, tier, updated_at,
        md5(customer_id || '|' || strftime(since, '%Y-%m-%dT%H:%M:%S')) AS dbt_scd_id,
-       touched AS dbt_updated_at, since AS dbt_valid_from, until AS dbt_valid_to
+       since AS dbt_updated_at, since AS dbt_valid_from, until AS dbt_valid_to
 FROM hist""")
 
     # quality

@@ -223,3 +223,18 @@ def test_deleting_a_whole_bucket_leaves_it_empty(chain):
     chain.run(1, [order(k, "d", 9000 + k) for k in range(40)], [])
     assert chain.table("fct_orders").count() == 0
     assert chain.table("state_orders").count() == 40
+
+
+def test_another_number_of_buckets_is_refused(spark, chain):
+    chain.run(0, ORDERS_1, CUSTOMERS_1)
+    with pytest.raises(ValueError, match="4 buckets"):
+        Warehouse(spark, chain.wh.base, buckets=7).last_run()
+
+
+@pytest.mark.parametrize("mode", [pipeline.AFFECTED_KEYS, pipeline.EVENT_WATERMARK])
+def test_rows_without_a_key_are_published(chain, mode):
+    nameless = order(None, "c", 9000, customer_id=1, status="pending", amount=3)
+    chain.run(0, ORDERS_1, CUSTOMERS_1, mode=mode)
+    chain.run(1, [*ORDERS_1, nameless], CUSTOMERS_1, mode=mode)
+    found = [r.order_id for r in chain.table("fct_orders").collect()]
+    assert len(found) == 41 and found.count(None) == 1

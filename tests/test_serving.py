@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import ParseException
 from pyspark.sql import functions as F
 
 from changefold.plans import serving
@@ -82,3 +83,17 @@ def test_lineage_weights_and_ad_hoc_queries(spark):
     assert len(got) == 8 and got["raw.orders", "stg_orders"] == 5 and got["stg_orders", "int_orders"] == 3
     out = serving.ad_hoc(spark, {"t": spark.range(4)}, "SELECT sum(id) AS s FROM t")
     assert out.first().s == 6
+
+
+@pytest.mark.parametrize("sql", [
+    "INSERT OVERWRITE DIRECTORY '/tmp/never' USING parquet SELECT 1",
+    "CREATE TABLE never AS SELECT 1", "DROP VIEW t", "SELECT 1; SELECT 2",
+])
+def test_ad_hoc_refuses_what_does_not_read(spark, sql):
+    with pytest.raises(ParseException):
+        serving.ad_hoc(spark, {"t": spark.range(3)}, sql)
+
+
+def test_ad_hoc_takes_one_query(spark):
+    found = serving.ad_hoc(spark, {"t": spark.range(3)}, "WITH x AS (SELECT max(id) AS m FROM t) SELECT m FROM x;")
+    assert [r.m for r in found.collect()] == [2]
