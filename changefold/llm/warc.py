@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -28,6 +29,8 @@ ARCHIVE_BYTES = 256 << 20
 #: Records this near each other are read in one go, up to so many bytes.
 GAP_BYTES = 64 << 10
 READ_BYTES = 4 << 20
+#: Bytes of archives for each task that reads them.
+TASK_BYTES = 32 << 20
 LEVEL = 4
 INDEX = "path string, offset bigint, length bigint, url string, digest string"
 RECORD = ("page_id bigint, url string, payload_bytes bigint, payload_digest string, "
@@ -182,10 +185,11 @@ def read(index: DataFrame) -> DataFrame:
     """The records that ``index`` names, or a selection of it, in sorted reads of near ranges.
 
     An archive's records are dealt in stretches of a few reads, so that a large archive is
-    read by many tasks.
+    read by many tasks. Their number follows the bytes of the records, not of the index.
     """
     ship(index.sparkSession)
-    stretch = F.floor(F.col("offset") / (4 * READ_BYTES))
+    stretch = F.floor(F.col("offset") / READ_BYTES)
+    size = index.agg(F.sum("length")).first()[0] or 0
     sorted_places = index.select("path", "offset", "length").repartition(
-        "path", stretch).sortWithinPartitions("path", "offset")
+        max(1, math.ceil(size / TASK_BYTES)), "path", stretch).sortWithinPartitions("path", "offset")
     return sorted_places.mapInArrow(_read, f"{RECORD}, payload binary")
