@@ -60,6 +60,8 @@ SCHEMAS = {
         "dbt_valid_from timestamp, dbt_valid_to timestamp"
     ),
 }
+# What an id takes in a hashed relation besides its own bytes, at most.
+ID_ROW_BYTES = 100
 SNAPSHOT_COLUMNS = ["customer_id", "full_name", "email", "country", "tier", "updated_at"]
 
 
@@ -80,40 +82,35 @@ def table(wh: Warehouse, name: str) -> DataFrame:
     return wh.read(name, SCHEMAS[name])
 
 
-def unprocessed(wh: Warehouse, config: LogConfig) -> DataFrame:
-    """Landed events that no published run has taken in yet.
-
-    Loads carry run numbers, so this reads only the folders of later loads - also
-    those of runs whose gate failed.
-    """
-    raw, last = wh.raw(config.raw_table), wh.last_run()
-    return raw if last is None else raw.filter(F.col("load_id") > last)
+def unprocessed(wh: Warehouse, config: LogConfig, loads: Sequence[int]) -> DataFrame:
+    """Landed events of the open ``loads`` of a run: its own, those of runs whose gate
+    failed, and those that a stream landed."""
+    return wh.raw(config.raw_table).filter(F.col("load_id").isin(list(loads)))
 
 
-def checked_ids(wh: Warehouse, config: LogConfig) -> DataFrame:
+def checked_ids(wh: Warehouse, config: LogConfig, loads: Sequence[int] | None = None) -> DataFrame:
     """Event ids the raw checks of a run have to look at.
 
     Runs before this one found no id twice among theirs, so only ids of the
-    unprocessed loads can be repeated now: those, and their like in the history.
+    open loads can be repeated now: those, and their like in the history.
     """
     ids = wh.raw(config.raw_table).select("event_id", "load_id")
-    last = wh.last_run()
-    if last is None:
-        return ids.select("event_id")
-    fresh = ids.filter(F.col("load_id") > last).select("event_id")
-    size = fresh.agg(F.coalesce(F.sum(F.octet_length("event_id")), F.lit(0))).first()[0]
-    earlier = ids.filter(F.col("load_id") <= last).select("event_id")
+    loads = wh.open_loads(config.raw_table) if loads is None else list(loads)
+    fresh = ids.filter(F.col("load_id").isin(loads)).select("event_id")
+    taken = wh.taken_loads(config.raw_table)
+    if not taken:
+        return fresh
+    size = fresh.agg(F.coalesce(F.sum(F.octet_length("event_id") + ID_ROW_BYTES), F.lit(0))).first()[0]
+    earlier = ids.filter(F.col("load_id").isin(taken)).select("event_id")
     return fresh.unionByName(recurring(earlier, "event_id", fresh, size))
 
 
 def published_tables(wh: Warehouse) -> dict[str, DataFrame]:
     """All relations a reader may query, by name, as of the last published run."""
-    last = wh.last_run()
     marts = {name: table(wh, name) for name in SCHEMAS if not name.startswith("state_")}
     orders, customers = (table(wh, f"state_{t}") for t in ("orders", "customers"))
     return {
-        ORDERS.raw_table: wh.raw(ORDERS.raw_table).filter(F.col("load_id") <= last),
-        CUSTOMERS.raw_table: wh.raw(CUSTOMERS.raw_table).filter(F.col("load_id") <= last),
+        **{c.raw_table: unprocessed(wh, c, wh.taken_loads(c.raw_table)) for c in (ORDERS, CUSTOMERS)},
         "stg_orders": live(orders, ORDERS),
         "stg_customers": live(customers, CUSTOMERS),
         "int_orders_enriched": int_orders_enriched(live(orders, ORDERS), live(customers, CUSTOMERS)),
@@ -181,8 +178,11 @@ def run(
         land(spark, read_lines(spark, logs[c.source_table]), wh.raw_path(c.raw_table), c, number, run_ts)
         for c in (ORDERS, CUSTOMERS) if c.source_table in logs
     )
+    # Fixed here: what a stream lands meanwhile is left to the next run.
+    fresh = {c.raw_table: wh.open_loads(c.raw_table) for c in (ORDERS, CUSTOMERS)}
     written: dict[str, list[int] | None] = {
-        name: advance_state(wh, name, SCHEMAS[name], config, unprocessed(wh, config), number)
+        name: advance_state(
+            wh, name, SCHEMAS[name], config, unprocessed(wh, config, fresh[config.raw_table]), number)
         for name, config in (("state_orders", ORDERS), ("state_customers", CUSTOMERS))
     }
 
@@ -201,8 +201,7 @@ def run(
 
     report = gate_report(
         {
-            ORDERS.raw_table: checked_ids(wh, ORDERS),
-            CUSTOMERS.raw_table: checked_ids(wh, CUSTOMERS),
+            **{c.raw_table: checked_ids(wh, c, fresh[c.raw_table]) for c in (ORDERS, CUSTOMERS)},
             "stg_orders": orders,
             "stg_customers": customers,
             "fct_orders": fact,
@@ -214,5 +213,5 @@ def run(
     path = f"{wh.base}/audit/run={number}"
     report.coalesce(1).write.mode("overwrite").parquet(path)
     require_pass(spark.read.parquet(path))
-    wh.publish(number, written)
+    wh.publish(number, written, fresh)
     return RunResult(number, loads, True)

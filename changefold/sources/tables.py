@@ -21,6 +21,8 @@ from changefold.sources.events import read_or_empty, read_raw
 MAP_SCHEMA = "table_name string, bucket int, at_run bigint"
 # The entry of a publication that holds the number of buckets.
 BUCKETS = "#buckets"
+# Entries that hold the loads of a raw table that were taken in: one row per load.
+LOADS = "#loads:"
 # Keys are bigints or 32-character ids, so this many take at most some 200 MB.
 BROADCAST_KEYS = 2_000_000
 LAYERS = {
@@ -46,6 +48,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, base: str, buckets: int = 64):
         self.spark, self.base, self.buckets = spark, base.rstrip("/"), buckets
         self._seen, self._last, self._map = False, None, []
+        self._loads: dict[str, set[int]] = {}
 
     def raw_path(self, raw_table: str) -> str:
         return f"{self.base}/raw/{raw_table}"
@@ -53,6 +56,17 @@ class Warehouse:
     def raw(self, raw_table: str) -> DataFrame:
         return read_raw(self.spark, self.raw_path(raw_table))
 
+    def taken_loads(self, raw_table: str) -> list[int]:
+        """Loads of a raw table that the published run, or one before it, took in."""
+        self.last_run()
+        return sorted(self._loads.get(raw_table, ()))
+
+    def open_loads(self, raw_table: str) -> list[int]:
+        """Loads with events that no published run took in, whoever landed them and
+        however they are numbered. Only their folders are opened."""
+        rows = self.raw(raw_table).filter(~F.col("load_id").isin(self.taken_loads(raw_table)))
+        return sorted(r.load_id for r in rows.select("load_id").distinct().collect())
+
     def _path(self, table: str) -> str:
         return f"{self.base}/{LAYERS[table]}/{table}"
 
@@ -72,7 +86,11 @@ class Warehouse:
                 raise ValueError(
                     f"{self.base} was made with {r.bucket} buckets and is opened with {self.buckets}")
         self._last = last
-        self._map = [(r.table_name, r.bucket, r.at_run) for r in rows if r.table_name != BUCKETS]
+        self._map = [(r.table_name, r.bucket, r.at_run) for r in rows if not r.table_name.startswith("#")]
+        self._loads = {}
+        for r in rows:
+            if r.table_name.startswith(LOADS):
+                self._loads.setdefault(r.table_name[len(LOADS):], set()).add(r.at_run)
         self._seen = True
 
     def last_run(self) -> int | None:
@@ -86,8 +104,12 @@ class Warehouse:
         self.last_run()
         return self._map
 
-    def publish(self, run: int, written: Mapping[str, Sequence[int] | None]) -> None:
-        """Make the buckets ``written`` by ``run`` current (None: the whole table)."""
+    def publish(
+        self, run: int, written: Mapping[str, Sequence[int] | None],
+        loads: Mapping[str, Sequence[int]] | None = None,
+    ) -> None:
+        """Make the buckets ``written`` by ``run`` current (None: the whole table), and
+        count the ``loads`` of each raw table as taken in."""
         entries = {
             (t, b): r for t, b, r in self.current_map()
             if not (t in written and written[t] is None)
@@ -95,7 +117,11 @@ class Warehouse:
         for table, touched in written.items():
             buckets = [0] if touched is None else touched
             entries.update({(table, b): run for b in buckets})
+        taken = {t: set(ids) for t, ids in self._loads.items()}
+        for raw_table, ids in (loads or {}).items():
+            taken.setdefault(raw_table, set()).update(ids)
         rows = [(t, b, r) for (t, b), r in entries.items()] + [(BUCKETS, self.buckets, run)]
+        rows += [(f"{LOADS}{t}", None, i) for t, ids in taken.items() for i in sorted(ids)]
         (
             self.spark.createDataFrame(rows, MAP_SCHEMA)
             .coalesce(1).write.mode("overwrite").parquet(f"{self.base}/published/run={run}")

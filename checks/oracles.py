@@ -181,6 +181,8 @@ RAW_OUT = "event_id, op, ts_ms, source_table, lsn, " \
     "(before_json::JSON)::VARCHAR AS before_json, (after_json::JSON)::VARCHAR AS after_json"
 ENRICHED_OUT = "SELECT * REPLACE (amount::DOUBLE AS amount) FROM "
 AS_OF = "TIMESTAMP '2001-07-01 00:00:00'"
+# The clock of the chain's second run.
+RUN_2 = "TIMESTAMP '2026-01-02 00:00:00'"
 # When the second of two batches starts, and who is late for the first.
 FIRST_O = "ts_ms < 883612800000 AND NOT (op <> 'c' AND k % 3 = 0)"
 FIRST_C = "ts_ms < 883612800000 AND NOT (op <> 'c' AND k % 2 = 0)"
@@ -439,7 +441,7 @@ SELECT t.*, iso3, coalesce(flag, '') AS flag FROM ({country}) t LEFT JOIN codes
 SELECT t.*, iso3, flag FROM ({country}) t JOIN codes USING (country)""")
     q["srv_cancellation_trend"] = with_(DAILY, """
 SELECT order_date::VARCHAR AS order_date,
-       round(sum(cancellation_rate_pct::DECIMAL(9,2))::DOUBLE / count(*), 1) AS rate
+       round(avg(cancellation_rate_pct), 1) AS rate
 FROM daily GROUP BY ALL ORDER BY order_date""")
     q["srv_top_customers"] = with_(DIM, """
 SELECT full_name, tier, lifetime_orders, round(lifetime_gmv, 0)::DOUBLE AS gmv
@@ -487,4 +489,19 @@ FROM daily GROUP BY ALL""")
     q["published_fct_orders"] = q["fct_orders"]
     q["published_agg_daily_revenue"] = q["agg_daily_revenue"]
     q["published_dim_customers"] = q["dim_customers"]
+    q["published_fct_orders_watermark"] = q["incremental_fact_watermark"]
+    q["stream_then_published_fct_orders"] = q["fct_orders"]
+    q["dq_refused_run"] = with_(TWO_BATCHES, f"{ENRICHED_OUT} fct1")
+    q["published_audit_report"] = with_(DIM_AND_DAILY, f"""
+, r AS (SELECT * FROM ({CHECK_ROWS.replace(AS_OF, RUN_2)})),
+s AS (SELECT * REPLACE (CASE WHEN check_name IN ('not_null_stg_orders_status',
+        'relationships_stg_orders_customer_id', 'accepted_values_stg_customers_tier',
+        'accepted_range_dim_customers_lifetime_gmv')
+      THEN 'warn' ELSE severity END AS severity) FROM r)
+SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status
+FROM s""")
+    q["landing_ids_assigned"] = with_(ORDER_LOG, """
+SELECT substr(sha1('orders|' || id || '|' || op || '|' || ts_ms || '|' || lsn), 1, 16) AS event_id,
+       op, ts_ms, lsn, id AS order_id
+FROM (SELECT *, coalesce(after_json->>'$.order_id', before_json->>'$.order_id')::BIGINT AS id FROM raw_o)""")
     return q

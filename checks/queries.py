@@ -7,6 +7,7 @@ The change log is derived from the order and customer tables by Spark itself
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import wraps
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changefold.config import CUSTOMERS, CUSTOMER_TIERS, ORDERS, SNAPSHOT_CHECK_COLUMNS
-from changefold.functions.payload import json_text, record_key
+from changefold.functions.payload import event_id, json_text, record_key
 from changefold.operators import quality
 from changefold.operators.fold import first_arrivals, latest_per_key
 from changefold.operators.history import SCD_ID, SCD_TO, as_of, empty_snapshot, snapshot_delta, versions_from_log
@@ -567,14 +568,18 @@ def stream_current_orders(spark: SparkSession, sf: str) -> DataFrame:
     return state.select("order_id", "customer_id", "status", "amount", "_last_op", "_cdc_ts")
 
 
-def published(spark: SparkSession, sf: str) -> Warehouse:
-    """Two runs of the whole chain: the first batch, then the complete log again.
+#: Declared checks that the derived log breaks on purpose; its chain takes them as warnings.
+BROKEN = (
+    "not_null_stg_orders_status", "relationships_stg_orders_customer_id",
+    "accepted_values_stg_customers_tier", "accepted_range_dim_customers_lifetime_gmv",
+)
+LENIENT = [replace(c, severity=quality.WARN) if c.name in BROKEN else c for c in gates.CHECKS]
 
-    The derived log breaks some declared checks on purpose, so the gate is run
-    with the checks it can pass.
-    """
+
+def published(spark: SparkSession, sf: str, **second) -> Warehouse:
+    """Two runs of the whole chain: the first batch, then the complete log again, the
+    latter with the options ``second``. All declared checks are run."""
     base = new_run_dir(spark, "chain")
-    passing = [c for c in gates.CHECKS if c.kind in ("unique",)]
     logs = {
         "first": {"orders": first_orders(spark, sf), "customers": first_customers(spark, sf)},
         "all": {"orders": derived.order_log(spark, sf), "customers": derived.customer_log(spark, sf)},
@@ -583,9 +588,8 @@ def published(spark: SparkSession, sf: str) -> Warehouse:
     for (name, log), run_ts in zip(logs.items(), (RUN_1, RUN_2), strict=True):
         for table, rows in log.items():
             derived.log_lines(rows).select("value").write.text(f"{base}/{name}/{table}")
-        pipeline.run(
-            spark, wh, {t: f"{base}/{name}/{t}" for t in log}, run_ts, checks=passing
-        )
+        options = {"checks": LENIENT, **(second if name == "all" else {})}
+        pipeline.run(spark, wh, {t: f"{base}/{name}/{t}" for t in log}, run_ts, **options)
     return wh
 
 
@@ -602,3 +606,69 @@ def published_agg_daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def published_dim_customers(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.table(published(spark, sf), "dim_customers")
+
+
+@query
+def published_fct_orders_watermark(spark: SparkSession, sf: str) -> DataFrame:
+    wh = published(spark, sf, mode=incremental.EVENT_WATERMARK)
+    return pipeline.table(wh, "fct_orders").drop("_processed_at")
+
+
+@query
+def published_audit_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The check rows of the second run, beside the tables it published."""
+    base = published(spark, sf).base
+    return spark.read.parquet(f"{base}/audit/run={pipeline.run_number(RUN_2)}")
+
+
+@query
+def dq_refused_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact that readers see after the second run failed its declared checks."""
+    base = new_run_dir(spark, "refused")
+    wh = Warehouse(spark, f"{base}/tables", buckets=8)
+    for number, (orders, customers, run_ts, checks) in enumerate((
+        (first_orders(spark, sf), first_customers(spark, sf), RUN_1, LENIENT),
+        (derived.order_log(spark, sf), derived.customer_log(spark, sf), RUN_2, gates.CHECKS),
+    )):
+        logs = {"orders": orders, "customers": customers}
+        for table, rows in logs.items():
+            derived.log_lines(rows).select("value").write.text(f"{base}/{number}/{table}")
+        paths = {t: f"{base}/{number}/{t}" for t in logs}
+        if number == 0:
+            pipeline.run(spark, wh, paths, run_ts, checks=checks)
+            continue
+        try:
+            pipeline.run(spark, wh, paths, run_ts, checks=checks)
+        except quality.QualityGateError:
+            wh.refresh()
+        else:
+            raise AssertionError("the gate let a run pass that breaks declared checks")
+    return pipeline.table(wh, "fct_orders").drop("_processed_at")
+
+
+@query
+def stream_then_published_fct_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """A run over the first batch, the complete order log landed by a stream, and a run
+    that takes in the stream's loads."""
+    base = new_run_dir(spark, "handover")
+    wh = Warehouse(spark, f"{base}/tables", buckets=8)
+    for table, rows in (("orders", first_orders(spark, sf)), ("customers", first_customers(spark, sf))):
+        derived.log_lines(rows).select("value").write.text(f"{base}/first/{table}")
+    pipeline.run(
+        spark, wh, {t: f"{base}/first/{t}" for t in ("orders", "customers")}, RUN_1, checks=LENIENT)
+    _write_log(derived.order_log(spark, sf), f"{base}/log", batches=3)
+    lines = stream_landing.stream_lines(spark, f"{base}/log", files_per_batch=1)
+    stream_landing.start_landing(
+        lines, wh.raw_path(ORDERS.raw_table), ORDERS, f"{base}/offsets").awaitTermination()
+    derived.log_lines(derived.customer_log(spark, sf)).select("value").write.text(f"{base}/all/customers")
+    pipeline.run(spark, wh, {"customers": f"{base}/all/customers"}, RUN_2, checks=LENIENT)
+    return pipeline.table(wh, "fct_orders").drop("_processed_at")
+
+
+@query
+def landing_ids_assigned(spark: SparkSession, sf: str) -> DataFrame:
+    """The order log as if its source sent no ids: each event gets its id from its place."""
+    rows = landed_orders(spark, sf).drop("event_id")
+    key = record_key(ORDERS.key)
+    given = event_id("orders", key, F.col("op"), F.col("ts_ms"), F.col("lsn"))
+    return rows.select(given.alias("event_id"), "op", "ts_ms", "lsn", key.alias("order_id"))

@@ -12,6 +12,7 @@ from changefold.plans.marts import agg_daily_revenue, dim_customers, int_orders_
 from changefold.plans.staging import stg_customers, stg_orders
 from changefold.sources import tables
 from changefold.sources.tables import Warehouse
+from changefold.streaming import landing
 from tests.conftest import event, line, raw, rows, write_lines
 
 RUNS = [datetime(2026, 1, d) for d in range(1, 5)]
@@ -205,6 +206,32 @@ def test_raw_checks_see_a_repeated_id_of_a_new_load(spark, chain):
     assert repeated == {ORDERS_1[0]["event_id"]: 2, ORDERS_2[2]["event_id"]: 2}
 
 
+def test_loads_of_a_stream_are_taken_in_once(spark, chain, tmp_path):
+    chain.run(0, ORDERS_1, CUSTOMERS_1)
+    write_lines(tmp_path / "stream" / "orders.jsonl", [line(e) for e in ORDERS_2])
+    lines = landing.stream_lines(spark, str(tmp_path / "stream"))
+    raw_path = chain.wh.raw_path("raw_orders_cdc")
+    # The stream numbers its loads from 0, so below every run that was published.
+    landing.start_landing(lines, raw_path, pipeline.ORDERS, str(tmp_path / "offsets")).awaitTermination()
+    assert chain.wh.open_loads("raw_orders_cdc") == [0]
+    chain.run(1, [], CUSTOMERS_2)
+    assert built(chain) == expected(spark, ORDERS_1 + ORDERS_2, CUSTOMERS_1 + CUSTOMERS_2)
+    reader = Warehouse(spark, chain.wh.base, buckets=4)
+    assert reader.open_loads("raw_orders_cdc") == []
+    assert reader.taken_loads("raw_orders_cdc") == [0, pipeline.run_number(RUNS[0])]
+
+
+def test_loads_of_a_refused_run_stay_open(spark, chain):
+    chain.run(0, ORDERS_1, CUSTOMERS_1)
+    orphan = order(60, "c", 9000, customer_id=77, status="pending", amount=3)
+    with pytest.raises(QualityGateError):
+        chain.run(1, [orphan], [], checks=[c for c in pipeline.CHECKS if c.kind == "relationships"])
+    assert Warehouse(spark, chain.wh.base, buckets=4).open_loads("raw_orders_cdc") == [
+        pipeline.run_number(RUNS[1])]
+    chain.run(2, [], [])
+    assert built(chain) == expected(spark, [*ORDERS_1, orphan], CUSTOMERS_1)
+
+
 def test_reports_over_the_published_tables(spark, chain):
     chain.run(0, ORDERS_1, CUSTOMERS_1)
     published = pipeline.published_tables(Warehouse(spark, chain.wh.base, buckets=4))
