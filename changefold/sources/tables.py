@@ -194,8 +194,8 @@ class Warehouse:
 
         ``keys`` should be a written frame of ``key`` (and ``bucket_key``). Rewrites
         the buckets the keys fall in and ``more``, and returns their numbers. Few keys are sent
-        to the stored rows, which then stay in the files' own bucket order and are
-        neither shuffled nor sorted; only the added rows are. Many keys meet the
+        to the stored rows, which then are not shuffled (the writer still sorts them by
+        bucket); only the added rows are. Many keys meet the
         stored rows by shuffle, and everything is dealt out to its buckets anew.
         """
         bucket = self.bucket_of(bucket_key or key)
