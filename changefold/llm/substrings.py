@@ -7,6 +7,10 @@ equal windows have equal anchors. Stretches whose anchor occurs in two documents
 shard of that anchor, equal ones once. A shard builds a suffix automaton of its stretches,
 streams them through it for matching statistics, and tells for each window the smallest id
 that has it. Windows compare by the 64 bits of their anchor and 40 bits of each word.
+
+An anchor may be in a third of all documents. Each task looks at many documents at once, so
+that an anchor meets those of other tasks with one row for all of them, and the windows of a
+crowded anchor are dealt out one by one to several shards, by a hash of all their words.
 """
 
 from __future__ import annotations
@@ -27,6 +31,12 @@ WINDOW = 13
 GRAM = 6
 #: Bytes by which a word is named within a shard, whose windows agree in an anchor's 64 bits.
 SYMBOL = 5
+#: Pairs of a document and an anchor that a task looks at together (about 50 MB).
+PAIRS = 1 << 20
+#: Documents beyond which an anchor is crowded, and windows that each of its shards gets.
+CROWD = 10_000
+#: Crowded anchors that travel to all tasks; beyond it they meet the pairs by shuffle.
+BROADCAST_ANCHORS = 100_000
 #: Distinct stretches a task holds before it hands them on (about 60 MB).
 HELD = 200_000
 
@@ -120,9 +130,54 @@ def anchors(column: pa.Array) -> list:
     return [lists(found[at].view(np.int64), per_text(words.doc[at], len(column)), pa.int64())]
 
 
-def stretches(column: pa.Array, asked: pa.Array) -> tuple:
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, anchor, docs): of the pairs held at once with one anchor, one tells how many
+    they are, the others have 0. ``batches``: doc_id, anchors."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def ready() -> pa.RecordBatch:
+        ids, anchor = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*held, strict=True))
+        _, first, count = np.unique(anchor, return_index=True, return_counts=True)
+        docs = np.zeros(len(anchor), np.int32)
+        docs[first] = count
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, anchor, docs)], names=["doc_id", "anchor", "docs"])
+
+    for batch in batches:
+        found = batch.column(1)
+        ids = np.repeat(batch.column(0).to_numpy(), found.value_lengths().to_numpy())
+        held.append((ids, found.flatten().to_numpy()))
+        size += len(ids)
+        if size > PAIRS:
+            yield ready()
+            held, size = [], 0
+    if size:
+        yield ready()
+
+
+def repeated(docs: DataFrame) -> DataFrame:
+    """(of_id, asked, parts): the anchors of each document that other documents have, too, and
+    over how many shards an anchor's windows are dealt out."""
+    pairs = annotate(docs.filter("doc_id IS NOT NULL"), anchors, "anchors array<bigint>", keep=["doc_id"]).mapInArrow(
+        _pairs, "doc_id bigint, anchor bigint, docs int")
+    # A pair that others stand for is known to be repeated and goes anywhere.
+    apart = F.when(F.col("docs") == 0, F.col("doc_id"))
+    total = F.sum("docs").over(Window.partitionBy("anchor", apart))
+    often = materialize(pairs.select("doc_id", "anchor", "docs", total.alias("total")).filter(
+        "docs = 0 OR total > 1").select("doc_id", "anchor", "total"), "anchors")
+    crowded = materialize(often.filter(F.col("total") > CROWD).groupBy("anchor").agg(
+        F.ceil(F.max("total") * (WINDOW - GRAM + 1) / CROWD).cast("int").alias("parts")), "crowded")
+    few = crowded.count() <= BROADCAST_ANCHORS
+    told = often.join(F.broadcast(crowded) if few else crowded, "anchor", "left")
+    one = F.struct("anchor", F.coalesce("parts", F.lit(1)).alias("parts"))
+    found = told.groupBy(F.col("doc_id").alias("of_id")).agg(F.collect_set(one).alias("a"))
+    return found.select("of_id", F.col("a.anchor").alias("asked"), F.col("a.parts").alias("parts"))
+
+
+def stretches(column: pa.Array, asked: pa.Array, parts: pa.Array) -> tuple:
     """The stretches of all texts whose windows have one of the text's ``asked`` anchors: the
-    text's place, first word, anchor, a hash of the words, and a short hash of each word."""
+    text's place, first word, anchor, a hash of the words, the anchor's shard, and a short
+    hash of each word. Windows of an anchor with several ``parts`` are each a stretch."""
     n = len(column)
     words = Words(column, PLAIN, lower=False)
     hashes = words.hashes()
@@ -130,38 +185,45 @@ def stretches(column: pa.Array, asked: pa.Array) -> tuple:
     sizes = np.array([len(x) if x is not None else 0 for x in asked.to_pylist()], np.int64)
     of = np.repeat(np.arange(n), sizes).astype(np.uint64)
     wanted = mix(asked.flatten().to_numpy(zero_copy_only=False).view(np.uint64) ^ mix(of))
+    order = np.argsort(wanted)
+    wanted, many = wanted[order], parts.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)[order]
+    here = mix(found ^ mix(words.doc.astype(np.uint64)))
     ok = words.left() >= WINDOW
-    ok &= np.isin(mix(found ^ mix(words.doc.astype(np.uint64))), wanted)
+    ok &= np.isin(here, wanted)
     border = np.zeros(len(ok) + 1, bool)
     border[words.first] = True
     border[1:-1] |= found[1:] != found[:-1]
+    alone = np.flatnonzero(ok & np.isin(here, wanted[many > 1]))
+    border[alone] = border[alone + 1] = True
     begin, end = runs(ok, np.flatnonzero(border))
     stop = end + WINDOW - 1  # words of the stretch are begin:stop
     keys = sequence_hashes(hashes, begin, stop)
+    part = keys % many[np.searchsorted(wanted, here[begin])]
     short = hashes.view(np.uint8).reshape(-1, 8)[:, :SYMBOL]
     doc = words.doc[begin]
-    return (doc, begin - words.first[doc], found[begin].view(np.int64), keys.view(np.int64),
+    return (doc, begin - words.first[doc], found[begin].view(np.int64), keys.view(np.int64), part.astype(np.int32),
             (short[b:s].tobytes() for b, s in zip(begin, stop, strict=True)))
 
 
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(anchor, key, words, owner, top): a task's equal stretches as one row, with the least
-    and the greatest id that has them. ``batches``: doc_id, text, asked."""
-    held: dict[tuple[int, int], list] = {}
+    """(anchor, part, key, words, owner, top): a task's equal stretches as one row, with the
+    least and the greatest id that has them. ``batches``: doc_id, text, asked, parts."""
+    held: dict[tuple[int, int, int], list] = {}
 
     def ready() -> pa.RecordBatch:
-        cols = ([a for a, _ in held], [k for _, k in held], *([v[i] for v in held.values()] for i in range(3)))
+        cols = (*([k[i] for k in held] for i in range(3)), *([v[i] for v in held.values()] for i in range(3)))
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
         out = pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)],
-            names=["anchor", "key", "words", "owner", "top"])
+            [pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+            names=["anchor", "part", "key", "words", "owner", "top"])
         held.clear()
         return out
 
     for batch in batches:
         for part in chunks(batch, 1):
             ids = part.column(0).to_pylist()
-            doc, _, anchor, key, words = stretches(texts(part.column(1)), part.column(2))
-            for i, *which, w in zip(doc.tolist(), anchor.tolist(), key.tolist(), words, strict=True):
+            doc, _, anchor, key, number, words = stretches(texts(part.column(1)), part.column(2), part.column(3))
+            for i, *which, w in zip(doc.tolist(), anchor.tolist(), number.tolist(), key.tolist(), words, strict=True):
                 known = held.get(at := tuple(which))
                 if known is None:
                     held[at] = [w, ids[i], ids[i]]
@@ -172,9 +234,9 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield ready()
 
 
-def _places(column: pa.Array, asked: pa.Array) -> list:
+def _places(column: pa.Array, asked: pa.Array, parts: pa.Array) -> list:
     """First word, anchor and hash of each stretch."""
-    doc, first, anchor, key, _ = stretches(column, asked)
+    doc, first, anchor, key, *_ = stretches(column, asked, parts)
     per = per_text(doc, len(column))
     return [lists(first, per, pa.int32()), lists(anchor, per, pa.int64()), lists(key, per, pa.int64())]
 
@@ -187,7 +249,7 @@ def symbols(words: bytes) -> list[int]:
 
 
 def shard(cols: dict) -> list[tuple]:
-    """(anchor, key, least owners of its windows) of the stretches of one anchor. Stretches
+    """(anchor, key, least owners of its windows) of the stretches of one shard. Stretches
     with nothing smaller than the largest id that has them are left out."""
     words = [symbols(x) for x in cols["words"]]
     owners, tops = cols["owner"].tolist(), cols["top"].tolist()
@@ -207,24 +269,18 @@ def shard(cols: dict) -> list[tuple]:
 def removable(docs: DataFrame) -> DataFrame:
     """(of_id, starts) for the documents of (doc_id, text) that have windows which also start
     in a document with a smaller id: the first words of those windows."""
-    pairs = annotate(docs.filter("doc_id IS NOT NULL"), anchors, "anchor array<bigint>", keep=["doc_id"]).select(
-        "doc_id", F.explode("anchor").alias("anchor"))
-    same = Window.partitionBy("anchor")
-    often = pairs.select("doc_id", "anchor", F.min("doc_id").over(same).alias("lo"),
-                         F.max("doc_id").over(same).alias("hi")).filter("lo < hi")
-    asked = materialize(often.groupBy(F.col("doc_id").alias("of_id")).agg(
-        F.collect_set("anchor").alias("asked")), "anchors")
+    asked = repeated(docs)
     # The texts are dealt by id once: both uses here and the caller's share that exchange.
     met = docs.join(asked, F.col("doc_id") == F.col("of_id"), "left")
     # Equal stretches are one row for each task, so a passage of a third of all documents
     # is no load for its shard.
-    distinct = met.select("doc_id", "text", "asked").mapInArrow(
-        _distinct, "anchor bigint, key bigint, words binary, owner bigint, top bigint")
-    distinct = distinct.repartition("anchor").groupBy("anchor", "key", "words").agg(
+    distinct = met.select("doc_id", "text", "asked", "parts").mapInArrow(
+        _distinct, "anchor bigint, part int, key bigint, words binary, owner bigint, top bigint")
+    distinct = distinct.repartition("anchor", "part").groupBy("anchor", "part", "key", "words").agg(
         F.min("owner").alias("owner"), F.max("top").alias("top"))
-    least = in_groups(distinct, ["anchor"], shard, "anchor bigint, key bigint, least array<bigint>", dealt=True)
+    least = in_groups(distinct, ["anchor", "part"], shard, "anchor bigint, key bigint, least array<bigint>", dealt=True)
     found = annotate(met, _places, "first array<int>, anchor array<bigint>, key array<bigint>",
-                     keep=["doc_id"], also=["asked"]).select(
+                     keep=["doc_id"], also=["asked", "parts"]).select(
         "doc_id", F.explode(F.arrays_zip("first", "anchor", "key")).alias("s")).select("doc_id", "s.*")
     back = found.join(least, ["anchor", "key"])
     places = F.filter(

@@ -116,7 +116,9 @@ def test_decontamination(spark, docs, texts, monkeypatch, block):
     assert clean.columns == docs.columns and clean.count() == sum(not e[2] for e in expected)
 
 
-def test_substrings(docs):
+@pytest.mark.parametrize("crowd", [substrings.CROWD, 1])
+def test_substrings(docs, monkeypatch, crowd):
+    monkeypatch.setattr(substrings, "CROWD", crowd)
     known = [(i, t) for i, t in pairs(docs) if i is not None]
     owner = {}
     for i, t in known:
