@@ -4,8 +4,72 @@ from __future__ import annotations
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+#: Words between ASCII white space; words of letters and digits in lower-cased text.
+_PLAIN = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_ALNUM = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
-LINE_DEDUP = f"""
+_DECONTAMINATION = f"""
+WITH docs AS (
+    SELECT doc_id, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS words FROM documents
+), items AS (
+    SELECT item_id, words, least(len(words), 10) AS size
+    FROM (SELECT item_id, {_ALNUM.format(_LOWER.format("coalesce(text, '')"))} AS words FROM benchmark)
+    WHERE len(words) > 0
+), item_starts AS (
+    SELECT item_id, words, size, unnest(range(1, CAST(len(words) - size + 2 AS BIGINT))) AS start_at FROM items
+), item_windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[start_at:start_at + size - 1], ' ') AS w FROM item_starts
+), sizes AS (
+    SELECT DISTINCT size FROM items
+), doc_starts AS (
+    SELECT d.doc_id, d.words, s.size, unnest(range(1, CAST(len(d.words) - s.size + 2 AS BIGINT))) AS start_at
+    FROM docs d JOIN sizes s ON len(d.words) >= s.size
+), found AS (
+    SELECT d.doc_id, d.size, d.start_at, i.item_id
+    FROM doc_starts d JOIN item_windows i
+      ON i.size = d.size AND i.w = array_to_string(d.words[d.start_at:d.start_at + d.size - 1], ' ')
+), hit AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(start_at, CAST(start_at + size AS BIGINT))) AS place
+          FROM (SELECT DISTINCT doc_id, size, start_at FROM found))
+    GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit h USING (doc_id) LEFT JOIN named n USING (doc_id)
+"""
+
+_SUBSTRING_DEDUP = f"""
+WITH docs AS (
+    SELECT doc_id, {_PLAIN.format("coalesce(text, '')")} AS words FROM documents
+), windows AS (
+    SELECT doc_id, start_at, md5_number(array_to_string(words[start_at:start_at + 12], ' ')) AS w
+    FROM (SELECT doc_id, words, unnest(range(1, CAST(len(words) - 11 AS BIGINT))) AS start_at FROM docs)
+), firsts AS (
+    SELECT w, min(doc_id) AS first_id FROM windows GROUP BY w HAVING min(doc_id) < max(doc_id)
+), gone AS (
+    SELECT doc_id, list(DISTINCT place) AS places
+    FROM (SELECT x.doc_id, unnest(range(x.start_at, x.start_at + 13)) AS place
+          FROM windows x JOIN firsts f ON x.w = f.w AND f.first_id < x.doc_id)
+    GROUP BY doc_id
+), spelled AS (
+    SELECT doc_id, generate_subscripts(words, 1) AS place, unnest(words) AS word FROM docs
+), out_of AS (
+    SELECT doc_id, unnest(places) AS place FROM gone
+), kept AS (
+    SELECT s.doc_id, string_agg(s.word, ' ' ORDER BY s.place) AS text, count(*) AS n
+    FROM spelled s ANTI JOIN out_of o ON s.doc_id = o.doc_id AND s.place = o.place GROUP BY s.doc_id
+)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words,
+       CAST(len(d.words) - coalesce(k.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (doc_id)
+"""
+
+_LINE_DEDUP = f"""
 WITH lines AS (
     SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
     FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
@@ -22,4 +86,70 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN gone THEN 1 ELSE 0 END) A
 FROM marked GROUP BY doc_id
 """
 
-ORACLES = {"op7_line_dedup": LINE_DEDUP}
+# A base32 digit is five of the digest's 160 bits: they lie in two neighbouring hex digits.
+_WARC = """
+WITH digests AS (
+    SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+           sha1(coalesce(html, '')) AS hex FROM pages
+), owners AS (
+    SELECT hex, max(page_id) AS owner FROM digests GROUP BY hex
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (
+           ((strpos('0123456789abcdef', substr(hex, CAST(5 * k // 4 + 1 AS BIGINT), 1)) - 1) * 16
+             + strpos('0123456789abcdef', substr(hex, CAST(5 * k // 4 + 2 AS BIGINT), 1)) - 1)
+           // CAST(pow(2, 3 - (5 * k) % 4) AS BIGINT)) % 32 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> owner THEN owner END AS refers_to
+FROM digests JOIN owners USING (hex)
+"""
+
+_QUALITY_RULES = f"""
+WITH docs AS (
+    SELECT doc_id, source, coalesce(text, '') AS text, {_PLAIN.format("coalesce(text, '')")} AS words,
+           string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), windows AS (
+    SELECT doc_id, start_at, array_to_string(words[start_at:start_at + 4], ' ') AS w
+    FROM (SELECT doc_id, words, unnest(range(1, CAST(len(words) - 3 AS BIGINT))) AS start_at FROM docs)
+), twice AS (
+    SELECT doc_id, w FROM windows GROUP BY doc_id, w HAVING count(*) > 1
+), repeats AS (
+    SELECT doc_id, count(DISTINCT place) AS n
+    FROM (SELECT doc_id, unnest(range(start_at, start_at + 5)) AS place FROM windows JOIN twice USING (doc_id, w))
+    GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, source, text, line, {_LOWER.format(f"trim(line, {_SPACE})")} AS line_key,
+           len({_PLAIN.format("line")}) AS n
+    FROM (SELECT doc_id, source, text, unnest(parts) AS line FROM docs)
+), full_lines AS (
+    SELECT * FROM lines WHERE n > 0
+), dups AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id
+), hosts AS (
+    SELECT source, count(DISTINCT text) AS n_all FROM docs GROUP BY source
+), shared AS (
+    SELECT source, line_key, count(DISTINCT text) AS n_docs FROM full_lines GROUP BY source, line_key
+), templates AS (
+    SELECT s.source, s.line_key FROM shared s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
+    WHERE s.n_docs >= 10 AND s.n_docs > 0.4 * h.n_all
+), hit AS (
+    SELECT l.doc_id, sum(l.n) AS n FROM full_lines l
+    JOIN templates t ON l.source IS NOT DISTINCT FROM t.source AND l.line_key = t.line_key GROUP BY l.doc_id
+), measured AS (
+    SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words,
+           CAST(length(array_to_string(d.words, '')) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+           CAST(coalesce(p.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+           coalesce(len(d.words) - h.n < 10, false) AS depleted
+    FROM docs d LEFT JOIN dups p USING (doc_id) LEFT JOIN repeats r USING (doc_id) LEFT JOIN hit h USING (doc_id)
+), judged AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT depleted AS kept, depleted FROM judged
+"""
+
+ORACLES = {
+    "op3_decontamination": _DECONTAMINATION, "op5_substring_dedup": _SUBSTRING_DEDUP,
+    "op7_line_dedup": _LINE_DEDUP, "op9_warc": _WARC, "op10_quality_rules": _QUALITY_RULES,
+}
