@@ -30,8 +30,9 @@ SKETCH = 64
 LISTED = 8
 #: Estimates this far below the threshold are four to five standard errors away.
 SURE = 0.5
-#: Classes of a list that one task compares with as many others.
+#: Classes of a list that one task compares with as many others, and bytes of their sets.
 BLOCK = 2048
+BLOCK_BYTES = 32 << 20
 #: Columns of shingles that are compared in one step.
 STEP = 2048
 
@@ -213,10 +214,10 @@ def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
         F.min("doc_id").alias("c_id"), F.first("low").alias("low"),
         F.first("sketch").alias("sketch")), "classes")
 
-    values = classes.select("c_id", "s1", F.explode("low").alias("v"))
-    often = values.groupBy("v").agg(F.count("*").alias("m")).filter("m > 1").select(
-        "v", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    met = values.join(often, "v").withColumn(
+    values = classes.select("c_id", "s1", "n", F.explode("low").alias("v"))
+    often = values.groupBy("v").agg(F.count("*").alias("m"), F.sum("n").alias("all_n")).filter("m > 1").select(
+        "v", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(8 * F.col("all_n") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    met = values.drop("n").join(often, "v").withColumn(
         "block", F.pmod(F.xxhash64("c_id", "s1"), F.col("blocks")).cast("int"))
     # Each block meets each other block of its list, and itself, in a group of its own.
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(

@@ -138,7 +138,9 @@ def test_substrings(docs, monkeypatch, crowd):
     same([(r[0], r[-2], r[-1], r[1]) for r in out.collect()], expected)
 
 
-def test_near_copies(docs):
+@pytest.mark.parametrize("block_bytes", [minhash.BLOCK_BYTES, 1000])
+def test_near_copies(docs, monkeypatch, block_bytes):
+    monkeypatch.setattr(minhash, "BLOCK_BYTES", block_bytes)
     sets, up = defaultdict(list), {}
     rows = pairs(docs)
     for i, t in rows:
