@@ -115,8 +115,11 @@ class Warehouse:
             if not (t in written and written[t] is None)
         }
         for table, touched in written.items():
-            buckets = [0] if touched is None else touched
-            entries.update({(table, b): run for b in buckets})
+            filled = {0} if touched is None else self._filled(table, run)
+            for b in [0] if touched is None else touched:
+                entries.pop((table, b), None)  # a bucket without rows has no folder
+                if b in filled:
+                    entries[table, b] = run
         taken = {t: set(ids) for t, ids in self._loads.items()}
         for raw_table, ids in (loads or {}).items():
             taken.setdefault(raw_table, set()).update(ids)
@@ -130,26 +133,28 @@ class Warehouse:
 
     # -- reading -----------------------------------------------------------
 
-    def _stored(self, table: str, schema: str) -> DataFrame:
-        return read_or_empty(self.spark, self._path(table), f"{schema}, run bigint, bucket int")
+    def _filled(self, table: str, run: int) -> set[int]:
+        """The buckets to which ``run`` wrote rows; only that run's folder is listed."""
+        files = read_or_empty(self.spark, f"{self._path(table)}/run={run}", "bucket int").inputFiles()
+        return {int(f.rsplit("/bucket=", 1)[1].split("/")[0]) for f in files}
 
     def read(
         self, table: str, schema: str, buckets: Sequence[int] | None = None
     ) -> DataFrame:
         """The published rows of ``table``, or of some of its ``buckets``."""
-        by_run: dict[int, list[int]] = {}
-        for t, b, r in self.current_map():
-            if t == table and (buckets is None or b in buckets):
-                by_run.setdefault(r, []).append(b)
-        # A condition on partition columns alone: other folders are never opened.
-        listed = F.lit(False)
-        for r, bs in by_run.items():
-            listed = listed | ((F.col("run") == r) & F.col("bucket").isin(bs))
-        return self._stored(table, schema).filter(listed).drop("bucket", "run")
+        asked = None if buckets is None else set(buckets)
+        # Folders of other runs are neither opened nor listed.
+        folders = [f"{self._path(table)}/run={r}/bucket={b}" for t, b, r in self.current_map()
+                   if t == table and (asked is None or b in asked)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        stored = self.spark.read.schema(f"{schema}, run bigint, bucket int").option("basePath", self._path(table))
+        return stored.parquet(*folders).drop("bucket", "run")
 
     def written(self, table: str, schema: str, run: int) -> DataFrame:
         """What ``run`` wrote, published or not - for checks before publication."""
-        return self._stored(table, schema).filter(F.col("run") == run).drop("bucket", "run")
+        return read_or_empty(
+            self.spark, f"{self._path(table)}/run={run}", f"{schema}, bucket int").drop("bucket")
 
     def audited(
         self, table: str, schema: str, run: int, touched: Sequence[int] | None

@@ -94,6 +94,28 @@ def test_two_runs_equal_one_rebuild(spark, chain):
     assert history.count() == 6 and history.filter(f"{SCD_TO} IS NOT NULL").count() == 1
 
 
+def test_a_read_lists_current_folders_only(spark, chain):
+    chain.run(0, ORDERS_1, CUSTOMERS_1)
+    chain.run(1, ORDERS_1[:3] + ORDERS_2, CUSTOMERS_2)
+    wh = Warehouse(spark, chain.wh.base, 4)
+    # A folder that is no bucket of any run would stop a scan of the whole table.
+    broken = chain.tmp / "tables" / "marts" / "fct_orders" / f"run={wh.last_run() - 1}" / "bucket=0"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_text("no Parquet")
+    wanted = {f"run={r}/bucket={b}" for t, b, r in wh.current_map() if t == "fct_orders"}
+    files = pipeline.table(wh, "fct_orders").inputFiles()
+    assert {"/".join(f.split("/")[-3:-1]) for f in files} == wanted
+    assert built(chain) == expected(spark, ORDERS_1 + ORDERS_2, CUSTOMERS_1 + CUSTOMERS_2)
+
+
+def test_a_bucket_that_lost_its_rows_reads_empty(spark, chain):
+    chain.run(0, ORDERS_1[:2], CUSTOMERS_1)
+    chain.run(1, [order(k, "d", 9000) for k in (0, 1)], [])
+    assert chain.table("fct_orders").count() == 0
+    chain.run(2, ORDERS_2[2:], [])
+    assert [r.order_id for r in chain.table("fct_orders").collect()] == [50]
+
+
 def test_few_keys_leave_the_stored_rows_where_they_are(spark, chain, monkeypatch):
     chain.run(0, ORDERS_1, CUSTOMERS_1)
     schema = pipeline.SCHEMAS["fct_orders"]
