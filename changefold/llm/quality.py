@@ -1,9 +1,10 @@
 """Quality rules: words, symbols and repeats of a text, and lines that many documents share.
 
-A line that a large share of a host's documents carries is a template of that host, not
-the document's own text. Lines are hashed, distinct documents counted per host and line,
-lines above the limits left out, and a document with too few words left is rejected.
-Copies of a text count as one document, so a text is not rejected for being copied.
+A line that many documents of a host carry is a template of that host, not the document's
+own text. Lines are hashed, distinct documents counted per host and line, and a document
+with too few words outside the lines above the limit is rejected. Copies of a text count as
+one document, and so do texts that are near copies outside the line: a text is not rejected
+for being copied.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from changefold.llm.frames import annotate, free_name, wide_hash
 from changefold.llm.words import (
-    PLAIN, Lines, Words, covered, lists, mix, per_text, rolled, span_hashes,
+    LOWER, PLAIN, Lines, Words, covered, lists, mix, per_text, rolled, sequence_hashes, span_hashes,
 )
 from changefold.session import materialize
 
@@ -23,21 +24,26 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
-#: A line is a template if more than this share of a host's distinct texts carries it ...
-LINE_SHARE = 0.4
-#: ... and at least so many of them do.
+#: A line is a template if so many texts of a host carry it that differ in the rest of their lines.
 LINE_DOCS = 10
+#: Marks of the rest of a text: the smallest hash of its shingles under so many seeds.
+MARKS = 24
+#: Texts with one of the first so many marks in common are compared (Jaccard 0.75: all but 2e-5) ...
+MEETING = 8
+#: ... and are near copies if they have so many marks in common (Jaccard 0.75: all but 2e-5).
+NEAR = 8
 #: A document is depleted if fewer words are left outside templates.
 WORDS_LEFT = 10
 
 BASE = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
         "n_repeat_words bigint")
-LINES = "h1 array<bigint>, h2 array<bigint>, line_words array<int>"
+LINES = ("h1 array<bigint>, h2 array<bigint>, line_words array<int>, "
+         "marks array<int>, marked array<int>, others array<int>")
 
 
 def measures(column: pa.Array) -> list:
-    """The base measures of each text, and for each of its distinct lines with a word two
-    hashes of the normalised line and the words it has in all its places."""
+    """The base measures of each text, for each of its distinct lines with a word two hashes
+    of the normalised line and the words it has in all its places, and the text's marks."""
     n = len(column)
     words = Words(column, PLAIN, lower=False)
     data = words.data
@@ -65,6 +71,7 @@ def measures(column: pa.Array) -> list:
     firsts, size = firsts[order], size[order]
     per = per_text(of[firsts], n)
 
+    marks = _marks(words, found, firsts, per)
     cut = words.offsets
     word_chars = _between(chars, words, n)
     return [
@@ -72,9 +79,39 @@ def measures(column: pa.Array) -> list:
         lists(h1[firsts].view(np.int64), per, pa.int64()),
         lists(h2[firsts].view(np.int64), per, pa.int64()),
         lists(size, per, pa.int32()),
+        *[lists(x.reshape(-1), MARKS * (per > 0), pa.int32()) for x in marks],
     ]
 
 
+def _marks(words: Words, found: Lines, firsts: np.ndarray, per: np.ndarray) -> list:
+    """For each text with lines and each seed the smallest hash of its shingles, the number of
+    the line it lies in, and the smallest hash in its other lines (all ones if it has none).
+
+    A shingle is ``WINDOW`` words of a line in a row, or a shorter line.
+    """
+    w0, w1 = found.w0[found.full][firsts], found.w1[found.full][firsts]
+    hashes = span_hashes(LOWER[words.data], words.starts, words.ends)
+    count = np.maximum(w1 - w0 - WINDOW + 1, 1)
+    first = np.cumsum(count) - count
+    at = np.arange(count.sum()) + np.repeat(w0 - first, count)
+    shingles = rolled(hashes, WINDOW)[at]
+    short = w1 - w0 < WINDOW
+    shingles[first[short]] = sequence_hashes(hashes, w0[short], w1[short])
+
+    own = per[per > 0]
+    begin = np.cumsum(own) - own
+    low, line, other = (np.zeros((len(own), MARKS), np.int32) for _ in range(3))
+    for k in range(MARKS if len(own) else 0):
+        least = np.minimum.reduceat(mix(shingles + mix(np.array([k + 1], np.uint64))), first)
+        smallest = np.minimum.reduceat(least, begin)
+        hits = np.flatnonzero(least == np.repeat(smallest, own))
+        holder = hits[np.searchsorted(hits, begin)]
+        low[:, k], line[:, k] = smallest.view(np.int64).astype(np.int32), holder - begin
+        least[holder] = np.iinfo(np.uint64).max
+        other[:, k] = np.minimum.reduceat(least, begin).view(np.int64).astype(np.int32)
+    return [low, line, other]
+
+
 def _between(chars: np.ndarray, words: Words, n: int) -> np.ndarray:
     """Code points inside the words of each text."""
     total = np.concatenate([[0], np.cumsum(chars[words.ends] - chars[words.starts])])
@@ -87,20 +124,48 @@ def base_failed():
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def templates(seen: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS) -> DataFrame:
-    """(host, h1, h2) of the lines that more than ``share`` of a host's texts carry.
+def shared(seen: DataFrame, least: int = LINE_DOCS) -> DataFrame:
+    """The lines of distinct texts that ``least`` texts of their host carry, a row for each
+    line and text, with the marks of the rest of the text."""
+    often = seen.select("host", F.explode(F.arrays_zip("h1", "h2")).alias("l")).groupBy(
+        F.col("host").alias("of_host"), F.col("l.h1").alias("of1"), F.col("l.h2").alias("of2")).agg(
+        F.count("*").alias("n_docs")).filter(F.col("n_docs") >= least).drop("n_docs")
+    rest = F.transform(F.arrays_zip("marks", "marked", "others"), lambda m: F.when(
+        m["marked"] == F.col("at"), m["others"]).otherwise(m["marks"]))
+    lines = seen.select("*", F.posexplode(F.arrays_zip("h1", "h2", "line_words")).alias("at", "l")).select(
+        "host", "t1", "t2", "n_words", "l.*", rest.alias("rest"))
+    return lines.join(often, _same_line()).drop("of_host", "of1", "of2")
+
+
+def _same_line():
+    return (F.col("host").eqNullSafe(F.col("of_host")) & (F.col("h1") == F.col("of1"))
+            & (F.col("h2") == F.col("of2")))
+
+
+def templates(hits: DataFrame, least: int = LINE_DOCS) -> DataFrame:
+    """(of_host, of1, of2) of the lines in ``hits`` that ``least`` different texts carry.
 
-    ``seen`` has a row for each distinct text of a host. A host has at most as many
-    templates as its texts have lines on average, divided by ``share``.
+    Each text is compared with the smallest text that has a mark with it; a near copy of a
+    smaller text does not count. So of any number of near copies one counts, and each text
+    that is unlike the others does. No two texts but these meet, and a mark that many
+    texts have is split by the adaptive join.
     """
-    lines = seen.select("host", F.explode(F.arrays_zip("h1", "h2")).alias("l")).select(
-        "host", F.col("l.h1").alias("h1"), F.col("l.h2").alias("h2"))
-    found = lines.groupBy("host", "h1", "h2").agg(F.count("*").alias("n_docs")).filter(
-        F.col("n_docs") >= least)
-    hosts = seen.groupBy("host").agg(F.count("*").alias("n_all")).select(
-        F.col("host").alias("of_host"), "n_all")
-    return found.join(hosts, F.col("host").eqNullSafe(F.col("of_host"))).filter(
-        F.col("n_docs") > share * F.col("n_all")).select("host", "h1", "h2")
+    line = ["host", "h1", "h2"]
+    short = F.transform("rest", lambda m: m.bitwiseAND(F.lit(32767)).cast("smallint"))
+    marks = hits.select(*line, "t1", "t2", short.alias("rest"), F.posexplode(
+        F.slice("rest", 1, MEETING)).alias("seed", "mark"))
+    first = marks.groupBy(*line, "seed", "mark").agg(
+        F.min(F.struct("t1", "t2", "rest")).alias("first"), F.count("*").alias("n")).filter("n > 1").select(
+        F.col("host").alias("of_host"), F.col("h1").alias("of1"), F.col("h2").alias("of2"),
+        F.col("seed").alias("of_seed"), F.col("mark").alias("of_mark"), "first")
+    met = marks.join(first, _same_line() & (F.col("seed") == F.col("of_seed")) & (F.col("mark") == F.col("of_mark")))
+    agree = F.size(F.filter(F.zip_with("rest", "first.rest", lambda a, b: a == b), lambda same: same))
+    other = (F.col("t1") != F.col("first.t1")) | (F.col("t2") != F.col("first.t2"))
+    copies = met.filter(other & (agree >= NEAR)).select(*line, "t1", "t2").distinct()
+    # No join to the counts: the hot lines of the join that follows can then be split.
+    counted = hits.select(*line, F.lit(1).alias("n")).unionAll(copies.select(*line, F.lit(-1).alias("n")))
+    return counted.groupBy(F.col("host").alias("of_host"), F.col("h1").alias("of1"), F.col("h2").alias("of2")).agg(
+        F.sum("n").alias("n")).filter(F.col("n") >= least).drop("n")
 
 
 def measured(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
@@ -121,18 +186,12 @@ def depleted(rows: DataFrame) -> DataFrame:
     of all rows is spread over its lines, and a line of most documents is split by the
     adaptive join. Texts that have fewer words anyway fail the base rules.
     """
-    seen = rows.groupBy("host", "t1", "t2").agg(
-        F.first("h1").alias("h1"), F.first("h2").alias("h2"),
-        F.first("line_words").alias("line_words"), F.first("n_words").alias("n_words"))
-    few = templates(seen).select(F.col("host").alias("of_host"), F.col("h1").alias("of1"),
-                                 F.col("h2").alias("of2"))
-    lines = seen.select("host", "t1", "t2", "n_words", F.explode(
-        F.arrays_zip("h1", "h2", "line_words")).alias("l"))
-    hit = lines.join(few, F.col("host").eqNullSafe(F.col("of_host")) & (F.col("l.h1") == F.col("of1"))
-                     & (F.col("l.h2") == F.col("of2")))
-    left = F.max("n_words") - F.sum("l.line_words")
-    return hit.groupBy("host", "t1", "t2").agg(left.alias("n_left")).filter(
-        F.col("n_left") < WORDS_LEFT).select("host", "t1", "t2")
+    columns = ("h1", "h2", "line_words", "marks", "marked", "others", "n_words")
+    seen = rows.groupBy("host", "t1", "t2").agg(*[F.first(c).alias(c) for c in columns])
+    hits = materialize(shared(seen), "quality-lines")
+    left = F.max("n_words") - F.sum("line_words")
+    return hits.drop("rest").join(templates(hits), _same_line()).groupBy("host", "t1", "t2").agg(
+        left.alias("n_left")).filter(F.col("n_left") < WORDS_LEFT).select("host", "t1", "t2")
 
 
 def judge(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
@@ -145,7 +204,7 @@ def judge(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     rows = materialize(measured(docs, doc_id=doc_id, text=text, host=host), "quality")
     bad = depleted(rows).withColumn("is_depleted", F.lit(True)).withColumnsRenamed(
         {"host": "of_host", "t1": "of1", "t2": "of2"})
-    judged = rows.drop("h1", "h2", "line_words").join(
+    judged = rows.drop("h1", "h2", "line_words", "marks", "marked", "others").join(
         bad, F.col("host").eqNullSafe(F.col("of_host")) & (F.col("t1") == F.col("of1"))
         & (F.col("t2") == F.col("of2")), "left")
     return judged.select(

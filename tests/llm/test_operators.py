@@ -241,6 +241,34 @@ def test_templates_of_a_host(spark):
     assert {r.doc_id for r in found.filter("kept").collect()} == {*range(100, 105), *range(200, 230)}
 
 
+def test_templates_of_a_large_host(spark):
+    """A line on a few of a host's texts is a template if these differ otherwise; a passage that
+    near copies of one text have in common is none."""
+    rng = random.Random(3)
+
+    def prose(n):
+        return " ".join(f"{rng.choice('abcdefgh')}{rng.randint(0, 900)}" for _ in range(n))
+
+    line = "Welcome to our site, please read the news below and subscribe"
+    rows = [(k, prose(40), "h") for k in range(300)]
+    rows += [(300 + k, f"{line}\n{prose(30)}", "h") for k in range(12)]
+    rows += [(400 + k, f"{prose(3)}\n {line.upper()}", "h") for k in range(12)]
+    # Near copies: three lines each, two words of the last one are others each time.
+    first, second, base = prose(12), prose(60), prose(8)
+    rows += [(500 + k, f"{first}\n{second}\n{base} {prose(2)}", "h") for k in range(60)]
+    # Two template lines on the same short texts, which are unlike each other but for these.
+    block = f"{prose(7)}\nto the shop"
+    rows += [(800 + k, f"{block}\n{prose(9 if k < 5 else 60)}", "h") for k in range(20)]
+    # A line on nine texts only, and one on many texts of another host.
+    rows += [(600 + k, f"all of these nine short pages have this line in common\n{prose(3)}", "h") for k in range(9)]
+    rows += [(700 + k, f"{line}\n{prose(3)}", f"g{k}") for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found, gone = quality.judge(docs), {*range(400, 412), *range(800, 805)}
+    assert {r.doc_id for r in found.filter("depleted").collect()} == gone
+    assert found.filter("NOT kept").count() == 17
+    assert {r.doc_id for r in quality.keep_good(docs).collect()} == {r[0] for r in rows} - gone
+
+
 def test_neighbours_are_one_edit_away():
     rng = random.Random(2)
 
