@@ -1,13 +1,15 @@
 """Secret scans: known shapes, and strings that a tokenizer finds hard to spell.
 
 Words of any language take a few characters a token; random strings take few. A candidate
-string with digits and letters whose characters-per-token ratio is low counts as a secret,
-unless it has the shape of a digest or of an identifier.
+string with letters whose characters-per-token ratio is low counts as a secret, unless it
+has the shape of a digest or of an identifier made of words. A candidate is looked at as a
+whole and, if that is no secret, part by part, so words before a secret do not hide it.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import lru_cache, partial
 
 import pyarrow as pa
@@ -28,13 +30,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ACCESS_CHARS = 16
 HEX = re.compile(r"[0-9a-f]{32,}")
 #: What may be random: a run of the characters of base64 and its relatives.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Its parts: between '/' and '=', and between all marks.
+PARTS = (re.compile(r"[A-Za-z0-9+_-]{16,}"), re.compile(r"[A-Za-z0-9]{16,}"))
 #: Fewer characters a token than this is no language.
 CHARS_PER_TOKEN = 2.3
 #: Lengths of digests in hex digits: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGESTS = frozenset({32, 40, 56, 64, 96, 128})
 ALL_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: Letters in a row of an identifier that have to be language: fewer have no telling ratio.
+PART_CHARS = 8
 #: Parts of an identifier: words and numbers, not mixed.
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -45,21 +51,45 @@ def encoding(path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
 
 
-def is_known(text: str) -> bool:
-    """Digests, UUIDs and identifiers that are words and numbers joined by marks."""
+def is_language(words: list[str], enc) -> bool:
+    """Whether the ratio is that of words; capitals count as small letters if that helps."""
+    n = sum(map(len, words))
+    return any(n >= CHARS_PER_TOKEN * sum(len(enc.encode_ordinary(w)) for w in spelled)
+               for spelled in (words, [w.lower() for w in words]))
+
+
+def is_known(text: str, enc) -> bool:
+    """Digests, UUIDs, and identifiers that are words and numbers joined by marks."""
     if ALL_HEX.fullmatch(text) and len(text) in DIGESTS or UUID.fullmatch(text):
         return True
     parts = [p for p in re.split(r"[-_/+=]+", text) if p]
-    return all(p.isalpha() or p.isdigit() for p in parts) or (
-        len(parts) > 1 and all(len(NAME_PARTS.findall(p)) <= 2 for p in parts))
+    if not (all(p.isalpha() or p.isdigit() for p in parts) or (
+            len(parts) > 1 and all(len(NAME_PARTS.findall(p)) <= 2 for p in parts))):
+        return False
+    # Short parts are names and abbreviations; a long one has to be language.
+    words = [w for p in parts for w in re.findall("[A-Za-z]+", p) if len(w) >= PART_CHARS]
+    return is_language(words, enc) if words else len(parts) > 1
 
 
 def is_random(text: str, enc) -> bool:
-    if not (any(c.isdigit() for c in text) and any(c.isalpha() for c in text)) or is_known(text):
+    if not any(c.isalpha() for c in text) or is_known(text, enc):
         return False
     return len(text) < CHARS_PER_TOKEN * len(enc.encode_ordinary(text))
 
 
+def randoms(text: str, enc) -> Iterator[tuple[int, int]]:
+    """Random strings in order: whole candidates, else the parts of one that are random."""
+    def look(a: int, b: int, level: int, new: bool = True) -> Iterator[tuple[int, int]]:
+        if new and is_random(text[a:b], enc):
+            yield a, b
+        elif level < len(PARTS) and not UUID.fullmatch(text, a, b):
+            for m in PARTS[level].finditer(text, a, b):
+                yield from look(*m.span(), level + 1, m.span() != (a, b))
+
+    for m in CANDIDATE.finditer(text):
+        yield from look(*m.span(), 0)
+
+
 def spans_of(text: str, enc) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, end exclusive, by start and then kind.
 
@@ -75,12 +105,11 @@ def spans_of(text: str, enc) -> list[tuple[str, int, int]]:
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
     base = sorted((a, b) for _, a, b in found)
     k, reach = 0, -1
-    for m in CANDIDATE.finditer(text):
-        a, b = m.span()
+    for a, b in randoms(text, enc):
         while k < len(base) and base[k][0] <= a:
             reach = max(reach, base[k][1])
             k += 1
-        if reach < b and is_random(m[0], enc):
+        if reach < b:
             found.append(("random", a, b))
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 

@@ -196,6 +196,27 @@ def test_secrets(spark):
     assert found[1].spans == found[2].spans == []
 
 
+def test_random_strings_of_any_shape():
+    """Letters alone, 16 characters, and behind words; names and words are none."""
+    enc, rng = secret_scan.encoding(RANKS, public_tokenizers.PATTERN), random.Random(1)
+
+    def found(text):
+        return [text[a:b] for kind, a, b in secret_scan.spans_of(text, enc) if kind == "random"]
+
+    small = "abcdefghijklmnopqrstuvwxyz"
+    for letters, n in ((small, 24), (small + small.upper(), 24), (small + small.upper() + "0123456789", 16)):
+        keys = ["".join(rng.choices(letters, k=n)) for _ in range(200)]
+        assert sum(found(f"see {key} there") == [key] for key in keys) >= 198
+    for before in ("documents/archive/international/information/", "international=", "the_name_of_the_information_archive_"):
+        key = "".join(rng.choices(small + small.upper() + "0123456789", k=20))
+        assert any(x.endswith(key) for x in found(f"{before}{key}")), before
+    for clean in ("internationalization of Donaudampfschiffahrtsgesellschaft", "ACKNOWLEDGEMENTS AND RESPONSIBILITIES",
+                  "SparkSessionBuilderFactory.getElementsByTagName", "some_long_identifier_name_here", "=" * 40 + "-" * 40,
+                  "documents/archive/international/information", "report-2024-01-15-final-version", "4111111111111111",
+                  "123e4567-e89b-12d3-a456-426614174000", "d41d8cd98f00b204e9800998ecf8427e".upper()):
+        assert found(clean) == [], clean
+
+
 def test_warc_round_trip(spark):
     pages = [(1, "http://a/\r\nx", "same"), (2, None, "same"), (2, "u", "same"), (3, "u", ""), (4, "u", None),
              (5, "u", "é" * 70000), (None, "u", "same"), (6, "u", "one")]
