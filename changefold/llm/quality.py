@@ -4,7 +4,7 @@ A line that many documents of a host carry is a template of that host, not the d
 own text. Lines are hashed, distinct documents counted per host and line, and a document
 with too few words outside the lines above the limit is rejected. Copies of a text count as
 one document, and so do texts that are near copies outside the line: a text is not rejected
-for being copied.
+for being copied. Documents are only judged: one that is kept keeps its template lines.
 """
 
 from __future__ import annotations
