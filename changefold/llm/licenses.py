@@ -191,6 +191,11 @@ HINTS = ("licen", "gpl", "cc by", "cc0", "creative commons", "copyright", "reser
          "may be reproduced", "distribute", "gemma terms")
 
 
+#: Marks around a match, and detections that are looked at in a row.
+OPENS, CLOSES = "\x01", "\x02"
+BLOCK = 256
+
+
 def _blanks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
@@ -212,28 +217,26 @@ def _detections(words: Column) -> Column:
                  F.lit(f"(?<= )(?:{r.regex})(?= )").alias("regex"), F.lit(r.priority).alias("priority"))
         for r in RULES])
 
-    def places(rule: Column) -> Column:
-        """Blanks before and inside each match give the words it starts and ends at."""
-        between = F.transform(F.split(words, rule["regex"], -1), _blanks)
-        inside = F.transform(F.regexp_extract_all(words, rule["regex"], F.lit(0)), _blanks)
-        empty = F.struct(F.lit(-1).alias("at"), F.expr(
-            "CAST(array() AS array<struct<start:int,end:int>>)").alias("found"))
-
-        def step(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.get(between, i)
-            end = start + F.get(inside, i) + 1
-            return F.struct((end - 1).alias("at"), F.array_append(
-                acc["found"], F.struct(start.alias("start"), end.alias("end"))).alias("found"))
-
-        steps = F.when(F.size(inside) > 0, F.sequence(F.lit(0), F.size(inside) - 1)).otherwise(
-            F.expr("CAST(array() AS array<int>)"))
-        found = F.aggregate(steps, empty, step, lambda acc: acc["found"])
-        return F.transform(found, lambda p: F.struct(
-            p["start"].alias("start"), (-p["end"]).alias("back"), (-rule["priority"]).alias("rank"),
+    # Words never hold these two, so a marked text tells which words a match begins and ends.
+    marked = F.transform(F.filter(rules, lambda r: F.contains(words, r["keyword"])), lambda r: F.struct(
+        r["label"].alias("label"), (-r["priority"]).alias("rank"),
+        F.regexp_replace(words, r["regex"], F.lit(f"{OPENS}$0{CLOSES}")).alias("text")))
+
+    def spans(rule: Column) -> Column:
+        """Each step reads what the one before made, once: linear in words and matches."""
+        tokens = F.transform(F.array(rule["text"]), lambda t: F.transform(
+            F.split(t, " ", -1), lambda w, i: F.struct(
+                w.startswith(OPENS).alias("first"), w.endswith(CLOSES).alias("last"), i.alias("i"))))
+        ends = F.transform(tokens, lambda t: F.arrays_zip(
+            F.transform(F.filter(t, lambda w: w["first"]), lambda w: w["i"]).alias("a"),
+            F.transform(F.filter(t, lambda w: w["last"]), lambda w: w["i"]).alias("b")))
+        # The text begins with a blank, so word k is token k + 1.
+        return F.transform(F.flatten(ends), lambda p: F.struct(
+            (p["a"] - 1).alias("start"), (-p["b"]).alias("back"), rule["rank"].alias("rank"),
             rule["label"].alias("label")))
 
-    tried = F.filter(rules, lambda r: F.contains(words, r["keyword"]))
-    return F.array_sort(F.flatten(F.transform(tried, places)))
+    found = F.filter(marked, lambda r: F.contains(r["text"], F.lit(OPENS)))
+    return F.array_sort(F.flatten(F.transform(found, spans)))
 
 
 _KIND = "array<struct<start:int,back:int,rank:int,label:string>>"
@@ -245,18 +248,28 @@ def _outermost(found: Column) -> Column:
     They come by start, the longer first, the higher priority first, so whatever holds a
     detection comes before it: the farthest end so far of each priority is enough.
     """
-    top = [F.lit(-1).alias(f"e{p}") for p in (CLUE, NAMED, EXACT)]
-    start = F.struct(*top, F.expr(f"CAST(array() AS {_KIND})").alias("kept"))
+    reach = [f"e{p}" for p in (CLUE, NAMED, EXACT)]
+    none = F.expr(f"CAST(array() AS {_KIND})").alias("kept")
 
     def step(acc: Column, x: Column) -> Column:
         end = -x["back"]
-        reach = F.when(x["rank"] == -CLUE, acc["e0"]).when(x["rank"] == -NAMED, acc["e1"]).otherwise(acc["e2"])
-        ends = [F.when(-x["rank"] >= p, F.greatest(acc[f"e{p}"], end)).otherwise(acc[f"e{p}"]).alias(f"e{p}")
-                for p in (CLUE, NAMED, EXACT)]
-        kept = F.when(reach >= end, acc["kept"]).otherwise(F.array_append(acc["kept"], x))
+        own = F.when(x["rank"] == -CLUE, acc["e0"]).when(x["rank"] == -NAMED, acc["e1"]).otherwise(acc["e2"])
+        ends = [F.when(-x["rank"] >= p, F.greatest(acc[e], end)).otherwise(acc[e]).alias(e)
+                for p, e in zip((CLUE, NAMED, EXACT), reach, strict=True)]
+        kept = F.when(own >= end, acc["kept"]).otherwise(F.array_append(acc["kept"], x))
         return F.struct(*ends, kept.alias("kept"))
 
-    return F.aggregate(found, start, step, lambda acc: acc["kept"])
+    def block(acc: Column, part: Column) -> Column:
+        """A block's detections join the others at once: an array is copied to grow."""
+        start = F.struct(*[acc[e].alias(e) for e in reach], none)
+        return F.aggregate(part, start, step, lambda done: F.struct(
+            *[done[e].alias(e) for e in reach], F.array_append(acc["kept"], done["kept"]).alias("kept")))
+
+    blocks = F.transform(F.array(found), lambda all_: F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(all_) / BLOCK).cast("int")),
+        lambda k: F.slice(all_, k * BLOCK + 1, BLOCK)))
+    top = F.struct(*[F.lit(-1).alias(e) for e in reach], F.expr(f"CAST(array() AS array<{_KIND}>)").alias("kept"))
+    return F.aggregate(F.flatten(blocks), top, block, lambda acc: F.flatten(acc["kept"]))
 
 
 def scan(docs: DataFrame, *, keep: list[str], text: str = "text") -> DataFrame:
