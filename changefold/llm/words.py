@@ -1,17 +1,21 @@
 """Words, shingles and lines of many texts at once, as numpy arrays over their bytes.
 
 A text is UTF-8; word borders are ASCII characters, so bytes tell words apart. Words are
-named by 64-bit hashes of their bytes.
+named by 64-bit hashes of their bytes, lines by 128-bit ones.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _ROLL = _U(0xD1342543DE82EF95)
+_FULL = _U(0xFFFFFFFFFFFFFFFF)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -30,21 +34,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_BYTES = mix(np.arange(1, 257, dtype=_U) * _BASE)
-_POWERS = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2^64."""
-    if len(_POWERS["up"]) < n:
-        for name, base in (("up", _BASE), ("down", _U(pow(int(_BASE), -1, 1 << 64)))):
-            size = max(n, 1 << 16)
-            out = np.full(size, base, _U)
-            out[0] = 1
-            _POWERS[name] = np.multiply.accumulate(out)
-    return _POWERS["up"], _POWERS["down"]
-
-
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a large_string array without nulls, and where each text begins and ends."""
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
@@ -67,20 +56,51 @@ def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(first), np.flatnonzero(last) + 1
 
 
+def _hashed(parts: np.ndarray, sizes: np.ndarray, part_of: Callable[[np.ndarray, int], np.ndarray],
+            whole: Callable[[int], bytes], most: int) -> np.ndarray:
+    """64-bit hashes of spans that consist of ``parts`` 64-bit values each. Each value goes
+    through ``mix`` with all before it, so no relation between two spans carries over to
+    their hashes; spans of more than ``most`` values are hashed as ``whole`` bytes."""
+    out = mix(sizes.astype(_U) * _BASE + _BASE)
+    at = np.arange(len(out))
+    for k in range(most):
+        at = at[parts[at] > k]
+        if not len(at):
+            break
+        out[at] = mix(out[at] ^ part_of(at, k)) + _BASE
+    for i in np.flatnonzero(parts > most).tolist():
+        out[i] = int.from_bytes(blake2b(whole(i), digest_size=8).digest(), "little")
+    return out
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the bytes of spans."""
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, _U)
-    np.cumsum(_BYTES[data] * up[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
+    """64-bit hashes of the bytes of spans, eight bytes at a time."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    sizes = ends - starts
+
+    def part(at: np.ndarray, k: int) -> np.ndarray:
+        rest = np.minimum(sizes[at] - 8 * k, 8).astype(_U)
+        return eight[starts[at] + 8 * k] & (_FULL >> (_U(64) - _U(8) * rest))
+
+    return _hashed((sizes + 7) >> 3, sizes, part, lambda i: data[starts[i]:ends[i]].tobytes(), 4)
 
 
 def sequence_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the values in spans, in their order."""
-    up, down = _powers(len(values) + 1)
-    total = np.zeros(len(values) + 1, _U)
-    np.cumsum(mix(values) * up[:len(values)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
+    sizes = ends - starts
+    return _hashed(sizes, sizes, lambda at, k: values[starts[at] + k],
+                   lambda i: values[starts[i]:ends[i]].tobytes(), 32)
+
+
+def wide_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two halves of a 128-bit hash of the bytes of spans."""
+    held = data.tobytes()
+    made = b"".join([blake2b(held[a:b], digest_size=16).digest()
+                     for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+    both = np.frombuffer(made, "<u8").reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 class Words:
@@ -126,12 +146,11 @@ class Lines:
         self.full = self.w1 > self.w0
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two 64-bit hashes of each line with a word, from its first word to its last one
-        and with A-Z lower-cased."""
-        low, words = LOWER[self.words.data], self.words
+        """The halves of a 128-bit hash of each line with a word, from its first word to its
+        last one and with A-Z lower-cased."""
+        words = self.words
         a, b = words.starts[self.w0[self.full]], words.ends[self.w1[self.full] - 1]
-        back = span_hashes(low[::-1], len(low) - b, len(low) - a)
-        return span_hashes(low, a, b), mix(back ^ _U(0x5851F42D4C957F2D))
+        return wide_hashes(LOWER[words.data], a, b)
 
 
 def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -139,7 +158,7 @@ def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
     out = hashes.copy()
     for k in range(1, n):
         out *= _ROLL
-        out[:len(out) - k] += hashes[k:]
+        out[:max(0, len(out) - k)] += hashes[k:]
     return mix(out + _U(n))
 
 
