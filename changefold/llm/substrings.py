@@ -3,14 +3,15 @@
 The reference of a document are all documents with a smaller id, so it grows with the corpus
 and is not broadcast whole: it is cut into shards that meet just the stretches of text that
 could match there. The anchor of a window is the smallest hash of its ``GRAM``-word grams;
-equal windows have equal anchors. Stretches whose anchor occurs in two documents go to the
-shard of that anchor, equal ones once. A shard builds a suffix automaton of its stretches,
+equal windows have equal anchors. Stretches whose anchor occurs in two documents, of
+``LONGEST`` windows at most, go to the shard of that anchor, equal ones once. A shard builds a suffix automaton of its stretches,
 streams them through it for matching statistics, and tells for each window the smallest id
 that has it. Windows compare by the 64 bits of their anchor and 40 bits of each word.
 
 An anchor may be in a third of all documents. Each task looks at many documents at once, so
 that an anchor meets those of other tasks with one row for all of them, and the windows of a
-crowded anchor are dealt out one by one to several shards, by a hash of all their words.
+crowded anchor, told by its windows, are dealt out one by one to several shards, by a hash of
+all their words.
 """
 
 from __future__ import annotations
@@ -31,14 +32,18 @@ WINDOW = 13
 GRAM = 6
 #: Bytes by which a word is named within a shard, whose windows agree in an anchor's 64 bits.
 SYMBOL = 5
-#: Pairs of a document and an anchor that a task looks at together (about 50 MB).
-PAIRS = 1 << 20
-#: Documents beyond which an anchor is crowded, and windows that each of its shards gets.
-CROWD = 10_000
+#: Pairs of a document and an anchor that a task looks at together (about 25 MB).
+PAIRS = 1 << 19
+#: Windows beyond which an anchor is crowded, and windows that each of its shards gets.
+CROWD = 80_000
+SHARE = 10_000
+#: Windows of one anchor in a row that make one stretch (a text that repeats a few words for
+#: ever has one anchor all along).
+LONGEST = 256
 #: Crowded anchors that travel to all tasks; beyond it they meet the pairs by shuffle.
 BROADCAST_ANCHORS = 100_000
-#: Distinct stretches a task holds before it hands them on (about 60 MB).
-HELD = 200_000
+#: Distinct stretches a task holds before it hands them on (about 30 MB).
+HELD = 100_000
 
 
 class Automaton:
@@ -113,40 +118,48 @@ def _anchors(words: Words, hashes: np.ndarray, window: int) -> np.ndarray:
     width = window - GRAM + 1
     out = grams.copy()
     for k in range(1, width):
-        out[:len(out) - k] = np.minimum(out[:len(out) - k], grams[k:])
+        end = max(0, len(out) - k)
+        out[:end] = np.minimum(out[:end], grams[k:])
     return out
 
 
 def anchors(column: pa.Array) -> list:
-    """The distinct anchors of each text's windows."""
+    """The distinct anchors of each text's windows, and how many windows have each."""
     words = Words(column, PLAIN, lower=False)
     found = _anchors(words, words.hashes(), WINDOW)
     at = np.flatnonzero(words.left() >= WINDOW)
     new = np.ones(len(at), bool)
     new[1:] = (found[at[1:]] != found[at[:-1]]) | (words.doc[at[1:]] != words.doc[at[:-1]])
-    at = at[new]  # neighbours mostly share theirs
-    _, first = np.unique(mix(found[at] ^ mix(words.doc[at].astype(np.uint64))), return_index=True)
-    at = at[np.sort(first)]
-    return [lists(found[at].view(np.int64), per_text(words.doc[at], len(column)), pa.int64())]
+    first = np.flatnonzero(new)  # neighbours mostly share theirs
+    many = np.diff(np.append(first, len(at)))
+    at = at[first]
+    _, first, place = np.unique(mix(found[at] ^ mix(words.doc[at].astype(np.uint64))),
+                                return_index=True, return_inverse=True)
+    many = np.bincount(place, many, minlength=len(first)).astype(np.int32)
+    order = np.argsort(first)
+    at, many = at[first[order]], many[order]
+    per = per_text(words.doc[at], len(column))
+    return [lists(found[at].view(np.int64), per, pa.int64()), lists(many, per, pa.int32())]
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, anchor, docs): of the pairs held at once with one anchor, one tells how many
-    they are, the others have 0. ``batches``: doc_id, anchors."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+    """(doc_id, anchor, wins): of the pairs held at once with one anchor, one tells how many
+    windows they have, as a negative number if they are several pairs; the others have 0.
+    ``batches``: doc_id, anchors, many."""
+    held: list[tuple[np.ndarray, ...]] = []
     size = 0
 
     def ready() -> pa.RecordBatch:
-        ids, anchor = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*held, strict=True))
-        _, first, count = np.unique(anchor, return_index=True, return_counts=True)
-        docs = np.zeros(len(anchor), np.int32)
-        docs[first] = count
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, anchor, docs)], names=["doc_id", "anchor", "docs"])
+        ids, anchor, many = (np.concatenate(x) for x in zip(*held, strict=True))
+        _, first, place, count = np.unique(anchor, return_index=True, return_inverse=True, return_counts=True)
+        wins = np.zeros(len(anchor), np.int64)
+        wins[first] = np.bincount(place, many, minlength=len(first)) * np.where(count > 1, -1, 1)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, anchor, wins)], names=["doc_id", "anchor", "wins"])
 
     for batch in batches:
         found = batch.column(1)
         ids = np.repeat(batch.column(0).to_numpy(), found.value_lengths().to_numpy())
-        held.append((ids, found.flatten().to_numpy()))
+        held.append((ids, found.flatten().to_numpy(), batch.column(2).flatten().to_numpy()))
         size += len(ids)
         if size > PAIRS:
             yield ready()
@@ -158,15 +171,16 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated(docs: DataFrame) -> DataFrame:
     """(of_id, asked, parts): the anchors of each document that other documents have, too, and
     over how many shards an anchor's windows are dealt out."""
-    pairs = annotate(docs.filter("doc_id IS NOT NULL"), anchors, "anchors array<bigint>", keep=["doc_id"]).mapInArrow(
-        _pairs, "doc_id bigint, anchor bigint, docs int")
+    pairs = annotate(docs.filter("doc_id IS NOT NULL"), anchors, "anchors array<bigint>, many array<int>",
+                     keep=["doc_id"]).mapInArrow(_pairs, "doc_id bigint, anchor bigint, wins bigint")
     # A pair that others stand for is known to be repeated and goes anywhere.
-    apart = F.when(F.col("docs") == 0, F.col("doc_id"))
-    total = F.sum("docs").over(Window.partitionBy("anchor", apart))
-    often = materialize(pairs.select("doc_id", "anchor", "docs", total.alias("total")).filter(
-        "docs = 0 OR total > 1").select("doc_id", "anchor", "total"), "anchors")
+    alike = Window.partitionBy("anchor", F.when(F.col("wins") == 0, F.col("doc_id")))
+    often = materialize(pairs.select(
+        "doc_id", "anchor", "wins", F.count("*").over(alike).alias("rows"),
+        F.sum(F.abs("wins")).over(alike).alias("total")).filter("wins <= 0 OR rows > 1").select(
+        "doc_id", "anchor", "total"), "anchors")
     crowded = materialize(often.filter(F.col("total") > CROWD).groupBy("anchor").agg(
-        F.ceil(F.max("total") * (WINDOW - GRAM + 1) / CROWD).cast("int").alias("parts")), "crowded")
+        F.ceil(F.max("total") / min(SHARE, CROWD)).cast("int").alias("parts")), "crowded")
     few = crowded.count() <= BROADCAST_ANCHORS
     told = often.join(F.broadcast(crowded) if few else crowded, "anchor", "left")
     one = F.struct("anchor", F.coalesce("parts", F.lit(1)).alias("parts"))
@@ -196,6 +210,10 @@ def stretches(column: pa.Array, asked: pa.Array, parts: pa.Array) -> tuple:
     alone = np.flatnonzero(ok & np.isin(here, wanted[many > 1]))
     border[alone] = border[alone + 1] = True
     begin, end = runs(ok, np.flatnonzero(border))
+    pieces = (end - begin + LONGEST - 1) // LONGEST
+    piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin = np.repeat(begin, pieces) + LONGEST * piece
+    end = np.minimum(begin + LONGEST, np.repeat(end, pieces))
     stop = end + WINDOW - 1  # words of the stretch are begin:stop
     keys = sequence_hashes(hashes, begin, stop)
     part = keys % many[np.searchsorted(wanted, here[begin])]
