@@ -149,7 +149,150 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT depleted AS kept, depleted FROM judged
 """
 
+_SOURCE_DIVERGENCE = f"""
+WITH docs AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS no,
+           regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+    FROM documents
+), spelled AS (
+    SELECT lang, source, no, unnest(terms) AS term FROM docs
+), kept AS (
+    SELECT lang, term, count(*) AS all_n FROM spelled GROUP BY lang, term HAVING count(DISTINCT no) >= 10
+), counted AS (
+    SELECT s.lang, s.source, s.term, count(*) AS n FROM spelled s SEMI JOIN kept k ON s.lang = k.lang AND s.term = k.term
+    GROUP BY s.lang, s.source, s.term
+), langs AS (
+    SELECT lang, sum(all_n) AS lang_n, count(*) AS v FROM kept GROUP BY lang
+), groups AS (
+    SELECT g.lang, g.source, coalesce(c.group_n, 0) AS group_n
+    FROM (SELECT DISTINCT lang, source FROM docs) g
+    LEFT JOIN (SELECT lang, source, sum(n) AS group_n FROM counted GROUP BY lang, source) c USING (lang, source)
+), priced AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (g.group_n + 2 * l.v) AS p,
+           1 + CAST(1000000000 AS HUGEINT) * (k.all_n + 2) // (l.lang_n + 2 * l.v) AS q
+    FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+    LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), summed AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), found AS (
+    SELECT lang, source, 'pair' AS part, item, value,
+           CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, value,
+           CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, term) AS INTEGER)
+    FROM (SELECT lang, source, term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+          FROM priced WHERE n > 0 AND p > q)
+)
+SELECT lang, source, part, item, value, rank FROM found WHERE part = 'pair' OR rank <= 10
+"""
+
+# A set of filters is a number of five bits, A the lowest; a document fails such a set.
+_FILTER_AUDIT = f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+           {_PLAIN.format("coalesce(text, '')")} AS words FROM documents
+), firsts AS (
+    SELECT text, min(doc_id) AS first_id FROM docs GROUP BY text
+), told AS (
+    SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS bad FROM labels GROUP BY doc_id
+), fails AS (
+    SELECT d.part, coalesce(t.good, false) AS good, coalesce(t.bad, false) AS bad,
+           CASE WHEN len(words) < 50 THEN 1 ELSE 0 END
+           + CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 2 ELSE 0 END
+           + CASE WHEN 100 * length(regexp_replace(d.text, '[^A-Z]', '', 'g')) > 5 * length(d.text) THEN 4 ELSE 0 END
+           + CASE WHEN regexp_matches(d.text, '[#$%&*|]') THEN 8 ELSE 0 END
+           + CASE WHEN f.first_id < d.doc_id THEN 16 ELSE 0 END AS mask
+    FROM docs d JOIN firsts f ON d.text = f.text LEFT JOIN told t ON d.doc_id = t.doc_id
+), masks AS (
+    SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE bad) AS bad
+    FROM fails GROUP BY part, mask
+), letters AS (
+    SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(letter, bit)
+), orders AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+           [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+      AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5
+), steps AS (
+    SELECT filter_order, step, bits[step] AS own, CAST(list_sum(bits[1:step]) - bits[step] AS INTEGER) AS before
+    FROM (SELECT filter_order, bits, unnest(range(1, 6)) AS step FROM orders)
+), audited AS (
+    SELECT m.part, s.filter_order, s.step, s.own,
+           sum(CASE WHEN m.mask & (s.before + s.own) = 0 THEN m.n ELSE 0 END) AS kept,
+           sum(CASE WHEN m.mask & s.own > 0 AND m.mask & s.before = 0 THEN m.n ELSE 0 END) AS removed,
+           sum(CASE WHEN m.mask & s.own > 0 AND m.mask & s.before > 0 THEN m.n ELSE 0 END) AS redundant,
+           sum(CASE WHEN m.mask = s.own THEN m.n ELSE 0 END) AS unique_fails,
+           sum(CASE WHEN m.mask & s.own > 0 AND m.mask & s.before = 0 THEN m.good ELSE 0 END) AS good_lost,
+           sum(CASE WHEN m.mask & s.own > 0 AND m.mask & s.before = 0 THEN m.bad ELSE 0 END) AS toxic_lost
+    FROM masks m, steps s GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM audited
+"""
+
+
+def _level(name: str, above: str, key: str) -> str:
+    """Shares of a level's groups, shrunk towards those of the level above."""
+    return f"""{name}_met AS (
+    SELECT g.*, a.share AS mean FROM {name}_counts g JOIN {above} a USING ({key})
+), {name}_worth AS (
+    SELECT 1 / least(greatest(coalesce(
+        sum(power(y - n * mean, 2) - n * mean * (1 - mean)) / nullif(sum((n - 1) * n * mean * (1 - mean)), 0),
+        0.5), 1e-6), 0.5) - 1 AS worth FROM {name}_met
+), {name}_shares AS (
+    SELECT m.*, n + worth AS weight, (y + worth * mean) / (n + worth) AS share FROM {name}_met m, {name}_worth
+)"""
+
+
+_URL_FILTER = f"""
+WITH rules AS (
+    SELECT * FROM (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'),
+                          ('allow', 'org', '/fr/')) AS v(what, name, start)
+), urls AS (
+    SELECT page_id, {_LOWER.format("regexp_extract(after, '^[^/?#]*')")} AS host,
+           regexp_extract(after, '(?s)^[^/?#]*([^?#]*)', 1) AS path
+    FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS after
+          FROM pages)
+), ruled AS (
+    SELECT host, path, arg_max(name || start, length(name || start)) AS rule, arg_max(what, length(name || start)) AS what
+    FROM (SELECT DISTINCT host, path FROM urls)
+    JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start) GROUP BY host, path
+), told AS (
+    SELECT doc_id, min(quality) AS good FROM labels WHERE quality IN (0, 1) AND doc_id IS NOT NULL GROUP BY doc_id
+), host_counted AS (
+    SELECT host, count(good) AS n, coalesce(sum(good), 0) AS y, string_split(host, '.') AS parts
+    FROM urls LEFT JOIN told ON page_id = doc_id GROUP BY host
+), host_counts AS (
+    SELECT host, n, y, array_to_string(parts[-width:], '.') AS suffix, array_to_string(parts[-width - 1:], '.') AS domain
+    FROM (SELECT *, CASE WHEN length(parts[-1]) = 2 AND parts[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org')
+                         THEN 2 ELSE 1 END AS width FROM host_counted)
+), domain_counts AS (
+    SELECT domain, suffix, sum(n) AS n, sum(y) AS y FROM host_counts GROUP BY domain, suffix
+), suffix_counts AS (
+    SELECT suffix, sum(n) AS n, sum(y) AS y, 0 AS root FROM domain_counts GROUP BY suffix
+), total AS (
+    SELECT 0 AS root, (coalesce(sum(y), 0) + 1) / (coalesce(sum(n), 0) + 2) AS share FROM suffix_counts
+), {_level("suffix", "total", "root")}, {_level("domain", "suffix_shares", "suffix")}, {_level("host", "domain_shares", "domain")}
+, reputed AS (
+    SELECT host, CASE WHEN share + 1.645 * sqrt(share * (1 - share) / (weight + 1)) < 0.5 THEN 'block' ELSE 'allow' END AS verdict
+    FROM host_shares
+)
+SELECT u.page_id, u.host, u.path, r.rule, coalesce(r.what, h.verdict) AS verdict
+FROM urls u JOIN reputed h ON u.host = h.host LEFT JOIN ruled r ON u.host = r.host AND u.path = r.path
+"""
+
 ORACLES = {
     "op3_decontamination": _DECONTAMINATION, "op5_substring_dedup": _SUBSTRING_DEDUP,
     "op7_line_dedup": _LINE_DEDUP, "op9_warc": _WARC, "op10_quality_rules": _QUALITY_RULES,
+    "op11_source_divergence": _SOURCE_DIVERGENCE, "op12_filter_audit": _FILTER_AUDIT, "op13_url_filter": _URL_FILTER,
 }

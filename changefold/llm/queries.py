@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changefold.llm import bpe, decontam, licenses, lines, minhash, quality, secret_scan, substrings, toxicity, warc
+from changefold.llm import (
+    bpe, decontam, divergence, filter_audit, licenses, lines, minhash, quality, secret_scan, substrings, toxicity,
+    url_filter, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +87,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome of a page is the quality of the document with its id, where it has a label."""
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    return url_filter.judge(table(spark, sf_dir, "pages"), outcomes).select("page_id", "host", "path", "rule", "verdict")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -92,5 +109,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_byte_bpe, op2_license_scan, op3_decontamination, op4_toxicity, op5_substring_dedup, op6_minhash, op7_line_dedup,
-        op8_secret_scan, op9_warc, op10_quality_rules, pipeline)
+        op8_secret_scan, op9_warc, op10_quality_rules, op11_source_divergence, op12_filter_audit, op13_url_filter,
+        pipeline)
 }
