@@ -24,42 +24,15 @@ from changefold.plans.gates import CHECKS, gate_report
 from changefold.plans.incremental import (
     AFFECTED_KEYS, EVENT_WATERMARK, advance_state, affected_orders, past_watermark,
 )
-from changefold.plans.marts import agg_daily_revenue, dim_customers, fct_orders, int_orders_enriched
+from changefold.plans.marts import fct_orders, int_orders_enriched
+from changefold.plans.running import (
+    advance_customers, advance_days, advance_index, fact_changes, order_changes, owned_orders,
+)
+from changefold.plans.schemas import SCHEMAS
 from changefold.plans.staging import live
 from changefold.sources.events import LoadResult, land, read_lines
 from changefold.sources.tables import Warehouse, rows_with_keys
 
-FOLDED = "_cdc_ts timestamp, _last_op string, ts_ms bigint, lsn bigint, event_id string"
-SCHEMAS = {
-    "state_orders": (
-        "order_id bigint, customer_id bigint, status string, amount decimal(12,2), "
-        f"currency string, created_at timestamp_ntz, updated_at timestamp_ntz, {FOLDED}"
-    ),
-    "state_customers": (
-        "customer_id bigint, full_name string, email string, country string, tier string, "
-        f"created_at timestamp_ntz, updated_at timestamp_ntz, {FOLDED}"
-    ),
-    "fct_orders": (
-        "order_id bigint, customer_id bigint, is_orphan_order boolean, country string, "
-        "tier string, status string, amount decimal(12,2), currency string, is_lost boolean, "
-        "is_completed boolean, created_at timestamp_ntz, updated_at timestamp_ntz, "
-        "_cdc_ts timestamp, _processed_at timestamp"
-    ),
-    "dim_customers": (
-        "customer_id bigint, full_name string, email string, country string, tier string, "
-        "lifetime_orders bigint, lifetime_gmv decimal(38,2), lost_orders bigint, "
-        "created_at timestamp_ntz, last_order_event_at timestamp"
-    ),
-    "agg_daily_revenue": (
-        "order_date date, country string, total_orders bigint, completed_orders bigint, "
-        "lost_orders bigint, gmv decimal(38,2), cancellation_rate_pct double"
-    ),
-    "customers_snapshot": (
-        "customer_id bigint, full_name string, email string, country string, tier string, "
-        "updated_at timestamp_ntz, dbt_scd_id string, dbt_updated_at timestamp, "
-        "dbt_valid_from timestamp, dbt_valid_to timestamp"
-    ),
-}
 # What an id takes in a hashed relation besides its own bytes, at most.
 ID_ROW_BYTES = 100
 SNAPSHOT_COLUMNS = ["customer_id", "full_name", "email", "country", "tier", "updated_at"]
@@ -119,9 +92,11 @@ def published_tables(wh: Warehouse) -> dict[str, DataFrame]:
 
 
 def _build_fact(
-    wh: Warehouse, run: int, run_ts: datetime, mode: str, orders: DataFrame, customers: DataFrame
+    wh: Warehouse, run: int, run_ts: datetime, mode: str, orders: DataFrame, customers: DataFrame,
+    index: list[int],
 ) -> list[int]:
-    """Bring the fact up to date; returns the buckets written."""
+    """Bring the fact up to date; returns the buckets written. ``index``: those of the
+    customers' orders that the run wrote."""
     name, schema = "fct_orders", SCHEMAS["fct_orders"]
     fact = wh.read(name, schema)
     if mode == EVENT_WATERMARK:
@@ -130,13 +105,13 @@ def _build_fact(
         keys = rows.select("order_id").filter(F.col("order_id").isNotNull())
         # A row without a key replaces nothing, but its bucket is published as well.
         return wh.replace_keys(name, schema, rows, keys, "order_id", run, wh.touched(rows, "order_id"))
-    affected = wh.keep(
-        "affected_orders",
-        affected_orders(
-            wh.kept("changed_state_orders", run), wh.kept("changed_state_customers", run), orders, fact
-        ),
-        run,
-    )
+    order_keys, customer_keys = (wh.kept(f"changed_state_{t}", run) for t in ("orders", "customers"))
+    if wh.has("state_customer_orders"):
+        owned = owned_orders(wh, run, customer_keys, index)
+        affected = order_keys.select("order_id").union(owned).distinct()
+    else:
+        affected = affected_orders(order_keys, customer_keys, orders, fact)
+    affected = wh.keep("affected_orders", affected, run)
     changed = rows_with_keys(orders, affected, "order_id")
     rows = fct_orders(int_orders_enriched(changed, customers), run_ts)
     return wh.replace_keys(name, schema, rows, affected, "order_id", run)
@@ -192,12 +167,13 @@ def run(
     orders = live(current("state_orders"), ORDERS)
     customers = live(current("state_customers"), CUSTOMERS)
     written["customers_snapshot"] = _snapshot(wh, number, run_ts, customers)
-    written["fct_orders"] = _build_fact(wh, number, run_ts, mode, orders, customers)
-
+    changes = order_changes(wh, number, written["state_orders"])
+    written["state_customer_orders"] = index = advance_index(wh, number, changes)
+    written["fct_orders"] = _build_fact(wh, number, run_ts, mode, orders, customers, index)
+    written.update(advance_customers(wh, number, changes, index, written["state_customers"]))
+    moved = fact_changes(wh, number, "fact_rows" if mode == EVENT_WATERMARK else None, written["fct_orders"])
+    written.update(advance_days(wh, number, moved))
     fact = current("fct_orders")
-    wh.write_whole("dim_customers", dim_customers(customers, orders), number)
-    wh.write_whole("agg_daily_revenue", agg_daily_revenue(fact), number)
-    written["dim_customers"] = written["agg_daily_revenue"] = None
 
     report = gate_report(
         {

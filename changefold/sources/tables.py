@@ -29,6 +29,7 @@ LAYERS = {
     "state_orders": "state", "state_customers": "state",
     "fct_orders": "marts", "dim_customers": "marts", "agg_daily_revenue": "marts",
     "customers_snapshot": "snapshots",
+    "state_customer_orders": "state", "state_customer_totals": "state", "state_daily_totals": "state",
 }
 
 
@@ -151,19 +152,29 @@ class Warehouse:
         stored = self.spark.read.schema(f"{schema}, run bigint, bucket int").option("basePath", self._path(table))
         return stored.parquet(*folders).drop("bucket", "run")
 
-    def written(self, table: str, schema: str, run: int) -> DataFrame:
+    def has(self, table: str) -> bool:
+        """Whether the publication has rows of ``table``."""
+        return any(t == table for t, _, _ in self.current_map())
+
+    def written(
+        self, table: str, schema: str, run: int, buckets: Sequence[int] | None = None
+    ) -> DataFrame:
         """What ``run`` wrote, published or not - for checks before publication."""
-        return read_or_empty(
-            self.spark, f"{self._path(table)}/run={run}", f"{schema}, bucket int").drop("bucket")
+        found = read_or_empty(self.spark, f"{self._path(table)}/run={run}", f"{schema}, bucket int")
+        return (found if buckets is None else found.filter(F.col("bucket").isin(list(buckets)))).drop("bucket")
 
     def audited(
-        self, table: str, schema: str, run: int, touched: Sequence[int] | None
+        self, table: str, schema: str, run: int, touched: Sequence[int] | None,
+        buckets: Sequence[int] | None = None,
     ) -> DataFrame:
-        """``table`` as it would read if ``run`` were published."""
+        """``table``, or some of its ``buckets``, as it would read if ``run``, which wrote
+        the buckets ``touched``, were published."""
+        asked = set(range(self.buckets)) if buckets is None else set(buckets)
         if touched is None:
             return self.written(table, schema, run)
-        kept = sorted(set(range(self.buckets)) - set(touched))
-        return self.read(table, schema, kept).unionByName(self.written(table, schema, run))
+        # A table that was published whole is bucket 0; a run that touches it rewrites it.
+        return self.read(table, schema, sorted(asked - set(touched))).unionByName(
+            self.written(table, schema, run, buckets))
 
     def kept(self, name: str, run: int) -> DataFrame:
         """An interim result of a run, see ``keep``."""
@@ -190,6 +201,12 @@ class Warehouse:
         """Full replacement of a table."""
         df.write.mode("overwrite").parquet(f"{self._path(table)}/run={run}/bucket=0")
 
+    def write_buckets(self, table: str, df: DataFrame, key: str, run: int) -> list[int]:
+        """Full replacement of a table that is updated by key."""
+        out = df.withColumn("bucket", self.bucket_of(key)).hint("rebalance", "bucket")
+        out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self._path(table)}/run={run}")
+        return list(range(self.buckets))
+
     def replace_keys(
         self, table: str, schema: str, rows: DataFrame, keys: DataFrame, key: str, run: int,
         more: Sequence[int] = (), bucket_key: str | None = None,

@@ -25,6 +25,7 @@ from changefold.plans import gates, incremental, marts, pipeline, serving, stagi
 from changefold.session import materialize, new_run_dir, prepare
 from changefold.sources import derived, events
 from changefold.sources.tables import Warehouse
+from changefold.streaming import fact as stream_fact
 from changefold.streaming import landing as stream_landing
 from changefold.streaming import state as stream_state
 
@@ -568,6 +569,31 @@ def stream_current_orders(spark: SparkSession, sf: str) -> DataFrame:
     return state.select("order_id", "customer_id", "status", "amount", "_last_op", "_cdc_ts")
 
 
+def streamed(spark: SparkSession, sf: str) -> Warehouse:
+    """Both logs landed by streams, each in two loads that mix old and new events, and taken
+    into all tables by the stream of both, in several epochs."""
+    base = new_run_dir(spark, "stream")
+    wh = Warehouse(spark, f"{base}/tables", buckets=8)
+    for config, log in ((ORDERS, derived.order_log(spark, sf)), (CUSTOMERS, derived.customer_log(spark, sf))):
+        _write_log(log, f"{base}/{config.source_table}", batches=2)
+        lines = stream_landing.stream_lines(spark, f"{base}/{config.source_table}", files_per_batch=1)
+        stream_landing.start_landing(
+            lines, wh.raw_path(config.raw_table), config, f"{base}/{config.source_table}-offsets").awaitTermination()
+    changes = stream_fact.stream_changes(spark, wh, files_per_batch=4)
+    stream_fact.start_fact(changes, wh, f"{base}/fact-offsets").awaitTermination()
+    return wh
+
+
+@query
+def stream_fct_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.table(streamed(spark, sf), "fct_orders").drop("_processed_at")
+
+
+@query
+def stream_agg_daily_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    return pipeline.table(streamed(spark, sf), "agg_daily_revenue")
+
+
 #: Declared checks that the derived log breaks on purpose; its chain takes them as warnings.
 BROKEN = (
     "not_null_stg_orders_status", "relationships_stg_orders_customer_id",
