@@ -26,6 +26,7 @@ from changefold.session import materialize, new_run_dir, prepare
 from changefold.sources import derived, events
 from changefold.sources.tables import Warehouse
 from changefold.streaming import fact as stream_fact
+from changefold.streaming import keyed as stream_keyed
 from changefold.streaming import landing as stream_landing
 from changefold.streaming import state as stream_state
 
@@ -569,6 +570,19 @@ def stream_current_orders(spark: SparkSession, sf: str) -> DataFrame:
     return state.select("order_id", "customer_id", "status", "amount", "_last_op", "_cdc_ts")
 
 
+@query
+def stream_newest_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The same state, held by a stateful operator over several epochs."""
+    base = new_run_dir(spark, "stream")
+    log = derived.order_log(spark, sf).select(*RAW, F.lit(RUN_1).alias("_loaded_at"), F.col("_copy").alias("load_id"))
+    log.write.partitionBy("load_id").parquet(f"{base}/raw")
+    raw = stream_state.stream_raw(spark, f"{base}/raw", files_per_batch=8)
+    newest = stream_keyed.newest_events(raw, ORDERS)
+    stream_keyed.start_newest(newest, f"{base}/newest", f"{base}/offsets").awaitTermination()
+    state = staging.typed_rows(stream_keyed.newest_now(spark, f"{base}/newest", ORDERS), ORDERS)
+    return state.select("order_id", "customer_id", "status", "amount", "_last_op", "_cdc_ts")
+
+
 def streamed(spark: SparkSession, sf: str) -> Warehouse:
     """Both logs landed by streams, each in two loads that mix old and new events, and taken
     into all tables by the stream of both, in several epochs."""
