@@ -30,11 +30,10 @@ from changefold.plans.running import (
 )
 from changefold.plans.schemas import SCHEMAS
 from changefold.plans.staging import live
-from changefold.sources.events import LoadResult, land, read_lines
+from changefold.sources.events import ID_ROW_BYTES, LoadResult, land, read_filters, read_lines
+from changefold.sources.seen import suspects
 from changefold.sources.tables import Warehouse, rows_with_keys
 
-# What an id takes in a hashed relation besides its own bytes, at most.
-ID_ROW_BYTES = 100
 SNAPSHOT_COLUMNS = ["customer_id", "full_name", "email", "country", "tier", "updated_at"]
 
 
@@ -65,7 +64,8 @@ def checked_ids(wh: Warehouse, config: LogConfig, loads: Sequence[int] | None =
     """Event ids the raw checks of a run have to look at.
 
     Runs before this one found no id twice among theirs, so only ids of the
-    open loads can be repeated now: those, and their like in the history.
+    open loads can be repeated now: those, and their like in the history. Only loads
+    whose filter holds one of them are read.
     """
     ids = wh.raw(config.raw_table).select("event_id", "load_id")
     loads = wh.open_loads(config.raw_table) if loads is None else list(loads)
@@ -74,7 +74,8 @@ def checked_ids(wh: Warehouse, config: LogConfig, loads: Sequence[int] | None =
     if not taken:
         return fresh
     size = fresh.agg(F.coalesce(F.sum(F.octet_length("event_id") + ID_ROW_BYTES), F.lit(0))).first()[0]
-    earlier = ids.filter(F.col("load_id").isin(taken)).select("event_id")
+    picked = suspects(fresh, ids, read_filters(wh.spark, wh.raw_path(config.raw_table)), taken)
+    earlier = ids.filter(F.col("load_id").isin(picked)).select("event_id")
     return fresh.unionByName(recurring(earlier, "event_id", fresh, size))
 
 

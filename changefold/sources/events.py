@@ -14,6 +14,8 @@ from changefold.config import LogConfig
 from changefold.functions.times import instant
 from changefold.operators.fold import first_arrivals
 from changefold.operators.joins import unseen
+from changefold.session import materialize
+from changefold.sources.seen import FILTER, forget, loads_of, remember, seen_path, suspects
 
 ENVELOPE = (
     "event_id string, op string, ts_ms bigint, "
@@ -28,6 +30,8 @@ RAW_SCHEMA = (
     "before_json string, after_json string, _loaded_at timestamp"
 )
 RAW_PARTITIONS = "load_id bigint"
+# What an id takes in a hashed relation besides its own bytes, at most.
+ID_ROW_BYTES = 100
 # The position of a line in its files: file, offset of the split, row in the task.
 ARRIVAL = ["_file", "_offset", "_row"]
 
@@ -113,10 +117,17 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, path, f"{RAW_SCHEMA}, {RAW_PARTITIONS}")
 
 
+def read_filters(spark: SparkSession, path: str) -> DataFrame:
+    """The filters of the loads of the raw table at ``path``."""
+    return read_or_empty(spark, seen_path(path), FILTER)
+
+
 def new_events(
-    events: DataFrame, history: DataFrame | None, arrival: Sequence[str], batch_bytes: int | None
+    events: DataFrame, history: DataFrame | None, arrival: Sequence[str], batch_bytes: int | None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """First copy of every event that the history (None: there is none) does not hold yet.
+    ``ids``: the event ids of ``events``, if they are written already.
 
     Copies collapse first: they leave the map tasks as one row each, and the
     rows are then already partitioned for the comparison with the history.
@@ -124,7 +135,7 @@ def new_events(
     first = first_arrivals(events, arrival).drop(*arrival)
     if history is None:
         return first
-    return unseen(first, history, "event_id", ids=events, ids_bytes=batch_bytes)
+    return unseen(first, history, "event_id", ids=events if ids is None else ids, ids_bytes=batch_bytes)
 
 
 @dataclass(frozen=True)
@@ -150,19 +161,24 @@ def land(
 
     Every load owns the folder ``load_id=<n>``. A load that is repeated after a
     crash, or replayed by a stream, rewrites its own folder and so adds nothing
-    twice; its own earlier rows do not count as seen.
+    twice; its own earlier rows do not count as seen. Of the history only the loads are
+    read whose filter holds an id of the batch (``sources.seen``).
     """
-    size = lines.agg(F.count("*").alias("n"), F.sum(F.octet_length("value")).alias("bytes")).first()
-    raw = read_raw(spark, path)
-    if size.n == 0 and raw.filter(F.col("load_id") == load_id).isEmpty():
+    events = parse_events(lines, ARRIVAL)
+    ids = materialize(events.select("event_id"), "ids")
+    size = ids.agg(F.count("*").alias("n"), F.sum(F.octet_length("event_id") + ID_ROW_BYTES).alias("bytes")).first()
+    raw, filters = read_raw(spark, path), read_filters(spark, path)
+    earlier = loads_of(raw)
+    if size.n == 0 and load_id not in earlier:
         return LoadResult(config.raw_table, 0, 0)
-    history = raw.filter(F.col("load_id") != load_id)
-    if history.isEmpty():
-        history = None
-    rows = new_events(parse_events(lines, ARRIVAL), history, ARRIVAL, size.bytes or 0)
+    picked = suspects(ids, raw, filters, earlier - {load_id})
+    history = raw.filter(F.col("load_id").isin(picked)) if picked else None
+    rows = new_events(events, history, ARRIVAL, size.bytes or 0, ids)
     rows = rows.withColumn("_loaded_at", instant(loaded_at))
+    forget(spark, path, load_id, filters)
     rows.select(*RAW_COLUMNS).write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
-    inserted = read_raw(spark, path).filter(F.col("load_id") == load_id).count()
+    remember(read_raw(spark, path).filter(F.col("load_id") == load_id), path, load_id)
+    inserted = read_filters(spark, path).filter(F.col("load_id") == load_id).count()
     return LoadResult(config.raw_table, size.n, inserted)
 
 

@@ -293,6 +293,8 @@ SELECT coalesce(table_name, 'total') AS table_name, sum(read)::BIGINT AS read,
 FROM loads GROUP BY ROLLUP (table_name)""")
     q["landing_second_batch"] = with_(ORDER_LOG, f"""
 SELECT {RAW_OUT} FROM raw_o WHERE NOT ({FIRST_O})""")
+    q["landing_third_load"] = with_(ORDER_LOG, f"""
+SELECT {RAW_OUT} FROM raw_o WHERE NOT ({FIRST_O}) AND k % 2 = 1""")
     q["landing_rerun_report"] = with_(f"{ORDER_LOG}, {CUSTOMER_LOG}, {loads}", """
 SELECT 1 AS attempt, table_name, read, inserted, read - inserted AS skipped FROM loads
 UNION ALL

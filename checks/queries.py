@@ -174,6 +174,19 @@ def landing_second_batch(spark: SparkSession, sf: str) -> DataFrame:
     return events.new_events(derived.order_log(spark, sf), history, ["_copy"], None).select(*RAW)
 
 
+@query
+def landing_third_load(spark: SparkSession, sf: str) -> DataFrame:
+    """What a third load adds to two: the whole log is offered after its first batch and
+    the even ones of the others. Loads are picked by their filters."""
+    base = new_run_dir(spark, "landing")
+    logs = {1: first_orders(spark, sf), 2: later_orders(spark, sf).filter(F.floor(F.col("lsn") / 10) % 2 == 0),
+            3: derived.order_log(spark, sf)}
+    for load, log in logs.items():
+        derived.log_lines(log).select("value").write.text(f"{base}/{load}")
+        events.land(spark, events.read_lines(spark, f"{base}/{load}"), f"{base}/raw", ORDERS, load, RUN_1)
+    return events.read_raw(spark, f"{base}/raw").filter("load_id = 3").select(*RAW)
+
+
 @query
 def landing_rerun_report(spark: SparkSession, sf: str) -> DataFrame:
     """Log files written, landed, and landed again: the second attempt adds nothing."""
