@@ -5,7 +5,9 @@ of their hashes. Documents with equal sets are one class, and a class is worked
 The ``LISTED`` smallest values of a class are kept in inverted lists; classes that meet in
 a list are compared on the sketch of their union, those that may be alike on their
 whole sets. What comes out of a list are links that hold its alike classes together, not
-all its pairs; components of the links are the groups of near copies.
+all its pairs; components of the links are the groups of near copies. In a list of more than
+one block all classes are first compared with one of them, and only those that are unlike
+it go on to be compared with the list, so that one cluster costs as much as it has classes.
 
 Two sets with Jaccard 0.75 share none of ``LISTED`` = 8 values with probability 0.25^8, and
 the estimate falls below ``SURE`` about once in a million; nothing is capped.
@@ -15,13 +17,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changefold.llm.components import smallest_reachable
 from changefold.llm.frames import annotate
 from changefold.llm.groups import in_groups
 from changefold.llm.words import PLAIN, Words, mix, per_text, rolled
+from changefold.operators.joins import splittable_join
 from changefold.session import materialize
 
 SHINGLE = 5
@@ -33,6 +36,8 @@ SURE = 0.5
 #: Classes of a list that one task compares with as many others, and bytes of their sets.
 BLOCK = 2048
 BLOCK_BYTES = 32 << 20
+#: Slices of the classes that are compared with one pivot.
+SLICES = 64
 #: Columns of shingles that are compared in one step.
 STEP = 2048
 
@@ -196,6 +201,29 @@ def links(cols: dict) -> list[tuple]:
     return out
 
 
+def with_pivot(cols: dict) -> list[tuple]:
+    """(p_id, p_s1, c_id, s1) of the members that are alike with their pivot, on whole sets."""
+    head = np.flatnonzero(cols["head"])
+    if not len(head):
+        return []
+    pivot = np.frombuffer(cols["members"][head[0]], np.uint64)
+    out = []
+    for i in np.flatnonzero(cols["head"] == 0):
+        own = np.frombuffer(cols["members"][i], np.uint64)
+        if PERCENT * max(len(own), len(pivot)) > 100 * min(len(own), len(pivot)):
+            continue
+        at = np.minimum(np.searchsorted(pivot, own), len(pivot) - 1)
+        common = int((pivot[at] == own).sum())
+        if 100 * common >= PERCENT * (len(own) + len(pivot) - common):
+            out.append(tuple(cols[k][i] for k in ("p_id", "p_s1", "c_id", "s1")))
+    return out
+
+
+def _blocks(classes: Column, shingles: Column) -> Column:
+    """Blocks for so many classes with so many shingles in all."""
+    return F.greatest(F.ceil(classes / BLOCK), F.ceil(8 * shingles / BLOCK_BYTES)).cast("int")
+
+
 def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row.
 
@@ -216,31 +244,66 @@ def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
 
     values = classes.select("c_id", "s1", "n", F.explode("low").alias("v"))
     often = values.groupBy("v").agg(F.count("*").alias("m"), F.sum("n").alias("all_n")).filter("m > 1").select(
-        "v", F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(8 * F.col("all_n") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    met = values.drop("n").join(often, "v").withColumn(
-        "block", F.pmod(F.xxhash64("c_id", "s1"), F.col("blocks")).cast("int"))
-    # Each block meets each other block of its list, and itself, in a group of its own.
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "v", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"),
-        "block", "c_id", "s1")
+        "v", _blocks(F.col("m"), F.col("all_n")).alias("blocks"))
+    often = materialize(often, "lists")
+
+    def sets_of(need: DataFrame) -> DataFrame:
+        """(c_id, s1, members): the whole sets of the classes with the ids ``need``."""
+        found = annotate(
+            asked.join(need, F.col("doc_id") == F.col("c_id"), "left_semi"), whole_sets,
+            "s1 bigint, members binary", keep=["doc_id"])
+        return found.filter("members IS NOT NULL").groupBy(F.col("doc_id").alias("c_id"), "s1").agg(
+            F.first("members").alias("members"))
+
+    # A list of several blocks has a pivot, its smallest class. Members that are alike with it
+    # hold together through it and need not meet each other.
+    long = splittable_join(values.select("v", "c_id", "s1"), often.filter("blocks > 1"), "v", "inner").drop(often["v"])
+    pivots = long.groupBy("v").agg(F.min(F.struct("c_id", "s1")).alias("p")).select(
+        "v", F.col("p.c_id").alias("p_id"), F.col("p.s1").alias("p_s1"))
+    long = materialize(splittable_join(long.drop("blocks"), pivots, "v", "inner").drop(pivots["v"]), "long-lists")
+    met = long.filter("c_id != p_id OR s1 != p_s1").select("p_id", "p_s1", "c_id", "s1").distinct()
+    met = materialize(met.withColumn("slice", F.pmod(F.xxhash64("c_id", "s1"), F.lit(SLICES)).cast("int")), "pivoted")
+    heads = met.select("p_id", "p_s1", "slice").distinct().select(
+        "p_id", "p_s1", F.col("p_id").alias("c_id"), F.col("p_s1").alias("s1"), "slice", F.lit(1).alias("head"))
+    both = met.withColumn("head", F.lit(0)).unionByName(heads)
+    alike = materialize(in_groups(
+        both.join(sets_of(both.select("c_id").distinct()), ["c_id", "s1"]), ["p_id", "p_s1", "slice"], with_pivot,
+        "p_id bigint, p_s1 bigint, c_id bigint, s1 bigint"), "pivot-links")
+
+    # What is left of a list meets in blocks, and meets the others of the list.
+    known = alike.unionByName(long.select("p_id", "p_s1", F.col("p_id").alias("c_id"), F.col("p_s1").alias("s1")).distinct())
+    known = known.withColumn("held", F.lit(True))
+    long = materialize(long.join(known, ["p_id", "p_s1", "c_id", "s1"], "left").select(
+        "v", "c_id", "s1", F.coalesce("held", F.lit(False)).alias("held")), "held-lists")
+    sizes = long.join(classes.select("c_id", "s1", "n"), ["c_id", "s1"]).groupBy("v", "held").agg(
+        _blocks(F.count("*"), F.sum("n")).alias("blocks"))
+    sizes = sizes.groupBy("v").agg(
+        *[F.coalesce(F.max(F.when(F.col("held") == x, F.col("blocks"))), F.lit(0)).alias(c)
+          for c, x in (("rest", F.lit(False)), ("others", F.lit(True)))]).filter("rest > 0")
+    few = splittable_join(values.select("v", "c_id", "s1"), often.filter("blocks = 1"), "v", "inner").select(
+        values["v"], "c_id", "s1", F.lit(False).alias("held"), F.lit(1).alias("rest"), F.lit(0).alias("others"))
+    met = splittable_join(long, materialize(sizes, "rests"), "v", "inner").select(
+        long["v"], "c_id", "s1", "held", "rest", "others").unionByName(few)
+    own = F.pmod(F.xxhash64("c_id", "s1"), F.when(F.col("held"), F.col("others")).otherwise(F.col("rest"))).cast("int")
+    met = met.withColumn("block", F.when(F.col("held"), -1 - own).otherwise(own))
+    # A block of the rest meets each other one, itself, and each block (below 0) of the others.
+    first = F.when(F.col("held"), F.lit(0)).otherwise(-F.col("others"))
+    met = met.withColumn("other", F.explode(F.sequence(first, F.col("rest") - 1))).select(
+        "v", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "c_id", "s1")
     maybe = materialize(in_groups(
         met.join(classes.select("c_id", "s1", "n", "sketch"), ["c_id", "s1"]),
         ["v", "b1", "b2"], may_be_alike,
         "v bigint, b1 int, b2 int, block int, c_id bigint, s1 bigint"), "maybe")
 
-    need = maybe.select("c_id").distinct()
-    sets = annotate(
-        asked.join(need, F.col("doc_id") == F.col("c_id"), "left_semi"), whole_sets,
-        "s1 bigint, members binary", keep=["doc_id"])
-    sets = sets.filter("members IS NOT NULL").groupBy(F.col("doc_id").alias("c_id"), "s1").agg(
-        F.first("members").alias("members"))
+    sets = sets_of(maybe.select("c_id").distinct())
     linked = materialize(in_groups(
         maybe.join(sets, ["c_id", "s1"]), ["v", "b1", "b2"], links, "a bigint, b bigint"), "links")
 
     # The copies of a class are linked with its smallest id.
     members = named.join(classes.select("n", "s1", "s2", "c_id"), ["n", "s1", "s2"]).select(
         "doc_id", "c_id").filter("doc_id != c_id")
-    reach = smallest_reachable(linked, members).withColumnRenamed("doc_id", "of_id")
+    held = alike.select(F.col("p_id").alias("a"), F.col("c_id").alias("b"))
+    reach = smallest_reachable(linked, members, held).withColumnRenamed("doc_id", "of_id")
     return rows.join(reach, F.col("doc_id") == F.col("of_id"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),

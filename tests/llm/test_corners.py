@@ -138,3 +138,59 @@ def test_digest_of_base_spans(spark):
         F.lit("hex").alias("kind"), F.lit(3).alias("start"), F.lit(35).alias("end"))))
     got = spark.range(1).select(F.sha2(told.cast("binary"), 256)).first()[0]
     assert got == hashlib.sha256(b"hex:3:35").hexdigest()
+
+
+def near_copies(n, tail):
+    """A cluster of n texts, some unlike the first of them but like the others, and strangers."""
+    base = [f"w{k}" for k in range(40)]
+    texts = [" ".join(base[:36] + [f"x{k}", *base[37:]]) for k in range(n)]
+    # A chain that the pivot does not reach: each shares most of its words with the next.
+    texts += [" ".join([*(f"t{j}" for j in range(4 * k)), *base[4 * k:]]) for k in range(tail)]
+    return texts + [" ".join(f"{k}y{j}" for j in range(12)) for k in range(5)]
+
+
+def grouped(spark, texts):
+    found = minhash.groups(table(spark, texts)).collect()
+    return {r.doc_id: r.component_id for r in found}
+
+
+def exact_groups(texts):
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    up = list(range(len(sets)))
+
+    def top(i):
+        return i if up[i] == i else top(up[i])
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 100 * len(a & b) >= 75 * len(a | b):
+                x, y = sorted((top(i), top(j)))
+                up[y] = x
+    return {i: top(i) for i in range(len(sets))}
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+def test_lists_of_several_blocks_have_a_pivot(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    texts = near_copies(40, 4)
+    assert grouped(spark, texts) == exact_groups(texts)
+
+
+def test_a_cluster_costs_as_much_as_its_classes(spark, monkeypatch):
+    """Rows that go into blocks, with lists of several blocks: none but for the strangers."""
+    monkeypatch.setattr(minhash, "BLOCK", 10)
+    seen = []
+
+    def counting(df, keys, work, fields, **more):
+        seen.append((work.__name__, df.count()))
+        return real(df, keys, work, fields, **more)
+
+    real = minhash.in_groups
+    monkeypatch.setattr(minhash, "in_groups", counting)
+    sizes = {}
+    for n in (60, 120):
+        seen.clear()
+        grouped(spark, near_copies(n, 0))
+        sizes[n] = dict(seen)
+    assert sizes[120]["with_pivot"] < 2.3 * sizes[60]["with_pivot"]
+    assert sizes[120]["may_be_alike"] < 200 and sizes[120]["links"] < 200
