@@ -29,7 +29,6 @@ SAMPLE = 8_000
 LEAST_TOXIC = 4
 #: ... and its share of toxic texts is this many times its share of other texts.
 LIFT = 12.0
-MOST_TERMS = 400
 #: Lengths of stems that are tried, and how many different words a stem must begin.
 STEMS = (5, 6, 7)
 STEM_WORDS = 4
@@ -232,8 +231,8 @@ def _entries(column: pa.Array) -> list:
 def learn_lexicon(sample: DataFrame) -> Lexicon:
     """Terms and stems whose share of toxic texts is far above their share of others.
 
-    ``sample``: text and label of a bounded number of rows. Words are counted in Spark, and
-    at most ``MOST_TERMS`` of each kind come to the driver.
+    ``sample``: text and label of ``SAMPLE`` rows at most. Words are counted in Spark, and
+    those that pass come to the driver: each is in ``LEAST_TOXIC`` texts of the sample.
     """
     rows = annotate(sample, _entries, "words array<string>", keep=["label"])
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -244,9 +243,8 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     lift = (F.col("t") / toxic) / ((F.col("o") + 0.5) / other)
 
     def best(counted: DataFrame) -> dict[str, float]:
-        top = counted.filter((F.col("t") >= LEAST_TOXIC) & (lift >= LIFT)).orderBy(
-            F.desc("t"), "term").limit(MOST_TERMS)
-        return {r.term: math.log(r.lift) for r in top.select("term", lift.alias("lift")).collect()}
+        top = counted.filter((F.col("t") >= LEAST_TOXIC) & (lift >= LIFT))
+        return {r.term: math.log(r.lift) for r in top.select("term", lift.alias("lift")).orderBy("term").collect()}
 
     stems = words.select(
         F.explode(F.array(*[F.when(F.length("term") > n, F.substring("term", 1, n)) for n in STEMS])).alias("term"),
@@ -260,7 +258,9 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
           label: str = "toxic") -> Model:
     """Learn from the labelled documents whose CRC of the id is no multiple of five.
 
-    Rows without an id or a label teach nothing; a document with both labels is left out.
+    Rows without an id or a label teach nothing; a document with both labels is left out, and
+    of rows that repeat an id the smallest text teaches, so that ``SAMPLE`` bounds all that
+    comes to the driver.
     Without labelled rows every score is near 0.
     """
     told = labels.filter(F.col(label).isin(0, 1) & ~held_out(F.col(doc_id))).groupBy(
@@ -268,7 +268,8 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     told = told.select("of_id", F.col("label").cast("int").alias("label")).orderBy(
         F.xxhash64("of_id"), "of_id").limit(SAMPLE)
     sample = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")).join(
-        F.broadcast(told), F.col("doc_id") == F.col("of_id")).select("text", "label")
+        F.broadcast(told), F.col("doc_id") == F.col("of_id")).groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.first("label").alias("label")).select("text", "label")
     lexicon = learn_lexicon(sample)
     seen = annotate(sample, partial(_features, lexicon=lexicon), "x array<double>", keep=["label"]).collect()
     rows = np.array([r.x for r in seen], float).reshape(len(seen), len(FEATURES))
