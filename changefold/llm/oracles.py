@@ -104,6 +104,8 @@ SELECT page_id, payload_bytes,
 FROM digests JOIN owners USING (hex)
 """
 
+# Templates are lines that ten different texts of a host carry. Near copies share a third of
+# the shingles of their other lines, of which the operator's marks are a sample.
 _QUALITY_RULES = f"""
 WITH docs AS (
     SELECT doc_id, source, coalesce(text, '') AS text, {_PLAIN.format("coalesce(text, '')")} AS words,
@@ -119,19 +121,46 @@ WITH docs AS (
     GROUP BY doc_id
 ), lines AS (
     SELECT doc_id, source, text, line, {_LOWER.format(f"trim(line, {_SPACE})")} AS line_key,
-           len({_PLAIN.format("line")}) AS n
+           {_PLAIN.format(_LOWER.format("line"))} AS line_words, len(line_words) AS n
     FROM (SELECT doc_id, source, text, unnest(parts) AS line FROM docs)
 ), full_lines AS (
     SELECT * FROM lines WHERE n > 0
 ), dups AS (
     SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GROUP BY doc_id
-), hosts AS (
-    SELECT source, count(DISTINCT text) AS n_all FROM docs GROUP BY source
-), shared AS (
-    SELECT source, line_key, count(DISTINCT text) AS n_docs FROM full_lines GROUP BY source, line_key
+), texts AS (
+    SELECT DISTINCT source, md5(text) AS t, line_key, line_words FROM full_lines
+), often AS (
+    SELECT source, line_key FROM texts GROUP BY source, line_key HAVING count(DISTINCT t) >= 10
+), carried AS (
+    SELECT t.source, t.line_key, t.t FROM texts t
+    JOIN often o ON t.source IS NOT DISTINCT FROM o.source AND t.line_key = o.line_key
+), shingles AS (
+    SELECT DISTINCT source, t, line_key, array_to_string(w[place:place + 4], ' ') AS shingle
+    FROM (SELECT x.*, unnest(range(1, CAST(greatest(len(w) - 3, 2) AS BIGINT))) AS place
+          FROM (SELECT source, t, line_key, line_words AS w FROM texts
+                SEMI JOIN carried USING (t)) x)
+), rests AS (
+    SELECT DISTINCT c.source, c.line_key, c.t, s.shingle FROM carried c
+    JOIN shingles s ON c.t = s.t AND c.source IS NOT DISTINCT FROM s.source AND s.line_key <> c.line_key
+), rest_sizes AS (
+    SELECT source, line_key, t, count(*) AS n FROM rests GROUP BY source, line_key, t
+), alike AS (
+    SELECT a.source, a.line_key, b.t, count(*) AS common, any_value(x.n) AS n_a, any_value(y.n) AS n_b
+    FROM rests a JOIN rests b ON a.source IS NOT DISTINCT FROM b.source AND a.line_key = b.line_key
+                             AND a.shingle = b.shingle AND a.t < b.t
+    JOIN rest_sizes x ON x.t = a.t AND x.line_key = a.line_key AND x.source IS NOT DISTINCT FROM a.source
+    JOIN rest_sizes y ON y.t = b.t AND y.line_key = b.line_key AND y.source IS NOT DISTINCT FROM b.source
+    GROUP BY a.source, a.line_key, a.t, b.t HAVING 3 * count(*) >= any_value(x.n) + any_value(y.n) - count(*)
+), bare AS (
+    SELECT c.source, c.line_key, c.t, min(c.t) OVER (PARTITION BY c.source, c.line_key) AS first_t
+    FROM carried c ANTI JOIN rest_sizes r ON r.t = c.t AND r.line_key = c.line_key AND r.source IS NOT DISTINCT FROM c.source
+), copies AS (
+    SELECT DISTINCT source, line_key, t FROM alike
+    UNION SELECT source, line_key, t FROM bare WHERE t > first_t
 ), templates AS (
-    SELECT s.source, s.line_key FROM shared s JOIN hosts h ON s.source IS NOT DISTINCT FROM h.source
-    WHERE s.n_docs >= 10 AND s.n_docs > 0.4 * h.n_all
+    SELECT c.source, c.line_key FROM carried c
+    ANTI JOIN copies x ON x.t = c.t AND x.line_key = c.line_key AND x.source IS NOT DISTINCT FROM c.source
+    GROUP BY c.source, c.line_key HAVING count(*) >= 10
 ), hit AS (
     SELECT l.doc_id, sum(l.n) AS n FROM full_lines l
     JOIN templates t ON l.source IS NOT DISTINCT FROM t.source AND l.line_key = t.line_key GROUP BY l.doc_id

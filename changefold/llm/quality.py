@@ -4,7 +4,8 @@ A line that many documents of a host carry is a template of that host, not the d
 own text. Lines are hashed, distinct documents counted per host and line, and a document
 with too few words outside the lines above the limit is rejected. Copies of a text count as
 one document, and so do texts that are near copies outside the line: a text is not rejected
-for being copied. Documents are only judged: one that is kept keeps its template lines.
+for being copied. ``judge`` and ``keep_good`` only judge; ``without_templates`` takes the
+lines above the limit out of the texts.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changefold.llm import lines as line_work
 from changefold.llm.frames import annotate, free_name, wide_hash
 from changefold.llm.words import (
     LOWER, PLAIN, Lines, Words, covered, lists, mix, per_text, rolled, sequence_hashes, span_hashes,
@@ -179,8 +181,8 @@ def measured(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                     keep=["doc_id", "host", "t1", "t2"])
 
 
-def depleted(rows: DataFrame) -> DataFrame:
-    """(host, t1, t2) of the texts with fewer than ``WORDS_LEFT`` words outside templates.
+def template_lines(rows: DataFrame) -> DataFrame:
+    """(host, t1, t2, n_words, h1, h2, line_words) of the template lines of distinct texts.
 
     Template lines meet the lines of distinct texts by host and hash; a host with a third
     of all rows is spread over its lines, and a line of most documents is split by the
@@ -189,8 +191,13 @@ def depleted(rows: DataFrame) -> DataFrame:
     columns = ("h1", "h2", "line_words", "marks", "marked", "others", "n_words")
     seen = rows.groupBy("host", "t1", "t2").agg(*[F.first(c).alias(c) for c in columns])
     hits = materialize(shared(seen), "quality-lines")
+    return hits.drop("rest").join(templates(hits), _same_line()).drop("of_host", "of1", "of2")
+
+
+def depleted(rows: DataFrame) -> DataFrame:
+    """(host, t1, t2) of the texts with fewer than ``WORDS_LEFT`` words outside templates."""
     left = F.max("n_words") - F.sum("line_words")
-    return hits.drop("rest").join(templates(hits), _same_line()).groupBy("host", "t1", "t2").agg(
+    return template_lines(rows).groupBy("host", "t1", "t2").agg(
         left.alias("n_left")).filter(F.col("n_left") < WORDS_LEFT).select("host", "t1", "t2")
 
 
@@ -231,3 +238,29 @@ def keep_good(docs: DataFrame, *, text: str = "text", host: str = "source") -> D
     return docs.join(
         out, F.col(f"`{host}`").cast("string").eqNullSafe(F.col(names["host"]))
         & (t1 == F.col(names["t1"])) & (t2 == F.col(names["t2"])), "left_anti")
+
+
+def without_templates(docs: DataFrame, *, text: str = "text", host: str = "source") -> DataFrame:
+    """``docs`` with ``text`` without the template lines of its host, then ``n_lines`` and
+    ``n_dropped`` (under free names, as the last two columns).
+
+    All rows stay, rejected ones too. The other lines are joined by line breaks; a null text
+    is one empty line. Template lines meet the documents by host and a hash of the text.
+    """
+    rows = materialize(measured(docs.select(
+        F.lit(None).cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"),
+        F.col(f"`{host}`").cast("string").alias("source")), doc_id="doc_id"), "quality")
+    drops = template_lines(rows).groupBy("host", "t1", "t2").agg(
+        F.collect_list(F.struct("h1", "h2")).alias("drop")).select(
+        "host", "t1", "t2", F.col("drop.h1").alias("drop1"), F.col("drop.h2").alias("drop2"))
+    names = {c: free_name(docs.columns, f"of_{c}") for c in drops.columns}
+    added = [free_name(docs.columns, c) for c in ("n_lines", "n_dropped", "left")]
+    t1, t2 = wide_hash(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    met = docs.join(
+        drops.withColumnsRenamed(names), F.col(f"`{host}`").cast("string").eqNullSafe(F.col(names["host"]))
+        & (t1 == F.col(names["t1"])) & (t2 == F.col(names["t2"])), "left")
+    fields = ", ".join(f"`{c}` {t}" for c, t in zip(added, ("bigint", "bigint", "string"), strict=True))
+    out = annotate(met, line_work.without, fields, keep=[c for c in docs.columns if c != text], text=text,
+                   also=[names["drop1"], names["drop2"]])
+    return out.select(*[F.col(f"`{added[2]}`").alias(c) if c == text else F.col(f"`{c}`")
+                        for c in docs.columns], *added[:2])

@@ -27,22 +27,29 @@ def grams(words, n):
     return [tuple(words[k:k + n]) for k in range(len(words) - n + 1)]
 
 
+def different(rests):
+    """How many of some sets are no near copies (a third in common) of one before them."""
+    return sum(not any(a == b or 3 * len(a & b) >= len(a | b) > 0 for b in rests[:k]) for k, a in enumerate(rests))
+
+
 def good(rows):
-    """Base rules, then lines that over 40 % (ten at least) of a host's distinct texts have."""
-    texts, lines = defaultdict(set), defaultdict(set)
+    """Base rules, then lines that ten texts of a host carry which differ in their other lines."""
+    lines, parts = defaultdict(set), {}
     for _, host, text in rows:
-        texts[host].add(text or "")
         for line in (text or "").split("\n"):
-            if PLAIN.search(line):
-                lines[host, low(line.strip(BLANK))].add(text)
+            if words := PLAIN.findall(low(line)):
+                key = low(line.strip(BLANK))
+                lines[host, key].add(text)
+                parts.setdefault(text, {})[key] = set(grams(words, min(5, len(words))))
+    found = {at for at, texts in lines.items() if len(texts) >= 10 and different([
+        {s for key, x in parts[t].items() if key != at[1] for s in x} for t in sorted(texts)]) >= 10}
     out = []
     for row in rows:
         _, host, text = row
         words = PLAIN.findall(text or "")
         seen = Counter(grams(words, 5))
         hit = {k + d for k, g in enumerate(grams(words, 5)) if seen[g] > 1 for d in range(5)}
-        shared = [line for line in (text or "").split("\n") if PLAIN.search(line)
-                  and (n := len(lines[host, low(line.strip(BLANK))])) >= 10 and n > 0.4 * len(texts[host])]
+        shared = [x for x in (text or "").split("\n") if (host, low(x.strip(BLANK))) in found]
         left = len(words) - sum(len(PLAIN.findall(x)) for x in shared)
         if len(words) >= 10 and 100 * len(hit) <= 20 * len(words) and left >= 10:
             out.append(row)
