@@ -29,7 +29,7 @@ MIN_DOCS = 10
 RANKS = 10
 SCALE = 1_000_000_000
 #: Terms of a segment, about; sources that one task compares with as many others.
-SEGMENT = 4096
+SEGMENT = 1024
 BLOCK = 256
 #: Pairs of a term and a source that a task holds before it hands them on (about 80 MB).
 HELD = 400_000
