@@ -36,7 +36,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, (n_words, _, sizes, items) = decontam.scan(
+    found, (n_words, _, sizes, items, _) = decontam.scan(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     n_hit = F.aggregate(sizes, F.lit(0).cast("long"), lambda a, n: a + n)
     return found.select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import time
 from collections import Counter
@@ -39,8 +40,9 @@ def test_work_functions_on_few_words(n):
     assert minhash.sketches(column)[0].tolist() == [max(n - 4, min(n, 1))]
     assert len(lines.keys(column)[0].to_pylist()[0]) == min(n, 1)
     items = decontam.Items(["i"], column)
-    found = decontam.search(column, items)
+    found = decontam.told(column, *decontam.search(column, items))
     assert found[0].tolist() == [n] and found[3] == ([["i"]] if n else [[]])
+    assert [(m["item_word"], m["doc_word"], m["n_words"]) for m in found[4][0]] == ([(0, 0, n)] if n else [])
 
 
 def test_operators_on_one_partition_of_few_words(spark):
@@ -194,3 +196,39 @@ def test_a_cluster_costs_as_much_as_its_classes(spark, monkeypatch):
         sizes[n] = dict(seen)
     assert sizes[120]["with_pivot"] < 2.3 * sizes[60]["with_pivot"]
     assert sizes[120]["may_be_alike"] < 200 and sizes[120]["links"] < 200
+
+
+def longest(text, items, window=10):
+    """Every maximal verbatim match of a window or more, by trying all pairs of places."""
+    doc, out = text.split(), []
+    for i, item in items:
+        words = item.split()
+        least = min(window, len(words))
+        for p in range(len(doc)):
+            for q in range(len(words)):
+                if p and q and doc[p - 1] == words[q - 1]:
+                    continue
+                n = 0
+                while p + n < len(doc) and q + n < len(words) and doc[p + n] == words[q + n]:
+                    n += 1
+                if n >= least > 0:
+                    out.append((i, q, p, n))
+    return sorted(out, key=lambda m: (m[2], m[3], m[0], m[1]))
+
+
+@pytest.mark.parametrize(("block", "pairs"), [(decontam.BLOCK_BYTES, decontam.PAIRS), (60, 5)])
+def test_longest_matches_and_their_places(spark, monkeypatch, block, pairs):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontam, "PAIRS", pairs)
+    rng = random.Random(4)
+    items = [("a", " ".join(f"w{k}" for k in range(30))), ("b", " ".join(f"w{k}" for k in range(12, 40))),
+             ("c", "x y"), ("d", "z " * 14), ("e", "")]
+    texts = [items[0][1], f"u {items[1][1]} v {items[0][1]}", " ".join(f"w{k}" for k in range(5, 14)),
+             "x y x y", "z " * 40, "q " + "z " * 13, ""]
+    for _ in range(12):
+        cut = [" ".join(t.split()[(k := rng.randint(0, 20)):k + rng.randint(3, 25)]) for _, t in rng.choices(items, k=4)]
+        texts.append(" ".join(cut))
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    rows, names = decontam.scan(table(spark, texts + texts[:3]), bench, keep=["doc_id", "text"])
+    for r in rows.collect():
+        assert [tuple(m) for m in r[names[4]]] == longest(r.text, items), r.text
