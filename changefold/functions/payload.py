@@ -29,6 +29,19 @@ def text_fields(doc: str | Column, fields: tuple[Field, ...]) -> Column:
     return F.json_tuple(doc, *names).alias(*names)
 
 
+def variant_text(doc: str | Column, name: str) -> Column:
+    """One attribute of a variant document as text; NULL if absent, null or no document.
+
+    Numbers come in their shortest form, objects and arrays as NULL.
+    """
+    return F.try_variant_get(F.col(doc) if isinstance(doc, str) else doc, f"$.{name}", "string")
+
+
+def variant_key(key: str, after: str = "after_doc", before: str = "before_doc") -> Column:
+    """``record_key`` of a variant payload."""
+    return F.coalesce(variant_text(after, key), variant_text(before, key)).cast("bigint")
+
+
 def typed(value: Column, field: Field) -> Column:
     if field.kind == "id":
         out = value.cast("bigint")

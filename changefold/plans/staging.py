@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changefold.config import CUSTOMERS, LOG_ORDER, ORDERS, LogConfig
-from changefold.functions.payload import event_time, record_key, text_fields, typed
+from changefold.functions.payload import event_time, record_key, text_fields, typed, variant_key, variant_text
 from changefold.operators.fold import drop_tombstones, latest_per_key
 
 
@@ -46,6 +46,16 @@ def staged(raw: DataFrame, config: LogConfig) -> DataFrame:
     return live(typed_rows(latest, config), config)
 
 
+def staged_documents(raw: DataFrame, config: LogConfig) -> DataFrame:
+    """The staging relation from events whose payloads are variants (``sources.variants``):
+    attributes are read where they stand, and nothing is parsed."""
+    keyed = raw.select(variant_key(config.key).alias(config.key), "op", *LOG_ORDER, "after_doc")
+    latest = drop_tombstones(latest_per_key(keyed, [config.key]))
+    out = [typed(variant_text("after_doc", f.name), f) for f in config.fields]
+    rows = latest.select(config.key, *out, event_time().alias("_cdc_ts"), F.col("op").alias("_last_op"), *LOG_ORDER)
+    return live(rows, config)
+
+
 def stg_orders(raw: DataFrame) -> DataFrame:
     return staged(raw, ORDERS)
 

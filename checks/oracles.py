@@ -295,6 +295,16 @@ FROM loads GROUP BY ROLLUP (table_name)""")
 SELECT {RAW_OUT} FROM raw_o WHERE NOT ({FIRST_O})""")
     q["landing_third_load"] = with_(ORDER_LOG, f"""
 SELECT {RAW_OUT} FROM raw_o WHERE NOT ({FIRST_O}) AND k % 2 = 1""")
+    q["landing_mixed_report"] = with_(f"{ORDER_LOG}, {CUSTOMER_LOG}", """
+, loads(table_name, read, inserted) AS (
+  SELECT 'raw_orders_cdc', (SELECT count(*) FROM o_sent), (SELECT count(*) FROM raw_o) UNION ALL
+  SELECT 'raw_customers_cdc', (SELECT count(*) FROM c_sent), (SELECT count(*) FROM raw_c) UNION ALL
+  SELECT 'dead_letters', (SELECT count(*) FROM c_sent), (SELECT count(*) FROM raw_c))
+, tries AS (
+  SELECT 1 AS attempt, * FROM loads UNION ALL SELECT 2, table_name, read, 0 FROM loads)
+SELECT attempt, table_name, read, inserted, read - inserted AS skipped FROM tries UNION ALL
+SELECT attempt, 'total', sum(read)::BIGINT, sum(inserted)::BIGINT, sum(read - inserted)::BIGINT
+FROM tries GROUP BY attempt""")
     q["landing_rerun_report"] = with_(f"{ORDER_LOG}, {CUSTOMER_LOG}, {loads}", """
 SELECT 1 AS attempt, table_name, read, inserted, read - inserted AS skipped FROM loads
 UNION ALL
@@ -459,6 +469,24 @@ FROM (SELECT op FROM raw_o UNION ALL SELECT op FROM raw_c) GROUP BY op""")
 SELECT strftime(epoch_ms(ts_ms), '%Y-%m-%d') AS event_day,
        round(count(after_json->>'$.currency')::DOUBLE / count(*) * 100.0::DOUBLE, 1) AS pct
 FROM raw_o WHERE op = 'c' GROUP BY ALL ORDER BY event_day""")
+    q["srv_customers_from_sketches"] = with_(FACT, """
+SELECT country, count(DISTINCT customer_id) AS customers, true AS estimate_is_near
+FROM fct WHERE created_at::DATE BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' GROUP BY country""")
+    q["drift_of_a_load"] = with_(ORDER_LOG, f"""
+, fields AS (
+  SELECT ({FIRST_O}) AND k % 20 <> 0 AND k % 211 <> 0 AS known, after_json, unnest(json_keys(after_json)) AS field
+  FROM raw_o WHERE after_json <> 'null')
+, kinds AS (
+  SELECT known, field, CASE json_type(after_json, '$.' || field) WHEN 'NULL' THEN NULL WHEN 'VARCHAR' THEN 'string'
+                                                                 ELSE 'number' END AS kind FROM fields)
+, sides AS (
+  SELECT field, count(*) FILTER (WHERE known) AS n, count(*) FILTER (WHERE NOT known) AS events,
+         coalesce(string_agg(DISTINCT kind, ',' ORDER BY kind) FILTER (WHERE known), '') AS kinds_before,
+         coalesce(string_agg(DISTINCT kind, ',' ORDER BY kind) FILTER (WHERE NOT known), '') AS kinds_found
+  FROM kinds GROUP BY field)
+SELECT field, CASE WHEN n = 0 THEN 'added' WHEN events = 0 THEN 'gone'
+                   WHEN NOT list_has_all(string_split(kinds_before, ','), string_split(kinds_found, ',')) THEN 'retyped'
+                   ELSE 'same' END AS change, kinds_before, kinds_found, events FROM sides""")
     q["srv_daily_event_volume"] = with_(ORDER_LOG, """
 SELECT strftime(epoch_ms(ts_ms), '%Y-%m-%d') AS event_day, count(*) AS n
 FROM raw_o GROUP BY ALL ORDER BY event_day""")
@@ -488,6 +516,7 @@ FROM daily GROUP BY ALL""")
     # streams and the whole chain end where the batch results do
     q["stream_landed_orders"] = q["landing_orders_raw"]
     q["stream_current_orders"] = q["incremental_state_merge"]
+    q["stg_orders_from_documents"] = q["stg_orders"]
     q["stream_newest_orders"] = q["incremental_state_merge"]
     q["stream_fct_orders"] = q["fct_orders"]
     q["stream_agg_daily_revenue"] = q["agg_daily_revenue"]

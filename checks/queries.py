@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
+from datetime import date, datetime
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,9 +21,9 @@ from changefold.operators import quality
 from changefold.operators.fold import first_arrivals, latest_per_key
 from changefold.operators.history import SCD_ID, SCD_TO, as_of, empty_snapshot, snapshot_delta, versions_from_log
 from changefold.operators.joins import orphan_keys, replace_by_key
-from changefold.plans import gates, incremental, marts, pipeline, serving, staging
+from changefold.plans import drift, gates, incremental, marts, pipeline, serving, sketches, staging
 from changefold.session import materialize, new_run_dir, prepare
-from changefold.sources import derived, events
+from changefold.sources import derived, events, routing, variants
 from changefold.sources.tables import Warehouse
 from changefold.streaming import fact as stream_fact
 from changefold.streaming import keyed as stream_keyed
@@ -187,6 +187,22 @@ def landing_third_load(spark: SparkSession, sf: str) -> DataFrame:
     return events.read_raw(spark, f"{base}/raw").filter("load_id = 3").select(*RAW)
 
 
+@query
+def landing_mixed_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Both logs as one, with the customers' log once more under a table nobody asked for:
+    landed in one pass, and offered again."""
+    base = new_run_dir(spark, "mixed")
+    orders, customers = derived.order_log(spark, sf), derived.customer_log(spark, sf)
+    mixed = orders.unionByName(customers).unionByName(customers.withColumn("source_table", F.lit("audit")))
+    derived.log_lines(mixed).select("value").write.text(f"{base}/log")
+    parts = []
+    for attempt in (1, 2):
+        results = routing.land_mixed(
+            spark, events.read_lines(spark, f"{base}/log"), f"{base}/raw", [ORDERS, CUSTOMERS], attempt, RUN_1)
+        parts.append(events.load_report(spark, results).withColumn("attempt", F.lit(attempt)))
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def landing_rerun_report(spark: SparkSession, sf: str) -> DataFrame:
     """Log files written, landed, and landed again: the second attempt adds nothing."""
@@ -230,6 +246,14 @@ def stg_customers(spark: SparkSession, sf: str) -> DataFrame:
     return customers_now(spark, sf)
 
 
+@query
+def stg_orders_from_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The staging relation read from payloads that were parsed when they were written."""
+    path = new_run_dir(spark, "documents")
+    variants.write_documents(derived.order_log(spark, sf), path, 1)
+    return staging.staged_documents(variants.read_documents(spark, path), ORDERS)
+
+
 @query
 def folded_orders_with_tombstones(spark: SparkSession, sf: str) -> DataFrame:
     state = staging.fold(derived.order_log(spark, sf), ORDERS)
@@ -512,6 +536,33 @@ def srv_drift_onset(spark: SparkSession, sf: str) -> DataFrame:
     return serving.drift_onset(landed_orders(spark, sf))
 
 
+@query
+def srv_customers_from_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers per country of two years, exact and whether the estimate from the daily
+    sketches is within four standard errors of it."""
+    fact = materialize(enriched_now(spark, sf), "fact")
+    first, last = date(1995, 1, 1), date(1996, 12, 31)
+    told = sketches.distinct_customers(
+        materialize(sketches.daily_sketches(fact), "sketches"), first, last, by=["country"])
+    day = F.to_date("created_at")
+    exact = fact.filter(day.between(F.lit(first), F.lit(last))).groupBy("country").agg(
+        F.count_distinct("customer_id").alias("exact"))
+    near = F.abs(F.col("customers") - F.col("exact")) <= 4 * sketches.standard_error() * F.col("exact")
+    return exact.join(told.withColumnRenamed("country", "_country"), F.col("country").eqNullSafe(F.col("_country"))).select(
+        "country", F.col("exact").alias("customers"), near.alias("estimate_is_near"))
+
+
+@query
+def drift_of_a_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields of a load against an accepted profile that knows neither currency nor amounts
+    that are text."""
+    log = landed_orders(spark, sf)
+    key = F.floor(F.col("lsn") / 10)
+    plain = in_first_batch(3) & (key % 20 != 0) & (key % 211 != 0)
+    known, found = (materialize(drift.profile(log.filter(x)), "profile") for x in (plain, ~plain))
+    return drift.drift(known, found)
+
+
 @query
 def srv_daily_event_volume(spark: SparkSession, sf: str) -> DataFrame:
     return serving.daily_event_volume(landed_orders(spark, sf))
