@@ -275,15 +275,21 @@ def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
     known = known.withColumn("held", F.lit(True))
     long = materialize(long.join(known, ["p_id", "p_s1", "c_id", "s1"], "left").select(
         "v", "c_id", "s1", F.coalesce("held", F.lit(False)).alias("held")), "held-lists")
-    sizes = long.join(classes.select("c_id", "s1", "n"), ["c_id", "s1"]).groupBy("v", "held").agg(
-        _blocks(F.count("*"), F.sum("n")).alias("blocks"))
-    sizes = sizes.groupBy("v").agg(
-        *[F.coalesce(F.max(F.when(F.col("held") == x, F.col("blocks"))), F.lit(0)).alias(c)
-          for c, x in (("rest", F.lit(False)), ("others", F.lit(True)))]).filter("rest > 0")
+    sizes = long.join(classes.select("c_id", "s1", "n"), ["c_id", "s1"]).groupBy("v").agg(*[
+        f(F.when(F.col("held") == held, x)).alias(f"{name}_{c}")
+        for name, held in (("rest", False), ("others", True))
+        for c, f, x in (("m", F.count, F.lit(1)), ("n", F.sum, F.col("n")))]).na.fill(0)
+    sizes = sizes.filter("rest_m > 0").withColumns({
+        "rest": _blocks(F.col("rest_m"), F.col("rest_n")), "others": _blocks(F.col("others_m"), F.col("others_n")),
+        "all": _blocks(F.col("rest_m") + F.col("others_m"), F.col("rest_n") + F.col("others_n"))})
+    # Where few hold together, all meet in blocks as one: fewer rows travel.
+    apart = F.expr("rest_m * (rest + others) + others_m * rest < (rest_m + others_m) * all")
+    sizes = sizes.select("v", apart.alias("apart"), F.when(apart, F.col("rest")).otherwise(F.col("all")).alias("rest"),
+                         F.when(apart, F.col("others")).otherwise(0).alias("others"))
     few = splittable_join(values.select("v", "c_id", "s1"), often.filter("blocks = 1"), "v", "inner").select(
         values["v"], "c_id", "s1", F.lit(False).alias("held"), F.lit(1).alias("rest"), F.lit(0).alias("others"))
     met = splittable_join(long, materialize(sizes, "rests"), "v", "inner").select(
-        long["v"], "c_id", "s1", "held", "rest", "others").unionByName(few)
+        long["v"], "c_id", "s1", (F.col("held") & F.col("apart")).alias("held"), "rest", "others").unionByName(few)
     own = F.pmod(F.xxhash64("c_id", "s1"), F.when(F.col("held"), F.col("others")).otherwise(F.col("rest"))).cast("int")
     met = met.withColumn("block", F.when(F.col("held"), -1 - own).otherwise(own))
     # A block of the rest meets each other one, itself, and each block (below 0) of the others.
