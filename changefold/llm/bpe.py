@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache, partial
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -189,6 +190,12 @@ def decode(tokens: DataFrame, path: str, pattern: str, *, keep: list[str], ids:
 
 def digests(docs: DataFrame, path: str, pattern: str, *, keep: list[str], text: str = "text") -> DataFrame:
     """``keep``, the number of ids, SHA-256 of the ids as little-endian 32-bit integers, and
-    SHA-256 of the bytes decoded from them. Null is taken as empty; each row by itself."""
+    SHA-256 of the bytes decoded from them. Null is taken as empty; each row by itself.
+
+    Texts are cut where no match of ``public_tokenizers.PATTERN`` goes on, and the ids of a
+    piece are remembered; another pattern, for which that is not proven, is refused.
+    """
+    if pattern != public_tokenizers.PATTERN:
+        raise ValueError("digests() cuts texts by public_tokenizers.PATTERN; use encode() for other patterns")
     return annotate(docs, partial(_digests, path=path, pattern=pattern),
                     "n_tokens bigint, ids_sha256 string, decoded_sha256 string", keep=keep, text=text)
