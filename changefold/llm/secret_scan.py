@@ -33,6 +33,9 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Its parts: between '/' and '=', and between all marks.
 PARTS = (re.compile(r"[A-Za-z0-9+_-]{16,}"), re.compile(r"[A-Za-z0-9]{16,}"))
+#: Letters alone, written like a word, are tested from this length on: shorter ones are often
+#: rare or compound words.
+LETTERS_CHARS = 20
 #: Fewer characters a token than this is no language.
 CHARS_PER_TOKEN = 2.3
 #: Lengths of digests in hex digits: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
@@ -72,7 +75,11 @@ def is_known(text: str, enc) -> bool:
 
 
 def is_random(text: str, enc) -> bool:
-    if not any(c.isalpha() for c in text) or is_known(text, enc):
+    if not any(c.isalpha() for c in text):
+        return False
+    if text.isalpha() and (text.isupper() or text[1:].islower()) and len(text) < LETTERS_CHARS:
+        return False
+    if is_known(text, enc):
         return False
     return len(text) < CHARS_PER_TOKEN * len(enc.encode_ordinary(text))
 
