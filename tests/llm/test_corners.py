@@ -133,6 +133,9 @@ def test_base_spans_of_secrets(spark):
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in found.collect()}
     assert got == {r.doc_id: base_spans(r.text or "") for r in rows}
     assert sum(map(len, got.values())) > 10
+    # Invented prose has long words, but no random strings beside the planted shapes.
+    spans = secret_scan.scan(docs.filter("doc_id < 1000000000"), RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
+    assert spans.filter(F.exists("spans", lambda s: s["kind"] == "random")).count() == 0
 
 
 def test_digest_of_base_spans(spark):

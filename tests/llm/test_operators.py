@@ -67,6 +67,8 @@ def test_bpe_is_what_tiktoken_gives(docs):
     tokens = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
     back = bpe.decode(tokens, RANKS, public_tokenizers.PATTERN, keep=["doc_id"])
     same(back.collect(), [(i, t or "") for i, t in pairs(docs)])
+    with pytest.raises(ValueError, match="PATTERN"):
+        bpe.digests(docs, RANKS, r"[^ ]+", keep=["doc_id"])
     codec = bpe.codec(RANKS, public_tokenizers.PATTERN)
     assert "".join(codec.pieces(enc.encode_ordinary("é😀中"))) == "é😀中"
 
@@ -288,6 +290,15 @@ def test_templates_of_a_large_host(spark):
     assert {r.doc_id for r in found.filter("depleted").collect()} == gone
     assert found.filter("NOT kept").count() == 17
     assert {r.doc_id for r in quality.keep_good(docs).collect()} == {r[0] for r in rows} - gone
+    # As an output, the texts without these lines; other lines, and other hosts, keep them.
+    templates = {line.lower(), block.split("\n")[0], "to the shop"}
+    bare = quality.without_templates(docs)
+    assert bare.columns[:3] == docs.columns
+    texts = {r[0]: (r.text, r[-2], r[-1]) for r in bare.collect()}
+    for k, text, host in rows:
+        parts = text.split("\n")
+        kept = [x for x in parts if host != "h" or x.strip().lower() not in templates]
+        assert texts[k] == ("\n".join(kept), len(parts), len(parts) - len(kept)), k
 
 
 def test_neighbours_are_one_edit_away():
