@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from changefold.config import LogConfig
@@ -165,21 +165,31 @@ def land(
     read whose filter holds an id of the batch (``sources.seen``).
     """
     events = parse_events(lines, ARRIVAL)
-    ids = materialize(events.select("event_id"), "ids")
-    size = ids.agg(F.count("*").alias("n"), F.sum(F.octet_length("event_id") + ID_ROW_BYTES).alias("bytes")).first()
+    ids, size = written_ids(events.select("event_id"))
     raw, filters = read_raw(spark, path), read_filters(spark, path)
     earlier = loads_of(raw)
-    if size.n == 0 and load_id not in earlier:
+    if size["n"] == 0 and load_id not in earlier:
         return LoadResult(config.raw_table, 0, 0)
     picked = suspects(ids, raw, filters, earlier - {load_id})
     history = raw.filter(F.col("load_id").isin(picked)) if picked else None
-    rows = new_events(events, history, ARRIVAL, size.bytes or 0, ids)
+    rows = new_events(events, history, ARRIVAL, size["bytes"] or 0, ids)
     rows = rows.withColumn("_loaded_at", instant(loaded_at))
     forget(spark, path, load_id, filters)
     rows.select(*RAW_COLUMNS).write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
-    remember(read_raw(spark, path).filter(F.col("load_id") == load_id), path, load_id)
-    inserted = read_filters(spark, path).filter(F.col("load_id") == load_id).count()
-    return LoadResult(config.raw_table, size.n, inserted)
+    inserted = remember(read_raw(spark, path).filter(F.col("load_id") == load_id), path, load_id)
+    return LoadResult(config.raw_table, size["n"], inserted)
+
+
+def written_ids(ids: DataFrame) -> tuple[DataFrame, dict]:
+    """The ids of a batch, written once, and what the writing plan observed of them: ``n``
+    rows and at most ``bytes`` in a hashed relation.
+
+    The plan has one stage, whose tasks write: a task that is run again counts once.
+    """
+    seen = Observation("ids")
+    bound = F.sum(F.octet_length("event_id") + ID_ROW_BYTES)
+    table = materialize(ids.observe(seen, F.count(F.lit(1)).alias("n"), bound.alias("bytes")), "ids")
+    return table, seen.get
 
 
 def load_report(spark: SparkSession, results: Sequence[LoadResult]) -> DataFrame:

@@ -79,7 +79,6 @@ def land_mixed(
     for name in names:
         path, inserted = table_path(base, name), 0
         if name in read:
-            remember(read_raw(spark, path).filter(F.col("load_id") == load_id), path, load_id)
-            inserted = read_filters(spark, path).filter(F.col("load_id") == load_id).count()
+            inserted = remember(read_raw(spark, path).filter(F.col("load_id") == load_id), path, load_id)
         out.append(LoadResult(name, read.get(name, 0), inserted))
     return out

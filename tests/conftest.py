@@ -18,7 +18,8 @@ RAW = (
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    spark = session("4", {
+    # A task may fail once, as on a cluster.
+    spark = session("4, 2", {
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.sql.shuffle.partitions": "2",
         "spark.default.parallelism": "2",

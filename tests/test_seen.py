@@ -72,3 +72,21 @@ def test_filters_hold_each_load(spark, tmp_path, monkeypatch, most):
     assert seen.suspects(ids, raw, filters) == [1, 2]
     assert seen.suspects(ids, raw, filters, among=[0, 2]) == [2]
     assert seen.suspects(ids.limit(0), raw, filters) == []
+
+
+def test_a_task_that_is_run_again_counts_once(spark, tmp_path):
+    """Every task that reads the lines fails after its last row, the first time."""
+    def fails_once(batches):
+        from pyspark import TaskContext
+
+        yield from batches
+        if TaskContext.get().attemptNumber() == 0:
+            raise OSError("lost")
+
+    lines = spark.createDataFrame([(x, "f", 0, i) for i, x in enumerate(lines_of(*range(40), *range(10)))],
+                                  "value string, _file string, _offset long, _row long").repartition(3)
+    shaky = lines.mapInArrow(fails_once, lines.schema)
+    result = events.land(spark, shaky, str(tmp_path / "raw"), ORDERS, 1, events.datetime(2026, 1, 1))
+    assert (result.read, result.inserted, result.skipped) == (50, 40, 10)
+    again = events.land(spark, lines.limit(0), str(tmp_path / "raw"), ORDERS, 2, events.datetime(2026, 1, 1))
+    assert (again.read, again.inserted) == (0, 0)
