@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefold.config import LogConfig
@@ -30,6 +31,7 @@ RAW_SCHEMA = (
     "before_json string, after_json string, _loaded_at timestamp"
 )
 RAW_PARTITIONS = "load_id bigint"
+LOAD_FIGURES = "table_name string, read bigint, inserted bigint, skipped bigint"
 # What an id takes in a hashed relation besides its own bytes, at most.
 ID_ROW_BYTES = 100
 # The position of a line in its files: file, offset of the split, row in the task.
@@ -176,28 +178,44 @@ def land(
     rows = rows.withColumn("_loaded_at", instant(loaded_at))
     forget(spark, path, load_id, filters)
     rows.select(*RAW_COLUMNS).write.mode("overwrite").parquet(f"{path}/load_id={load_id}")
-    inserted = remember(read_raw(spark, path).filter(F.col("load_id") == load_id), path, load_id)
-    return LoadResult(config.raw_table, size["n"], inserted)
+    inserted = remember(spark, read_raw(spark, path).filter(F.col("load_id") == load_id), path, load_id)
+    result = LoadResult(config.raw_table, size["n"], inserted)
+    log_load(spark, result, path, load_id)
+    return result
 
 
-def written_ids(ids: DataFrame) -> tuple[DataFrame, dict]:
-    """The ids of a batch, written once, and what the writing plan observed of them: ``n``
-    rows and at most ``bytes`` in a hashed relation.
+def log_load(spark: SparkSession, result: LoadResult, path: str, load_id: int) -> None:
+    """Keep the figures of a load beside its raw table; a repeated load rewrites its own."""
+    row = [(result.table, result.read, result.inserted, result.skipped)]
+    spark.createDataFrame(row, LOAD_FIGURES).coalesce(1).write.mode("overwrite").parquet(
+        f"{path.rstrip('/')}_loads/load_id={load_id}")
 
-    The plan has one stage, whose tasks write: a task that is run again counts once.
-    """
-    seen = Observation("ids")
+
+def logged_loads(spark: SparkSession, path: str) -> DataFrame:
+    """The figures of each load of the raw table at ``path``, whoever landed it: runs,
+    micro-batches of a stream, and before or after a restart."""
+    return read_or_empty(spark, f"{path.rstrip('/')}_loads", f"{LOAD_FIGURES}, {RAW_PARTITIONS}")
+
+
+def logged_report(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Read, inserted and skipped per raw table over all its loads, and over all tables."""
+    all_loads = reduce(DataFrame.unionByName, [logged_loads(spark, p) for p in paths])
+    figures = [F.sum(c).cast("bigint").alias(c) for c in ("read", "inserted", "skipped")]
+    return with_total(all_loads.groupBy("table_name").agg(*figures))
+
+
+def written_ids(ids: DataFrame) -> tuple[DataFrame, dict]:
+    """The ids of a batch, written once, and from the written table ``n`` rows and at most
+    ``bytes`` in a hashed relation. A task that is run again writes, and so counts, once."""
+    table = materialize(ids, "ids")
     bound = F.sum(F.octet_length("event_id") + ID_ROW_BYTES)
-    table = materialize(ids.observe(seen, F.count(F.lit(1)).alias("n"), bound.alias("bytes")), "ids")
-    return table, seen.get
+    return table, table.agg(F.count(F.lit(1)).alias("n"), bound.alias("bytes")).first().asDict()
 
 
 def load_report(spark: SparkSession, results: Sequence[LoadResult]) -> DataFrame:
     """Read, inserted and skipped per table, and over all tables."""
     rows = [(r.table, r.read, r.inserted, r.skipped) for r in results]
-    per_table = spark.createDataFrame(
-        rows, "table_name string, read bigint, inserted bigint, skipped bigint"
-    )
+    per_table = spark.createDataFrame(rows, LOAD_FIGURES)
     return with_total(per_table)
 
 

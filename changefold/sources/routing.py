@@ -18,7 +18,7 @@ from changefold.functions.times import instant
 from changefold.operators.joins import BROADCAST_BATCH_BYTES
 from changefold.session import materialize
 from changefold.sources.events import (
-    ARRIVAL, ID_ROW_BYTES, RAW_COLUMNS, LoadResult, parse_events, read_filters, read_raw,
+    ARRIVAL, ID_ROW_BYTES, RAW_COLUMNS, LoadResult, log_load, parse_events, read_filters, read_raw,
 )
 from changefold.sources.seen import forget, loads_of, remember, suspects
 
@@ -79,6 +79,8 @@ def land_mixed(
     for name in names:
         path, inserted = table_path(base, name), 0
         if name in read:
-            inserted = remember(read_raw(spark, path).filter(F.col("load_id") == load_id), path, load_id)
+            inserted = remember(spark, read_raw(spark, path).filter(F.col("load_id") == load_id), path, load_id)
         out.append(LoadResult(name, read.get(name, 0), inserted))
+        if name in read:
+            log_load(spark, out[-1], path, load_id)
     return out

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILTER = "h bigint, load_id bigint"
@@ -40,13 +40,12 @@ def forget(spark: SparkSession, raw_path: str, load_id: int, filters: DataFrame)
             f"{seen_path(raw_path)}/load_id={load_id}")
 
 
-def remember(ids: DataFrame, raw_path: str, load_id: int) -> int:
+def remember(spark: SparkSession, ids: DataFrame, raw_path: str, load_id: int) -> int:
     """Write the filter of a load that has just been written, from its own ids; returns how
-    many there are, as the one stage that writes them observed it."""
-    seen = Observation("seen")
-    hashes = ids.select(id_hash().alias("h")).observe(seen, F.count(F.lit(1)).alias("n"))
-    hashes.sortWithinPartitions("h").write.mode("overwrite").parquet(f"{seen_path(raw_path)}/load_id={load_id}")
-    return seen.get["n"]
+    many there are, from the files written."""
+    path = f"{seen_path(raw_path)}/load_id={load_id}"
+    ids.select(id_hash().alias("h")).sortWithinPartitions("h").write.mode("overwrite").parquet(path)
+    return spark.read.schema("h bigint").parquet(path).count()
 
 
 def suspects(ids: DataFrame, raw: DataFrame, filters: DataFrame, among: Iterable[int] | None = None) -> list[int]:

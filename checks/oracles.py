@@ -516,6 +516,7 @@ FROM daily GROUP BY ALL""")
     # streams and the whole chain end where the batch results do
     q["stream_landed_orders"] = q["landing_orders_raw"]
     q["stream_current_orders"] = q["incremental_state_merge"]
+    q["stream_load_report"] = q["landing_load_report"]
     q["stg_orders_from_documents"] = q["stg_orders"]
     q["stream_newest_orders"] = q["incremental_state_merge"]
     q["stream_fct_orders"] = q["fct_orders"]

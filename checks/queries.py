@@ -623,6 +623,18 @@ def stream_landed_orders(spark: SparkSession, sf: str) -> DataFrame:
     return events.read_raw(spark, f"{base}/raw").select(*RAW)
 
 
+@query
+def stream_load_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Figures of all micro-batches of two landing streams, from what they left behind."""
+    base = new_run_dir(spark, "stream")
+    for config, log in ((ORDERS, derived.order_log(spark, sf)), (CUSTOMERS, derived.customer_log(spark, sf))):
+        _write_log(log, f"{base}/{config.source_table}", batches=2)
+        lines = stream_landing.stream_lines(spark, f"{base}/{config.source_table}", files_per_batch=1)
+        stream_landing.start_landing(
+            lines, f"{base}/{config.raw_table}", config, f"{base}/{config.source_table}-offsets").awaitTermination()
+    return events.logged_report(spark, [f"{base}/{c.raw_table}" for c in (ORDERS, CUSTOMERS)])
+
+
 @query
 def stream_current_orders(spark: SparkSession, sf: str) -> DataFrame:
     base = new_run_dir(spark, "stream")

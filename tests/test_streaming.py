@@ -30,6 +30,10 @@ def test_streams_end_where_the_batch_does(spark, tmp_path, ways):
     landing.start_landing(lines, str(tmp_path / "raw"), ORDERS, str(tmp_path / "cp")).awaitTermination()
     landed = events.read_raw(spark, str(tmp_path / "raw"))
     assert rows(landed, "event_id") == rows(raw(spark, LOG), "event_id")
+    # Each micro-batch left its figures; one that is landed again leaves its own once more.
+    figures = events.logged_report(spark, [str(tmp_path / "raw")])
+    assert rows(figures) == [(t, len(COPIES), len(LOG), len(COPIES) - len(LOG)) for t in ("raw_orders_cdc", "total")]
+    assert events.logged_loads(spark, str(tmp_path / "raw")).count() == ways
 
     wh = Warehouse(spark, str(tmp_path / "tables"), buckets=3)
     stream = state.stream_raw(spark, str(tmp_path / "raw"), files_per_batch=2)
