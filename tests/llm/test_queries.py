@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+import re
+from collections import Counter, defaultdict
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +35,35 @@ def test_held_out_toxicity(spark):
     assert sum(pairs) >= 0.95 * len(pairs)
 
 
+def test_near_copies_of_the_given_texts(spark):
+    """Components equal those of all pairs, which exact prefix filtering finds: two sets of
+    this likeness share one of the rarest quarter of their shingles."""
+    sf, plain = "/root/testdata/sf0.01", re.compile(r"[^\x20\x09-\x0D]+")
+    sets = {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        words = plain.findall(re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""))
+        sets[r.doc_id] = {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    often, index, up = Counter(x for s in sets.values() for x in s), defaultdict(list), {i: i for i in sets}
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    links = 0
+    for i, own in sets.items():
+        rarest = sorted(own, key=lambda x: (often[x], x))[:len(own) - math.ceil(0.75 * len(own)) + 1]
+        for j in {j for x in rarest for j in index[x]}:
+            if 100 * len(own & sets[j]) >= 75 * len(own | sets[j]):
+                a, b = sorted((top(i), top(j)))
+                up[b], links = a, links + 1
+        for x in rarest:
+            index[x].append(i)
+    assert links > 100
+    found = QUERIES["op6_minhash"](spark, sf).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {i: (len(s), top(i)) for i, s in sets.items()}
+
+
 def test_the_pipeline_keeps_columns_and_order_of_stages(spark):
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["quality_rules", "line_dedup", "near_dedup", "decontaminate", "byte_bpe"]
