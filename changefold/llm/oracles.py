@@ -69,6 +69,41 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words,
 FROM docs d LEFT JOIN kept k USING (doc_id)
 """
 
+# Sets this alike share a shingle among the rarest quarter of each, so only those are joined.
+_MINHASH = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, {_PLAIN.format(_LOWER.format("coalesce(text, '')"))} AS words FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, md5_number(array_to_string(words[place:place + 4], ' ')) AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, CAST(greatest(len(words) - 3, 2) AS BIGINT))) AS place
+          FROM docs WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), ordered AS (
+    SELECT doc_id, shingle, row_number() OVER (PARTITION BY doc_id ORDER BY often, shingle) AS place
+    FROM shingles JOIN (SELECT shingle, count(*) AS often FROM shingles GROUP BY shingle) USING (shingle)
+), rarest AS (
+    SELECT doc_id, shingle FROM ordered JOIN sizes USING (doc_id) WHERE place <= n - (3 * n + 3) // 4 + 1
+), candidates AS (
+    SELECT DISTINCT a.doc_id AS one, b.doc_id AS other FROM rarest a JOIN rarest b USING (shingle) WHERE a.doc_id < b.doc_id
+), links AS (
+    SELECT c.one, c.other FROM candidates c
+    JOIN shingles a ON a.doc_id = c.one JOIN shingles b ON b.doc_id = c.other AND b.shingle = a.shingle
+    JOIN sizes x ON x.doc_id = c.one JOIN sizes y ON y.doc_id = c.other
+    GROUP BY c.one, c.other, x.n, y.n HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+), both_ways AS (
+    SELECT one AS doc_id, other FROM links UNION ALL SELECT other, one FROM links
+), reached AS (
+    SELECT doc_id, doc_id AS smallest FROM docs
+    UNION
+    SELECT b.other, r.smallest FROM reached r JOIN both_ways b ON b.doc_id = r.doc_id WHERE r.smallest < b.other
+), components AS (
+    SELECT doc_id, min(smallest) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM docs d JOIN components c USING (doc_id) LEFT JOIN sizes s USING (doc_id)
+"""
+
 _LINE_DEDUP = f"""
 WITH lines AS (
     SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
@@ -322,6 +357,6 @@ FROM urls u JOIN reputed h ON u.host = h.host LEFT JOIN ruled r ON u.host = r.ho
 
 ORACLES = {
     "op3_decontamination": _DECONTAMINATION, "op5_substring_dedup": _SUBSTRING_DEDUP,
-    "op7_line_dedup": _LINE_DEDUP, "op9_warc": _WARC, "op10_quality_rules": _QUALITY_RULES,
+    "op6_minhash": _MINHASH, "op7_line_dedup": _LINE_DEDUP, "op9_warc": _WARC, "op10_quality_rules": _QUALITY_RULES,
     "op11_source_divergence": _SOURCE_DIVERGENCE, "op12_filter_audit": _FILTER_AUDIT, "op13_url_filter": _URL_FILTER,
 }
