@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +41,28 @@ def new_run_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+_interim: ContextVar[list[str] | None] = ContextVar("interim", default=None)
+
+
+@contextmanager
+def interim(spark: SparkSession) -> Iterator[None]:
+    """The tables that ``materialize`` writes inside are removed at the end, also after an
+    error. What is made of them has to be written or collected before.
+
+    Blocks may be nested: each removes its own tables. Outside of any block, tables stay
+    until the shared folder is cleared.
+    """
+    written: list[str] = []
+    token = _interim.set(written)
+    try:
+        yield
+    finally:
+        _interim.reset(token)
+        files = spark._jvm.org.apache.hadoop.fs
+        for path in map(files.Path, written):
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from the written table.
 
@@ -45,5 +70,7 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     the written table survives the loss of executors.
     """
     path = new_run_dir(df.sparkSession, purpose)
+    if (written := _interim.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
