@@ -21,9 +21,13 @@ from changefold.sources.tables import Warehouse
 from changefold.streaming.state import stream_raw
 
 
-def stream_changes(spark: SparkSession, wh: Warehouse, files_per_batch: int | None = None) -> DataFrame:
-    """Events of both logs as they are appended to the raw tables under ``wh``."""
-    orders, customers = (stream_raw(spark, wh.raw_path(c.raw_table), files_per_batch) for c in (ORDERS, CUSTOMERS))
+def stream_changes(
+    spark: SparkSession, wh: Warehouse, files_per_batch: int | None = None, epochs: int | None = None
+) -> DataFrame:
+    """Events of both logs as they are appended to the raw tables under ``wh``, all that is
+    landed by now in about so many ``epochs`` (see ``stream_raw``)."""
+    orders, customers = (
+        stream_raw(spark, wh.raw_path(c.raw_table), files_per_batch, epochs) for c in (ORDERS, CUSTOMERS))
     return orders.unionByName(customers)
 
 

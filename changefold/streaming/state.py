@@ -12,13 +12,22 @@ from changefold.config import LogConfig
 from changefold.functions.payload import record_key
 from changefold.plans.incremental import advance_state
 from changefold.plans.pipeline import SCHEMAS
-from changefold.sources.events import RAW_PARTITIONS, RAW_SCHEMA
+from changefold.sources.events import RAW_PARTITIONS, RAW_SCHEMA, read_raw
 from changefold.sources.tables import Warehouse
 
 
-def stream_raw(spark: SparkSession, raw_path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Events as they are appended to a raw table."""
+def stream_raw(
+    spark: SparkSession, raw_path: str, files_per_batch: int | None = None, epochs: int | None = None
+) -> DataFrame:
+    """Events as they are appended to a raw table.
+
+    ``epochs``: take in what is landed by now in about so many micro-batches. One whose keys
+    fall into all buckets rewrites the tables, so micro-batches of a fixed number of files
+    would cost the square of the log.
+    """
     reader = spark.readStream.schema(f"{RAW_SCHEMA}, {RAW_PARTITIONS}")
+    if epochs:
+        files_per_batch = max(1, -(-len(read_raw(spark, raw_path).inputFiles()) // epochs))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(raw_path)

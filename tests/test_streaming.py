@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changefold.config import ORDERS
 from changefold.plans import pipeline, staging
-from changefold.sources import events
+from changefold.sources import derived, events
 from changefold.sources.tables import Warehouse
 from changefold.streaming import landing, state
 from tests.conftest import event, line, raw, rows, write_lines
@@ -85,3 +85,33 @@ def test_running_state_and_bounded_deduplication(spark, tmp_path):
     assert rows(newest, "order_id", "ts_ms", "lsn") == rows(expected, "order_id", "ts_ms", "lsn")
     distinct = collect(landing.distinct_within(lines, "1 day"), "append", "bounded")
     assert rows(distinct, "event_id") == rows(raw(spark, LOG), "event_id")
+
+
+def test_micro_batches_follow_what_is_landed_not_its_files(spark, tmp_path):
+    landed = raw(spark, LOG).withColumn("_loaded_at", F.lit(datetime(2026, 1, 1)))
+    landed.repartition(30).write.parquet(str(tmp_path / "raw" / "load_id=1"))
+    stream = state.stream_raw(spark, str(tmp_path / "raw"), epochs=3)
+    wh = Warehouse(spark, str(tmp_path / "tables"), buckets=2)
+    state.start_state(stream, wh, "state_orders", ORDERS, str(tmp_path / "cp")).awaitTermination()
+    assert 1 < wh.last_run() <= 4
+    assert rows(pipeline.table(wh, "state_orders"), *STATE) == rows(staging.fold(raw(spark, LOG), ORDERS), *STATE)
+
+
+def test_a_written_log_is_dealt_to_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(derived, "TASK_ROWS", 50)
+    orders = [(k, k % 9, 10.0 + k, datetime(1997, 1, 1)) for k in range(600)]
+    (tmp_path / "sf").mkdir()
+    spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz").coalesce(
+        1).write.parquet(str(tmp_path / "sf" / "orders.parquet"))
+    log = derived.order_log(spark, str(tmp_path / "sf"))
+    assert log.rdd.getNumPartitions() == 12
+    per_batch = derived.write_log(log, str(tmp_path / "log"), 2)
+    assert 10 <= per_batch <= 13
+    written = spark.read.text(str(tmp_path / "log"))
+    assert rows(written) == rows(derived.log_lines(log).select("value"))
+    # Copies of an event stand in more than one file.
+    lines = landing.stream_lines(spark, str(tmp_path / "log"), files_per_batch=per_batch)
+    landing.start_landing(lines, str(tmp_path / "raw"), ORDERS, str(tmp_path / "cp")).awaitTermination()
+    assert 2 <= events.logged_loads(spark, str(tmp_path / "raw")).count() <= 3
+    got = events.read_raw(spark, str(tmp_path / "raw"))
+    assert rows(got, "event_id") == rows(log.select("event_id").distinct())
