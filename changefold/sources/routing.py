@@ -18,7 +18,8 @@ from changefold.functions.times import instant
 from changefold.operators.joins import BROADCAST_BATCH_BYTES
 from changefold.session import materialize
 from changefold.sources.events import (
-    ARRIVAL, ID_ROW_BYTES, RAW_COLUMNS, LoadResult, log_load, parse_events, read_filters, read_raw,
+    ARRIVAL, ID_ROW_BYTES, RAW_COLUMNS, LoadResult, log_load, parse_events, parse_ids, read_filters,
+    read_raw,
 )
 from changefold.sources.seen import forget, loads_of, remember, suspects
 
@@ -49,7 +50,7 @@ def land_mixed(
     rewrites its own folders. Returns a result for each table, dead letters last.
     """
     events = parse_events(lines, ARRIVAL).select("*", raw_table_of(configs))
-    ids = materialize(events.select("raw_table", "event_id"), "ids")
+    ids = materialize(parse_ids(lines, source_table=True).select(raw_table_of(configs), "event_id"), "ids")
     size = ids.agg(F.sum(F.octet_length("event_id") + ID_ROW_BYTES)).first()[0] or 0
     read = {r.raw_table: r["count"] for r in ids.groupBy("raw_table").count().collect()}
 
@@ -73,7 +74,7 @@ def land_mixed(
         rows = rows.join(seen, ["raw_table", "event_id"], "left_anti")
     rows = rows.withColumn("_loaded_at", instant(loaded_at)).withColumn("load_id", F.lit(load_id).cast("bigint"))
     rows.select(*RAW_COLUMNS, "raw_table", "load_id").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("raw_table", "load_id").parquet(base)
+        "partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("raw_table", "load_id").parquet(base)
 
     out = []
     for name in names:

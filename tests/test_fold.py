@@ -137,3 +137,12 @@ def test_order_copies_and_batches_of_a_log_do_not_matter(spark, events, data):
 def test_live_hides_the_columns_of_the_fold(spark):
     state = fold(raw(spark, [event(1, "c", 1, table="customers")]), CUSTOMERS)
     assert "_last_op" not in live(state, CUSTOMERS).columns
+
+
+def test_state_and_batch_meet_in_one_shuffle(spark, tmp_path):
+    fold(raw(spark, [event(k, "c", 1, n=k) for k in range(9)]), ORDERS).write.parquet(str(tmp_path / "state"))
+    stored = spark.read.parquet(str(tmp_path / "state"))
+    merged = merge_state(stored, raw(spark, [event(k, "u", 2, n=k) for k in range(3)]), ORDERS)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1
+    assert merged.filter("ts_ms = 2").count() == 3 and merged.count() == 9

@@ -138,3 +138,17 @@ def test_written_lines_land_again(spark, tmp_path):
     lines = events.read_lines(spark, str(tmp_path / "log" / "source_table=customers"))
     r = events.land(spark, lines, str(tmp_path / "raw"), CUSTOMERS, 1, T0)
     assert r.inserted == log.select("event_id").distinct().count() and r.skipped > 0
+
+
+def test_ids_are_read_as_whole_events_are(spark):
+    made = [event(k, "u", 5, lsn=k, table=t, n="x" * k) for k in range(1, 5) for t in ("orders", "customers")]
+    lines = spark.createDataFrame([(line(e),) for e in made], "value string")
+    whole = events.parse_events(lines)
+    assert rows(events.parse_ids(lines)) == rows(whole, "event_id")
+    assert rows(events.parse_ids(lines, source_table=True)) == rows(whole, "event_id", "source_table")
+    # The images are not read for them.
+    fields = events.parse_ids(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lsn" not in fields and "before" not in fields
+    for bad in ('{"op":"c"}', '{"event_id":'):
+        with pytest.raises(Exception, match="event_id|MALFORMED_RECORD"):
+            events.parse_ids(spark.createDataFrame([(bad,)], "value string")).collect()
