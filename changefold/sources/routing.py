@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from changefold.config import LogConfig
 from changefold.functions.times import instant
 from changefold.operators.joins import BROADCAST_BATCH_BYTES
-from changefold.session import materialize
+from changefold.session import materialize, tasks_at_least
 from changefold.sources.events import (
-    ARRIVAL, ID_ROW_BYTES, RAW_COLUMNS, LoadResult, log_load, parse_events, parse_ids, read_filters,
+    ARRIVAL, ID_ROW_BYTES, RAW_COLUMNS, TASK_LINES, LoadResult, log_load, parse_events, parse_ids, read_filters,
     read_raw,
 )
 from changefold.sources.seen import forget, loads_of, remember, suspects
@@ -73,8 +73,9 @@ def land_mixed(
         seen = history.join(known, ["raw_table", "event_id"], "left_semi")
         rows = rows.join(seen, ["raw_table", "event_id"], "left_anti")
     rows = rows.withColumn("_loaded_at", instant(loaded_at)).withColumn("load_id", F.lit(load_id).cast("bigint"))
-    rows.select(*RAW_COLUMNS, "raw_table", "load_id").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("raw_table", "load_id").parquet(base)
+    with tasks_at_least(spark, -(-sum(read.values()) // TASK_LINES)):
+        rows.select(*RAW_COLUMNS, "raw_table", "load_id").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("raw_table", "load_id").parquet(base)
 
     out = []
     for name in names:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from changefold.config import CUSTOMERS, ORDERS
 from changefold.functions.payload import event_id
 from changefold.plans.staging import stg_orders
-from changefold.sources import derived, events
+from changefold.sources import derived, events, routing
+from checks.queries import QUERIES
 from tests.conftest import event, line, rows, write_lines
 
 T0 = datetime(2026, 1, 1)
@@ -152,3 +153,37 @@ def test_ids_are_read_as_whole_events_are(spark):
     for bad in ('{"op":"c"}', '{"event_id":'):
         with pytest.raises(Exception, match="event_id|MALFORMED_RECORD"):
             events.parse_ids(spark.createDataFrame([(bad,)], "value string")).collect()
+
+
+@pytest.fixture
+def no_merging(spark):
+    """Partitions of a shuffle stay as they were asked for."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)
+
+
+def test_what_a_task_sorts_is_bounded(spark, tmp_path, monkeypatch, no_merging):
+    """The session asks for two shuffle partitions; a load asks for as many as its lines need."""
+    lines = [line(event(k, "c", k)) for k in range(40)]
+    monkeypatch.setattr(events, "TASK_LINES", 5)
+    result, raw = load(spark, tmp_path, lines)
+    assert result.inserted == raw.count() == 40 and len(raw.inputFiles()) > 2
+    monkeypatch.setattr(routing, "TASK_LINES", 5)
+    text = events.read_lines(spark, str(tmp_path / "in" / "orders.jsonl"))
+    routing.land_mixed(spark, text, str(tmp_path / "mixed"), [ORDERS, CUSTOMERS], 1, T0)
+    mixed = events.read_raw(spark, routing.table_path(str(tmp_path / "mixed"), ORDERS.raw_table))
+    assert mixed.count() == 40 and len(mixed.inputFiles()) > 2
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+
+
+@pytest.mark.parametrize("name", ["landing_orders_raw", "landing_ids_assigned"])
+def test_first_copies_are_sorted_by_as_many_tasks_as_there_are_orders(spark, tmp_path, monkeypatch, no_merging, name):
+    monkeypatch.setattr(derived, "TASK_ROWS", 10)
+    spark.range(80).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "double(id) AS o_totalprice",
+        "TIMESTAMP_NTZ '1997-01-01 00:00:00' AS o_orderdate").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    found = QUERIES[name](spark, str(tmp_path))
+    assert len(found.inputFiles()) > 2
+    assert found.select("event_id").distinct().count() == found.count() > 80
