@@ -42,9 +42,7 @@ class NewestEvent(StatefulProcessor):
         self.deadline = handle.getValueState("deadline", DEADLINE, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        stored = self.newest.get() if self.newest.exists() else None
-        best = tuple(stored) if stored is not None else None
-        before = best
+        best = before = self.newest.get()  # None if there is none: each call goes to the store and back
         for r in rows:
             event = (r.ts_ms, r.lsn, r.event_id, r.op, r.after_json)
             if best is None or event[:3] > best[:3]:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 
 import pytest
+from pyspark.sql import Row
 
 from changefold.config import ORDERS
 from changefold.plans import staging
@@ -63,3 +64,33 @@ def test_tombstones_are_forgotten_after_their_time(spark, tmp_path, stream):
     take_in(forget_ms=1_000)
     sent = spark.read.parquet(f"{tmp_path}/out").filter("epoch = 3").collect()
     assert {r.order_id: r.op for r in sent} == {1: "u"}
+
+
+def test_a_key_goes_to_the_store_once_to_read_and_once_to_write():
+    """Each call of a state is a way to the store and back, for every key of an epoch."""
+    calls = []
+
+    class Value:
+        def __init__(self):
+            self.value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def exists(self):
+            calls.append("exists")
+            return self.value is not None
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+    keeper = keyed.NewestEvent("order_id")
+    keeper.newest = Value()
+    newer = Row(ts_ms=2, lsn=2, event_id="b", op="u", after_json="{}")
+    older = Row(ts_ms=1, lsn=1, event_id="a", op="c", after_json="{}")
+    for batch, sent in (([older], 1), ([newer, older], 1), ([older, newer], 0)):
+        assert len(list(keeper.handleInputRows((7,), iter(batch), None))) == sent
+    assert keeper.newest.value == (2, 2, "b", "u", "{}")
+    assert calls == ["get", "update", "get", "update", "get"]
