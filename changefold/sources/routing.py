@@ -10,16 +10,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changefold.config import LogConfig
 from changefold.functions.times import instant
-from changefold.operators.joins import BROADCAST_BATCH_BYTES
-from changefold.session import materialize, tasks_at_least
+from changefold.operators.fold import first_arrivals
+from changefold.session import tasks_at_least
 from changefold.sources.events import (
-    ARRIVAL, ID_ROW_BYTES, RAW_COLUMNS, TASK_LINES, LoadResult, log_load, parse_events, parse_ids, read_filters,
-    read_raw,
+    ARRIVAL, RAW_COLUMNS, TASK_LINES, LoadResult, first_of_new, log_load, parse_events, parse_ids, read_filters,
+    read_raw, unlanded, written_ids,
 )
 from changefold.sources.seen import forget, loads_of, remember, suspects
 
@@ -46,32 +46,37 @@ def land_mixed(
     """Append the unseen events of a log of several source tables, each to its raw table.
 
     An id is known within its table. Tables of a load are written by one plan over one scan
-    of the lines (their ids are read in a pass before it, as in ``land``); a repeated load
-    rewrites its own folders. Returns a result for each table, dead letters last.
+    of the lines (their ids are read in a pass before it and meet the history first, as in
+    ``land``); a repeated load rewrites its own folders. Returns a result for each table,
+    dead letters last.
     """
     events = parse_events(lines, ARRIVAL).select("*", raw_table_of(configs))
-    ids = materialize(parse_ids(lines, source_table=True).select(raw_table_of(configs), "event_id"), "ids")
-    size = ids.agg(F.sum(F.octet_length("event_id") + ID_ROW_BYTES)).first()[0] or 0
+    names, history = [*(c.raw_table for c in configs), DEAD_LETTERS], None
+    raws = {n: read_raw(spark, table_path(base, n)) for n in names}
+    earlier = {n: loads_of(raw) - {load_id} for n, raw in raws.items()}
+    if any(earlier.values()):
+        ids = parse_ids(lines, source_table=True, checked=True)
+        ids, size = written_ids(ids.select(raw_table_of(configs), "event_id", "nulls"))
+    else:
+        ids = parse_ids(lines, source_table=True).select(raw_table_of(configs))
     read = {r.raw_table: r["count"] for r in ids.groupBy("raw_table").count().collect()}
 
-    names, history = [*(c.raw_table for c in configs), DEAD_LETTERS], None
-    for name in names:
+    for name, raw in raws.items():
         path = table_path(base, name)
-        raw, filters = read_raw(spark, path), read_filters(spark, path)
+        filters = read_filters(spark, path)
         own = ids.filter(F.col("raw_table") == name)
-        picked = suspects(own, raw, filters, loads_of(raw) - {load_id}) if name in read else []
+        picked = suspects(own, raw, filters, earlier[name]) if earlier[name] and name in read else []
         forget(spark, path, load_id, filters)
         if picked:
             part = raw.filter(F.col("load_id").isin(picked)).select(F.lit(name).alias("raw_table"), "event_id")
             history = part if history is None else history.unionByName(part)
 
-    # The first copy of an id in its table leaves the map tasks as one row.
-    place = F.row_number().over(Window.partitionBy("raw_table", "event_id").orderBy(*ARRIVAL))
-    rows = events.withColumn("_rank", place).filter("_rank = 1").drop("_rank")
+    keys = ["raw_table", "event_id"]
     if history is not None:
-        known = F.broadcast(ids) if size <= BROADCAST_BATCH_BYTES else ids.distinct()
-        seen = history.join(known, ["raw_table", "event_id"], "left_semi")
-        rows = rows.join(seen, ["raw_table", "event_id"], "left_anti")
+        fresh, new = unlanded(ids, history, keys, size["bytes"] or 0)
+        rows = first_of_new(events, fresh, new, keys)
+    else:
+        rows = first_arrivals(events, ARRIVAL, *keys)
     rows = rows.withColumn("_loaded_at", instant(loaded_at)).withColumn("load_id", F.lit(load_id).cast("bigint"))
     with tasks_at_least(spark, -(-sum(read.values()) // TASK_LINES)):
         rows.select(*RAW_COLUMNS, "raw_table", "load_id").write.mode("overwrite").option(

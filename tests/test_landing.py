@@ -187,3 +187,55 @@ def test_first_copies_are_sorted_by_as_many_tasks_as_there_are_orders(spark, tmp
     found = QUERIES[name](spark, str(tmp_path))
     assert len(found.inputFiles()) > 2
     assert found.select("event_id").distinct().count() == found.count() > 80
+
+
+def refuse_images(monkeypatch):
+    """Whoever reads whole events from now on fails; to plan for them is allowed."""
+    parse = events.parse_events
+
+    def refused(lines, extra=()):
+        found = parse(lines, extra)
+        return found.withColumn("after_json", F.raise_error(F.concat(F.lit("read: "), "event_id")).cast("string"))
+
+    monkeypatch.setattr(events, "parse_events", refused)
+    monkeypatch.setattr(routing, "parse_events", refused)
+
+
+def test_a_batch_without_news_is_told_by_its_ids(spark, tmp_path, monkeypatch):
+    lines = [line(event(k, "c", k)) for k in range(20)]
+    load(spark, tmp_path, lines + lines[:3])
+    text = events.read_lines(spark, str(tmp_path / "in" / "orders.jsonl"))
+    routing.land_mixed(spark, text, str(tmp_path / "mixed"), [ORDERS], 1, T0)
+    refuse_images(monkeypatch)
+    again, raw = load(spark, tmp_path, lines + lines[:3], load_id=2)
+    assert (again.read, again.inserted, again.skipped) == (23, 0, 23) and raw.count() == 20
+    mixed = routing.land_mixed(spark, text, str(tmp_path / "mixed"), [ORDERS], 2, T0)
+    assert [(r.read, r.inserted) for r in mixed] == [(23, 0), (0, 0)]
+    with pytest.raises(Exception, match="read: "):
+        load(spark, tmp_path, [*lines, line(event(99, "c", 99))], load_id=3)
+
+
+@pytest.mark.parametrize("bad", [
+    '{"event_id":"orders-1-c-1-1","ts_ms":1,"source":{"table":"orders","lsn":1},"after":{}}',
+    '{"event_id":"orders-1-c-1-1","op":"c","source":{"table":"orders","lsn":1},"after":{}}',
+    '{"event_id":"orders-1-c-1-1","op":"c","ts_ms":1,"after":{}}',
+    '{"event_id":"orders-1-c-1-1","op":"c","ts_ms":1,"source":{"table":"orders"},"after":{}}',
+    '{"event_id":"orders-1-c-1-1","op":"c","ts_ms":"soon","source":{"table":"orders","lsn":1},"after":{}}',
+    '{"event_id":"orders-1-c-1-1","op":"c","ts_ms":1,"source":{"table":"orders","lsn":1},"after":{',
+])
+def test_a_known_id_does_not_excuse_a_line_that_is_no_event(spark, tmp_path, bad):
+    known = line(event(1, "c", 1))
+    load(spark, tmp_path, [known])
+    with pytest.raises(Exception, match="(?i)malformed|without|FAILED_READ|WRITE"):
+        load(spark, tmp_path, [known, bad], load_id=2, name="again")
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_first_copies_of_new_ids_are_landed_by_broadcast_and_by_shuffle(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(events, "BROADCAST_BATCH_BYTES", most)
+    copies = [line(event(k % 30, "c", 1, event_id=f"e{k % 30}", nth=k)) for k in range(90)]
+    load(spark, tmp_path, copies[:10])
+    result, raw = load(spark, tmp_path, copies, load_id=2, name="all")
+    assert (result.read, result.inserted) == (90, 20)
+    nth = F.get_json_object("after_json", "$.nth").cast("int").alias("nth")
+    assert rows(raw.select("load_id", nth)) == [(1, k) for k in range(10)] + [(2, k) for k in range(10, 30)]
