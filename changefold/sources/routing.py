@@ -19,7 +19,7 @@ from changefold.operators.fold import first_arrivals
 from changefold.session import tasks_at_least
 from changefold.sources.events import (
     ARRIVAL, RAW_COLUMNS, TASK_LINES, LoadResult, first_of_new, log_load, parse_events, parse_ids, read_filters,
-    read_raw, unlanded, written_ids,
+    read_raw, told_apart, written_ids,
 )
 from changefold.sources.seen import forget, loads_of, remember, suspects
 
@@ -73,8 +73,8 @@ def land_mixed(
 
     keys = ["raw_table", "event_id"]
     if history is not None:
-        fresh, new = unlanded(ids, history, keys, size["bytes"] or 0)
-        rows = first_of_new(events, fresh, new, keys)
+        told, new = told_apart(ids, history, keys, size["bytes"] or 0)
+        rows = first_of_new(events, told, new, keys)
     else:
         rows = first_arrivals(events, ARRIVAL, *keys)
     rows = rows.withColumn("_loaded_at", instant(loaded_at)).withColumn("load_id", F.lit(load_id).cast("bigint"))

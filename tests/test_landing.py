@@ -239,3 +239,16 @@ def test_first_copies_of_new_ids_are_landed_by_broadcast_and_by_shuffle(spark, t
     assert (result.read, result.inserted) == (90, 20)
     nth = F.get_json_object("after_json", "$.nth").cast("int").alias("nth")
     assert rows(raw.select("load_id", nth)) == [(1, k) for k in range(10)] + [(2, k) for k in range(10, 30)]
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_lines_are_parsed_once_for_the_events_of_new_ids(spark, tmp_path, monkeypatch, most):
+    """No test of an id is pushed below the parser, where it would parse each line again."""
+    monkeypatch.setattr(events, "BROADCAST_BATCH_BYTES", most)
+    parsed = events.parse_events(events.read_lines(spark, write_lines(tmp_path / "x.jsonl", [line(event(1, "c", 1))])),
+                                 events.ARRIVAL)
+    ids = spark.createDataFrame([("orders-1-c-1-1",)], "event_id string")
+    told, size = events.told_apart(ids, ids.limit(0), ["event_id"], 0)
+    found = events.first_of_new(parsed, told, size, ["event_id"])
+    assert found.count() == 1
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
