@@ -8,13 +8,19 @@ whole sets. What comes out of a list are links that hold its alike classes toget
 all its pairs; components of the links are the groups of near copies. In a list of more than
 one block all classes are first compared with one of them, and only those that are unlike
 it go on to be compared with the list, so that one cluster costs as much as it has classes.
+Where these are more than a block still, as with a passage that many unlike texts share, the
+list is given up: its classes meet once more, in lists of the rarer values of their sketches.
 
 Two sets with Jaccard 0.75 share none of ``LISTED`` = 8 values with probability 0.25^8, and
-the estimate falls below ``SURE`` about once in a million; nothing is capped.
+the estimate falls below ``SURE`` about once in a million; nothing is capped. The lists of
+rarer values hold all pairs that share ``RANKED_SURE`` of the smallest ``RANKED`` values of
+their union, which one in 125,000 with Jaccard 0.75 does not.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,6 +39,10 @@ SKETCH = 64
 LISTED = 8
 #: Estimates this far below the threshold are four to five standard errors away.
 SURE = 0.5
+#: Smallest values of a sketch that may go into lists of rarer values, and the share of those of
+#: a union that alike classes have in common (13 of 32).
+RANKED = 32
+RANKED_SURE = 0.4
 #: Classes of a list that one task compares with as many others, and bytes of their sets.
 BLOCK = 2048
 BLOCK_BYTES = 32 << 20
@@ -160,7 +170,9 @@ def may_be_alike(cols: dict) -> list[tuple]:
         return []
     sizes, v = cols["n"], cols["v"][:1].view(np.uint64)[0]
     sets = [np.frombuffer(s, np.uint64) for s in cols["sketch"]]
-    first = [s[:LISTED][s[:LISTED] < v] for s in sets]
+    first = [s[:LISTED] if own is None else np.array(own, np.int64).view(np.uint64)
+             for s, own in zip(sets, cols["listed"], strict=True)]
+    first = [own[own < v] for own in first]
     tops = np.array([s[-1] if len(s) == SKETCH else np.iinfo(np.uint64).max for s in sets])
     same = cols["b1"][0] == cols["b2"][0]
     whole, lower = Overlaps(sets), Overlaps(first)
@@ -178,7 +190,7 @@ def may_be_alike(cols: dict) -> list[tuple]:
             ok &= rows[:, None] < b[None, :]
         involved[rows[ok.any(1)]] = True
         involved[b[ok.any(0)]] = True
-    return [tuple(cols[k][i] for k in ("v", "b1", "b2", "block", "c_id", "s1"))
+    return [tuple(cols[k][i] for k in ("turn", "v", "b1", "b2", "block", "c_id", "s1"))
             for i in np.flatnonzero(involved)]
 
 
@@ -224,43 +236,25 @@ def _blocks(classes: Column, shingles: Column) -> Column:
     return F.greatest(F.ceil(classes / BLOCK), F.ceil(8 * shingles / BLOCK_BYTES)).cast("int")
 
 
-def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row.
-
-    Rows that repeat an id are one document in the links and each a row in the result. A
-    row without an id is linked with nothing: component_id is null and it is kept. So is a
-    text without words, under its own id. No rows give no rows.
-    """
-    asked = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    rows = materialize(annotate(
-        asked, sketches, "n bigint, s1 bigint, s2 bigint, low array<bigint>, sketch binary",
-        keep=["doc_id"]), "sketches")
-
-    # Equal sets are one class, named by its smallest id and a hash of the set.
-    named = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = materialize(named.groupBy("n", "s1", "s2").agg(
-        F.min("doc_id").alias("c_id"), F.first("low").alias("low"),
-        F.first("sketch").alias("sketch")), "classes")
-
-    values = classes.select("c_id", "s1", "n", F.explode("low").alias("v"))
+def _shared(values: DataFrame) -> DataFrame:
+    """(v, blocks) of the values that two classes or more have in their lists."""
     often = values.groupBy("v").agg(F.count("*").alias("m"), F.sum("n").alias("all_n")).filter("m > 1").select(
         "v", _blocks(F.col("m"), F.col("all_n")).alias("blocks"))
-    often = materialize(often, "lists")
+    return materialize(often, "lists")
 
-    def sets_of(need: DataFrame) -> DataFrame:
-        """(c_id, s1, members): the whole sets of the classes with the ids ``need``."""
-        found = annotate(
-            asked.join(need, F.col("doc_id") == F.col("c_id"), "left_semi"), whole_sets,
-            "s1 bigint, members binary", keep=["doc_id"])
-        return found.filter("members IS NOT NULL").groupBy(F.col("doc_id").alias("c_id"), "s1").agg(
-            F.first("members").alias("members"))
 
-    # A list of several blocks has a pivot, its smallest class. Members that are alike with it
-    # hold together through it and need not meet each other.
-    long = splittable_join(values.select("v", "c_id", "s1"), often.filter("blocks > 1"), "v", "inner").drop(often["v"])
-    pivots = long.groupBy("v").agg(F.min(F.struct("c_id", "s1")).alias("p")).select(
-        "v", F.col("p.c_id").alias("p_id"), F.col("p.s1").alias("p_s1"))
-    long = materialize(splittable_join(long.drop("blocks"), pivots, "v", "inner").drop(pivots["v"]), "long-lists")
+def _by_pivot(values: DataFrame, often: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links with the pivots of lists of several blocks, their members, and what is left of each.
+
+    The pivot is the smallest class. Members that are alike with it hold together through it
+    and need not meet each other.
+    """
+    long = materialize(splittable_join(values, often.filter("blocks > 1"), "v", "inner").select(
+        values["v"], "c_id", "s1", "n"), "long-lists")
+    pivots = materialize(long.groupBy("v").agg(F.min(F.struct("c_id", "s1")).alias("p")).select(
+        "v", F.col("p.c_id").alias("p_id"), F.col("p.s1").alias("p_s1")), "pivots")
+    long = materialize(splittable_join(long, pivots, "v", "inner").drop(pivots["v"]), "pivot-lists")
     met = long.filter("c_id != p_id OR s1 != p_s1").select("p_id", "p_s1", "c_id", "s1").distinct()
     met = materialize(met.withColumn("slice", F.pmod(F.xxhash64("c_id", "s1"), F.lit(SLICES)).cast("int")), "pivoted")
     heads = met.select("p_id", "p_s1", "slice").distinct().select(
@@ -270,40 +264,120 @@ def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Da
         both.join(sets_of(both.select("c_id").distinct()), ["c_id", "s1"]), ["p_id", "p_s1", "slice"], with_pivot,
         "p_id bigint, p_s1 bigint, c_id bigint, s1 bigint"), "pivot-links")
 
-    # What is left of a list meets in blocks, and meets the others of the list.
     known = alike.unionByName(long.select("p_id", "p_s1", F.col("p_id").alias("c_id"), F.col("p_s1").alias("s1")).distinct())
     known = known.withColumn("held", F.lit(True))
     long = materialize(long.join(known, ["p_id", "p_s1", "c_id", "s1"], "left").select(
-        "v", "c_id", "s1", F.coalesce("held", F.lit(False)).alias("held")), "held-lists")
-    sizes = long.join(classes.select("c_id", "s1", "n"), ["c_id", "s1"]).groupBy("v").agg(*[
+        "v", "c_id", "s1", "n", F.coalesce("held", F.lit(False)).alias("held")), "held-lists")
+    sizes = long.groupBy("v").agg(*[
         f(F.when(F.col("held") == held, x)).alias(f"{name}_{c}")
         for name, held in (("rest", False), ("others", True))
         for c, f, x in (("m", F.count, F.lit(1)), ("n", F.sum, F.col("n")))]).na.fill(0)
     sizes = sizes.filter("rest_m > 0").withColumns({
         "rest": _blocks(F.col("rest_m"), F.col("rest_n")), "others": _blocks(F.col("others_m"), F.col("others_n")),
         "all": _blocks(F.col("rest_m") + F.col("others_m"), F.col("rest_n") + F.col("others_n"))})
+    return alike, long, materialize(sizes, "rests")
+
+
+def _in_blocks(values: DataFrame, often: DataFrame, long: DataFrame, sizes: DataFrame) -> DataFrame:
+    """What is left of the lists, in blocks that meet each other and the others of the list."""
     # Where few hold together, all meet in blocks as one: fewer rows travel.
     apart = F.expr("rest_m * (rest + others) + others_m * rest < (rest_m + others_m) * all")
     sizes = sizes.select("v", apart.alias("apart"), F.when(apart, F.col("rest")).otherwise(F.col("all")).alias("rest"),
                          F.when(apart, F.col("others")).otherwise(0).alias("others"))
-    few = splittable_join(values.select("v", "c_id", "s1"), often.filter("blocks = 1"), "v", "inner").select(
+    few = splittable_join(values, often.filter("blocks = 1"), "v", "inner").select(
         values["v"], "c_id", "s1", F.lit(False).alias("held"), F.lit(1).alias("rest"), F.lit(0).alias("others"))
-    met = splittable_join(long, materialize(sizes, "rests"), "v", "inner").select(
+    met = splittable_join(long, sizes, "v", "inner").select(
         long["v"], "c_id", "s1", (F.col("held") & F.col("apart")).alias("held"), "rest", "others").unionByName(few)
     own = F.pmod(F.xxhash64("c_id", "s1"), F.when(F.col("held"), F.col("others")).otherwise(F.col("rest"))).cast("int")
     met = met.withColumn("block", F.when(F.col("held"), -1 - own).otherwise(own))
     # A block of the rest meets each other one, itself, and each block (below 0) of the others.
     first = F.when(F.col("held"), F.lit(0)).otherwise(-F.col("others"))
-    met = met.withColumn("other", F.explode(F.sequence(first, F.col("rest") - 1))).select(
+    return met.withColumn("other", F.explode(F.sequence(first, F.col("rest") - 1))).select(
         "v", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"), "block", "c_id", "s1")
-    maybe = materialize(in_groups(
-        met.join(classes.select("c_id", "s1", "n", "sketch"), ["c_id", "s1"]),
-        ["v", "b1", "b2"], may_be_alike,
-        "v bigint, b1 int, b2 int, block int, c_id bigint, s1 bigint"), "maybe")
+
+
+def with_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes with the ``RANKED`` smallest values of their sketches as longs."""
+    for batch in batches:
+        own = [s[:8 * RANKED] for s in batch.column("sketch").to_pylist()]
+        ends = np.concatenate([[0], np.cumsum([len(s) // 8 for s in own])]).astype(np.int32)
+        values = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(own), np.int64)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, "own"])
+
+
+def _rarer(crowd: DataFrame) -> DataFrame:
+    """``crowd`` (c_id, s1, n, sketch) and ``listed``, the rarer ones of the smallest values.
+
+    Values of more than a block of the classes go behind the others. In this order, the same
+    for all, a class has at most the values that it need not share before the first one that
+    it has in common with an alike class: one more is listed, so both list that one.
+    """
+    held = materialize(crowd.select("c_id", "s1", "n", "sketch").mapInArrow(
+        with_values, "c_id bigint, s1 bigint, n bigint, sketch binary, own array<bigint>"), "crowd")
+    each = held.select("c_id", "s1", F.explode("own").alias("v"))
+    often = materialize(each.groupBy("v").agg(F.count("*").alias("m")).filter(F.col("m") > BLOCK), "common")
+    common = splittable_join(each, often, "v", "inner").groupBy("c_id", "s1").agg(
+        F.sort_array(F.collect_list(F.struct("m", each["v"])))["v"].alias("common"))
+    ranked = F.when(F.col("common").isNull(), F.col("own")).otherwise(
+        F.concat(F.array_except("own", "common"), F.col("common")))
+    least = F.size("own") - F.ceil(F.size("own") * RANKED_SURE) + 1
+    return materialize(held.join(common, ["c_id", "s1"], "left").select(
+        "c_id", "s1", "n", "sketch", F.slice(ranked, F.lit(1), least.cast("int")).alias("listed")), "rarer")
+
+
+def groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row.
+
+    Rows that repeat an id are one document in the links and each a row in the result. A
+    row without an id is linked with nothing: component_id is null and it is kept. So is a
+    text without words, under its own id. No rows give no rows.
+    """
+    asked = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    rows = materialize(annotate(
+        asked, sketches, "n bigint, s1 bigint, s2 bigint, low array<bigint>, sketch binary",
+        keep=["doc_id"]), "sketches")
+
+    # Equal sets are one class, named by its smallest id and a hash of the set.
+    named = rows.filter("n > 0 AND doc_id IS NOT NULL")
+    classes = materialize(named.groupBy("n", "s1", "s2").agg(
+        F.min("doc_id").alias("c_id"), F.first("low").alias("low"),
+        F.first("sketch").alias("sketch")), "classes")
+
+    def sets_of(need: DataFrame) -> DataFrame:
+        """(c_id, s1, members): the whole sets of the classes with the ids ``need``."""
+        found = annotate(
+            asked.join(need, F.col("doc_id") == F.col("c_id"), "left_semi"), whole_sets,
+            "s1 bigint, members binary", keep=["doc_id"])
+        return found.filter("members IS NOT NULL").groupBy(F.col("doc_id").alias("c_id"), "s1").agg(
+            F.first("members").alias("members"))
+
+    def meet(turn: int, values: DataFrame, often: DataFrame, long: DataFrame, sizes: DataFrame, own: DataFrame) -> DataFrame:
+        return materialize(in_groups(
+            _in_blocks(values, often, long, sizes).withColumn("turn", F.lit(turn)).join(own, ["c_id", "s1"]),
+            ["v", "b1", "b2"], may_be_alike,
+            "turn int, v bigint, b1 int, b2 int, block int, c_id bigint, s1 bigint"), "maybe")
+
+    sketch = classes.select("c_id", "s1", "n", "sketch")
+    values = classes.select("c_id", "s1", "n", F.explode("low").alias("v"))
+    often = _shared(values)
+    alike, long, sizes = _by_pivot(values, often, sets_of)
+    maybe = meet(0, values, often, long, sizes.filter("rest <= 1"),
+                 sketch.withColumn("listed", F.lit(None).cast("array<bigint>")))
+
+    # A list that its pivot leaves with several blocks is given up for those of rarer values.
+    crowded = sizes.filter("rest > 1").select("v")
+    if crowded.head(1):
+        crowd = materialize(long.join(crowded, "v", "left_semi").select("c_id", "s1").distinct(), "crowd-ids")
+        listed = _rarer(sketch.join(crowd, ["c_id", "s1"], "left_semi"))
+        values = listed.select("c_id", "s1", "n", F.explode("listed").alias("v"))
+        often = _shared(values)
+        more, long, sizes = _by_pivot(values, often, sets_of)
+        alike = alike.unionByName(more)
+        maybe = maybe.unionByName(meet(1, values, often, long, sizes, listed))
 
     sets = sets_of(maybe.select("c_id").distinct())
     linked = materialize(in_groups(
-        maybe.join(sets, ["c_id", "s1"]), ["v", "b1", "b2"], links, "a bigint, b bigint"), "links")
+        maybe.join(sets, ["c_id", "s1"]), ["turn", "v", "b1", "b2"], links, "a bigint, b bigint"), "links")
 
     # The copies of a class are linked with its smallest id.
     members = named.join(classes.select("n", "s1", "s2", "c_id"), ["n", "s1", "s2"]).select(

@@ -201,6 +201,38 @@ def test_a_cluster_costs_as_much_as_its_classes(spark, monkeypatch):
     assert sizes[120]["may_be_alike"] < 200 and sizes[120]["links"] < 200
 
 
+def with_passage(n):
+    """n texts with a passage in common that are unlike each other, each third with a near copy."""
+    passage = [f"p{k}" for k in range(24)]
+    texts = [" ".join(passage + [f"{k}q{j}" for j in range(60)]) for k in range(n)]
+    return texts + [t + " more" for t in texts[::3]]
+
+
+@pytest.mark.parametrize("block", [40, 7])
+def test_a_passage_of_many_unlike_texts(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    texts = with_passage(60)
+    assert grouped(spark, texts) == exact_groups(texts)
+
+
+def test_a_passage_costs_as_much_as_its_texts(spark, monkeypatch):
+    """Rows that go into blocks, with a passage in so many texts that its lists have many."""
+    monkeypatch.setattr(minhash, "BLOCK", 20)
+    real, sizes = minhash.in_groups, {}
+    for n in (90, 180):
+        rows = []
+
+        def counting(df, keys, work, fields, rows=rows, **more):
+            if work is minhash.may_be_alike:
+                rows.append(df.count())
+            return real(df, keys, work, fields, **more)
+
+        monkeypatch.setattr(minhash, "in_groups", counting)
+        assert len(set(grouped(spark, with_passage(n)).values())) == n
+        sizes[n] = sum(rows)
+    assert sizes[180] < 2.5 * sizes[90]
+
+
 def longest(text, items, window=10):
     """Every maximal verbatim match of a window or more, by trying all pairs of places."""
     doc, out = text.split(), []
