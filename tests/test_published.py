@@ -32,6 +32,7 @@ def tables(spark, tmp_path):
 
 @pytest.mark.parametrize(("name", "same"), [
     ("published_agg_daily_revenue", "agg_daily_revenue"),
+    ("stream_then_published_fct_orders", "fct_orders"),
 ])
 def test_a_first_batch_that_the_gate_refuses_is_taken_in_by_the_second_run(spark, tables, name, same):
     got = rows(queries.QUERIES[name](spark, tables))
