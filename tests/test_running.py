@@ -154,3 +154,21 @@ def test_signed_rows_cancel(spark):
     old = raw(spark, [event(1, "c", 1, customer_id=1)]).select("event_id")
     assert running.signed(old, old, ["event_id"]).count() == 0
     assert rows(running.signed(old, old.limit(0), ["event_id"]), "sign") == [(-1,)]
+
+
+def test_the_first_run_takes_all_orders_as_they_come(spark, chain, monkeypatch):
+    """Nothing was there before, so nothing has to be met, grouped or looked up."""
+    def asked(*args):
+        raise AssertionError("asked for the orders of changed customers")
+
+    seen, signed = [], running.signed
+    monkeypatch.setattr(pipeline, "affected_orders", asked)
+    monkeypatch.setattr(running, "signed", lambda old, new, columns: seen.append(old) or signed(old, new, columns))
+    orders, customers = random_events(7)
+    chain.run(0, orders, customers, max_orphan_pct=100)
+    assert seen == [None, None]
+    assert built(chain) == expected(spark, orders, customers)
+    more = random_events(8)
+    chain.run(1, *more, max_orphan_pct=100)
+    assert len(seen) == 4 and None not in seen[2:]
+    assert built(chain) == expected(spark, orders + more[0], customers + more[1])
